@@ -17,7 +17,6 @@ from bisect import bisect_left, bisect_right, insort
 from zlib import crc32
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -135,7 +134,7 @@ def pack(pieces: DataFrame, length: int = 2048, group: int = GROUP) -> DataFrame
     spark, total = pieces.sparkSession, pieces.count()
     groups = max(1, -(-total // group))
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key, pdf):
         pdf = pdf.sort_values(["length", "deal"], ignore_index=True)
         bins, offset, _ = best_two_fit(pdf["length"].to_numpy(), length)
         return pdf.assign(sequence_id=bins + (int(key[0]) << 32), offset=offset)[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
