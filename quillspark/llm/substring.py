@@ -37,8 +37,8 @@ from . import scan
 from .work import one_text, parts_for, text_bytes, written
 
 GRAM = 6
-#: Bytes of text in a bucket, about.
-BUCKET = 16 << 20
+#: Bytes of text in a bucket, about; a worker holds some 20 times as much.
+BUCKET = 6 << 20
 #: A worker reports words with at least this share of its own words.
 LEAST_SHARE = 1 / 65536
 MOST_GROUPS = 4096
