@@ -314,3 +314,15 @@ def dedup_substrings(docs: DataFrame, width: int = 13, keep: tuple[str, ...] = (
     out = texts.schema
     out = T.StructType([out["doc_id"], out["text"], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), *[out[f.name] for f in kept]])
     return by_bucket.cogroup(nodes.groupBy("bucket")).applyInArrow(cut_out, out)
+
+
+ORACLE = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+w AS (SELECT doc_id, s, array_to_string(words[s:s + 12], ' ') AS win FROM d, unnest(generate_series(1, len(words) - 12)) AS t(s)),
+f AS (SELECT win, min(doc_id) AS least FROM w GROUP BY win),
+g AS (SELECT DISTINCT doc_id, k FROM w JOIN f USING (win), unnest(generate_series(s, s + 12)) AS t(k) WHERE least < doc_id),
+k AS (SELECT doc_id, generate_subscripts(words, 1) AS k, unnest(words) AS word FROM d),
+j AS (SELECT k.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY k.k) AS kept FROM k LEFT JOIN g ON k.doc_id = g.doc_id AND k.k = g.k WHERE g.k IS NULL GROUP BY k.doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN j USING (doc_id)
+"""
