@@ -113,7 +113,7 @@ def sparse(strings: list[np.ndarray]):
         at, w = grid(int(n))
         if not len(at):
             continue
-        step = max(1, 400_000 // len(at))
+        step = max(1, 100_000 // len(at))
         for k in range(0, len(which), step):
             part = which[k : k + step]
             s = np.stack([strings[i] for i in part])
@@ -131,13 +131,13 @@ def sparse(strings: list[np.ndarray]):
 
 def kernel_to(strings: list[np.ndarray], landmarks: np.ndarray) -> np.ndarray:
     """Kernel values of strings to landmarks, given as a dense (codes x landmarks) table."""
-    out = np.zeros((len(strings), landmarks.shape[1]))
+    out = np.zeros((len(strings), landmarks.shape[1]), np.float32)
     for row, code, w in sparse(strings):
-        for k in range(0, len(row), 200_000):
-            part = slice(k, k + 200_000)
+        for k in range(0, len(row), 40_000):
+            part = slice(k, k + 40_000)
             r = row[part]
             edge = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-            out[r[edge]] += np.add.reduceat(landmarks[code[part]] * w[part, None], edge, axis=0)
+            out[r[edge]] += np.add.reduceat(landmarks[code[part]] * w[part, None].astype(np.float32), edge, axis=0)
     return out
 
 
@@ -241,16 +241,21 @@ class Scorer:
         return out
 
 
-def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, reg: float) -> np.ndarray:
-    """Linear machine with squared hinge loss, by Newton steps; the last column of x is the bias."""
-    w = np.zeros(x.shape[1])
-    ridge = np.full(x.shape[1], reg)
+def _svm(parts: list[tuple[np.ndarray, float, np.ndarray]], width: int, reg: float) -> np.ndarray:
+    """Linear machine with squared hinge loss, by Newton steps.  parts: rows, their label and their weights; the last column is the bias."""
+    w = np.zeros(width)
+    ridge = np.full(width, reg)
     ridge[-1] = reg * 1e-3
     for _ in range(30):
-        on = y * (x @ w) < 1
-        xs, ws = x[on], weight[on]
-        grad = ridge * w - xs.T @ (ws * (y[on] - xs @ w))
-        step = np.linalg.solve((xs * ws[:, None]).T @ xs + np.diag(ridge), grad)
+        grad, curve = ridge * w, np.diag(ridge)
+        for rows, label, weight in parts:
+            for k in range(0, len(rows), 10_000):
+                x, ws = rows[k : k + 10_000].astype(np.float64), weight[k : k + 10_000]
+                on = label * (x @ w) < 1
+                x, ws = x[on], ws[on]
+                grad = grad - x.T @ (ws * (label - x @ w))
+                curve = curve + (x * ws[:, None]).T @ x
+        step = np.linalg.solve(curve, grad)
         w -= step
         if np.abs(step).max() < 1e-4:
             break
@@ -263,15 +268,24 @@ def fit(texts: list[str], toxic: np.ndarray, landmarks: int = 64, rounds: int =
     if toxic.all() or not toxic.any():
         return None
     data, offs = scan.view(pa.array(texts, pa.large_string()))
-    low, starts, ends, sentence, text, _ = split(data, offs)
-    if not len(starts):
+    name, docs_of, hashes = {}, [], []
+    for i, j in scan.chunks(data, offs, 1 << 20):
+        low, starts, ends, sentence, text, _ = split(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
+        h = scan.span_hash(low, starts, ends)
+        own, first = np.unique(h, return_index=True)
+        raw = low.tobytes()
+        name |= {k: raw[a:z] for k, a, z in zip(own.tolist(), starts[first].tolist(), ends[first].tolist(), strict=True)}
+        order = np.lexsort((h, doc := text[sentence] + i))
+        h, doc = h[order], doc[order]
+        once = np.append(True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])) if len(h) else np.zeros(0, bool)
+        hashes.append(h[once])
+        docs_of.append(doc[once])
+    if not name:
         return None
-    h = scan.span_hash(low, starts, ends)
-    keys, first, unit = np.unique(h, return_index=True, return_inverse=True)
-    raw = low.tobytes()
-    units = [raw[a:z] for a, z in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-    doc = text[sentence]
-    pairs = np.unique(doc * len(keys) + unit)
+    keys, unit = np.unique(np.concatenate(hashes), return_inverse=True)
+    units = [name.pop(k) for k in keys.tolist()]
+    pairs = np.sort(np.concatenate(docs_of) * len(keys) + unit)
+    del hashes, docs_of, unit
     in_toxic = toxic[pairs // len(keys)]
     df1 = np.bincount(pairs % len(keys), in_toxic, len(keys))
     df0 = np.bincount(pairs % len(keys), ~in_toxic, len(keys))
@@ -287,7 +301,7 @@ def fit(texts: list[str], toxic: np.ndarray, landmarks: int = 64, rounds: int =
     chosen, vectors = [], []
     for candidates, most, like in ((apart, landmarks // 2, 0.5), (apart, landmarks * 3 // 4, 0.9), (common, landmarks, 0.9)):
         for k in candidates.tolist():
-            v = np.zeros(BASE**3)
+            v = np.zeros(BASE**3, np.float32)
             for _, code, w in sparse([symbols(units[k])[:PIECE]]):
                 v[code] = w
             if len(chosen) < most and v.any() and all(v @ o < like for o in vectors):
@@ -296,25 +310,29 @@ def fit(texts: list[str], toxic: np.ndarray, landmarks: int = 64, rounds: int =
     if not chosen:
         return None
     table = np.stack(vectors, 1)
+    del vectors
     values, basis = np.linalg.eigh(table.T @ table)
     good = values > 1e-6 * values.max()
     white = basis[:, good] / np.sqrt(values[good])
     strings, of = pieces(units)
     k_all = kernel_to(strings, table)
-    if len(strings) != len(units):  # a long unit stands as its piece nearest to the landmarks
+    pieces_of = len(strings)
+    del strings
+    if pieces_of != len(units):  # a long unit stands as its piece nearest to the landmarks
         best = np.lexsort((-k_all.max(1), of))
         k_all = k_all[best[np.searchsorted(of[best], np.arange(len(units)))]]
-    phi = np.hstack([k_all @ white, np.ones((len(units), 1))])
+    phi = np.ones((len(units), white.shape[1] + 1), np.float32)
+    np.matmul(k_all, white.astype(np.float32), out=phi[:, :-1])
+    del k_all
     # multiple instances: a sentence stands by its most toxic unit, a toxic document by its most toxic sentence
     clean = np.flatnonzero(df0 > 0)
+    of_clean = phi[clean]
     of_toxic = pairs[in_toxic]
     excess = np.maximum(df1 - n1 * p0, 0)  # toxic documents beyond what a clean rate gives
     hit = np.flatnonzero(telling) if telling.any() else np.flatnonzero(excess >= excess.max())
     for _ in range(rounds):
-        x = np.vstack([phi[hit], phi[clean]])
-        y = np.concatenate([np.ones(len(hit)), -np.ones(len(clean))])
-        weight = np.concatenate([excess[hit] / excess[hit].sum(), np.full(len(clean), 20.0 / max(1, len(clean)))])
-        w = _svm(x, y, weight, reg)
+        share = excess[hit] / max(excess[hit].sum(), 1e-9)
+        w = _svm([(phi[hit], 1.0, share), (of_clean, -1.0, np.full(len(clean), 20.0 / max(1, len(clean))))], phi.shape[1], reg)
         margin = phi @ w
         # the unit that stands for each toxic document, and all that set the labels apart and fit the rest
         order = np.lexsort((margin[of_toxic % len(keys)], of_toxic // len(keys)))
@@ -327,7 +345,7 @@ def fit(texts: list[str], toxic: np.ndarray, landmarks: int = 64, rounds: int =
     best = np.full(len(toxic), w[-1])
     np.maximum.at(best, pairs // len(keys), margin[pairs % len(keys)])
     slope, shift = _logistic(best, toxic)
-    return Model(table @ (white @ w[:-1]), float(w[-1]), slope, shift)
+    return Model((table @ (white @ w[:-1]).astype(np.float32)).astype(np.float64), float(w[-1]), slope, shift)
 
 
 def _logistic(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
@@ -351,7 +369,7 @@ def fold(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = 1200, train_bytes: int = 50_000) -> Model | None:
+def train(docs: DataFrame, labels: DataFrame, sample: int = 1000, train_bytes: int = 50_000) -> Model | None:
     """Fits on at most sample rows of each label, drawn by a hash of the id from rows that are not held out."""
     known = labels.where("doc_id is not null and toxic is not null").where(fold() != 0)
     known = known.groupBy("doc_id").agg((F.avg("toxic") >= 0.5).cast("int").alias("toxic"))
@@ -381,7 +399,7 @@ def score(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ()) -> D
     return rows.mapInArrow(run, schema)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 1200) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 1000) -> DataFrame:
     """doc_id, held_out, score and predicted of each row."""
     out = score(docs, train(docs, labels, sample))
     held = F.coalesce(fold() == 0, F.lit(False))
