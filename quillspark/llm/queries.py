@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, licenses, packing, substring, token_count, toxicity, wavelet
+from . import decontaminate, jaccard, licenses, packing, substring, token_count, toxicity, warc, wavelet
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.round_trip(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, sf_dir, "documents"))
 
@@ -52,6 +57,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_warc": warc.ORACLE,
         "op6_license_scan": licenses.oracle(),
         "op7_substring_dedup": substring.ORACLE,
         "op9_decontamination": decontaminate.ORACLE,

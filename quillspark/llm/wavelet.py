@@ -207,7 +207,7 @@ def read_shards(manifest: DataFrame) -> DataFrame:
         for b in batches:
             for part, path, part_start in zip(b["part"].to_pylist(), b["path"].to_pylist(), b["part_start"].to_pylist(), strict=True):
                 fs, at = store(path)
-                with fs.open_input_stream(at) as f:
+                with fs.open_input_stream(at, compression=None) as f:
                     matrix, names, edge = WaveletMatrix.from_bytes(f.read())
                 raw = memoryview(matrix.decode().tobytes())
                 crc = [crc32(raw[4 * a : 4 * z]) for a, z in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
