@@ -363,3 +363,15 @@ def similar_documents(docs: DataFrame, target: float = TARGET) -> DataFrame:
     classes = known.groupBy("label").agg(F.min("rep").alias("class_id"))
     per_node = known.join(classes, "label").select("sig", "class_id", "n_links")
     return rows.select("doc_id", "sig").join(per_node, "sig").select("doc_id", "class_id", "n_links")
+
+
+def first_of_class(docs: DataFrame, target: float = TARGET) -> DataFrame:
+    """One row of each class: that with the smallest doc_id (any one of equal rows).  Rows without doc_id stay."""
+    found = written(similar_documents(docs, target), "classes")
+    stay = found.where("doc_id = class_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    stay = written(stay, "first-of-class")
+    side = stay.select("doc_id")
+    kept = docs.where("doc_id is not null").join(F.broadcast(side) if side.count() <= FEW_IDS else side, "doc_id", "left_semi")
+    if not stay.where("rows > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id is null"))

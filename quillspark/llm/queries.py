@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, licenses, packing, substring, token_count, toxicity, warc, wavelet
+from . import decontaminate, jaccard, licenses, media, packing, substring, token_count, toxicity, warc, wavelet
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.features(media.write_media(table(spark, sf_dir, "documents")))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = warc.round_trip(table(spark, sf_dir, "pages"))
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
