@@ -248,7 +248,18 @@ def met_pairs(nodes: DataFrame, parts: int) -> DataFrame:
                 yield got
 
     keyed = dealt.repartition(parts, "path", "lo", "hi").sortWithinPartitions("path", "lo", "hi")
-    return keyed.mapInArrow(brute, "a binary, b binary").distinct()
+    return fewer_edges(keyed.mapInArrow(brute, "a binary, b binary"))
+
+
+def fewer_edges(edges: DataFrame) -> DataFrame:
+    """Edges that connect the same nodes: of all a of a b, the smallest takes b and the others.
+
+    A node has at most an edge for each leaf it stands in, so its list is bounded
+    by the runs; where many buckets hold the same nodes, most edges fall together.
+    """
+    heads = edges.groupBy("b").agg(F.array_sort(F.collect_set("a")).alias("heads"))
+    rest = F.concat(F.array("b"), F.slice("heads", F.lit(2), F.size("heads")))
+    return heads.select(F.col("heads")[0].alias("a"), F.explode(rest).alias("b")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
