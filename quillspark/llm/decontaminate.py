@@ -1,11 +1,11 @@
 """Benchmark decontamination with DataFrame functions alone.
 
 Words are lower-cased in A-Z; a benchmark item gives all its windows of
-``width`` words, or one window if it has fewer.  Each distinct window is filed
-under its longest word's hash.  Document words meet that set in a hash join;
-where one meets, the words around it are compared with the window itself, so
-hash collisions never count.  The set is broadcast while it has at most
-BROADCAST_WINDOWS rows; a larger one meets the words in a shuffled join.
+``width`` words, or one window if it has fewer.  The distinct windows form a hash
+set.  Document windows of the same sizes meet it in a hash join on a 64-bit hash
+and are then compared word by word, so collisions never count.  The set is
+broadcast while it has at most BROADCAST_WINDOWS rows; a larger one meets the
+windows in a shuffled join.
 
 Nulls have no words.  Each row stands for itself, also if ids repeat or are
 null.  Windows of items without an id count as hits but not as items.  Items
@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Separators of words, in texts that still have capitals.
-BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Separators of words, in texts without capitals A-Z.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: A window takes some 200 bytes.
 BROADCAST_WINDOWS = 200_000
 #: No word, so it can mark the end of each text.
@@ -27,55 +27,42 @@ END = " "
 
 
 def cut_words(text: Column) -> Column:
-    """Words in their own case; the first and last may be empty."""
-    return F.split(F.coalesce(text.cast("string"), F.lit("")), BETWEEN)
-
-
-def plain(word: Column) -> Column:
-    return F.translate(word, UPPER, LOWER)
-
-
-def key(word: Column) -> Column:
-    """Equal for words that are equal in lower case A-Z; other letters may fold too."""
-    return F.xxhash64(F.lower(word))
-
-
-def word_count(words: Column) -> Column:
-    size = F.size(words)
-    return (size - (F.element_at(words, 1) == "").cast("int") - ((size > 1) & (F.element_at(words, -1) == "")).cast("int")).cast("long")
+    whole = F.coalesce(text.cast("string"), F.lit(""))
+    # lower() is right and fast for texts of one-byte characters; others keep their capitals beyond A-Z
+    plain = F.when(F.octet_length(whole) == F.length(whole), F.lower(whole)).otherwise(F.translate(whole, UPPER, LOWER))
+    return F.filter(F.split(plain, BETWEEN), lambda w: w != "")
 
 
 def windows(benchmark: DataFrame, width: int) -> DataFrame:
-    """Distinct windows: anchor (key of the longest word), offset of that word, window, items."""
-    words = F.filter(cut_words(F.col("text")), lambda w: w != "")
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.transform(words, plain).alias("words")).where(F.size("words") > 0)
+    """Distinct windows with the items that hold them."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), cut_words(F.col("text")).alias("words")).where(F.size("words") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("words") - F.lit(width) + 1, F.lit(1)))
     rows = items.select("item", "words", F.explode(starts).alias("at")).select("item", F.slice("words", F.col("at"), F.lit(width)).alias("window"))
-    rows = rows.groupBy("window").agg(F.collect_set("item").alias("items"))
-    place = F.transform("window", lambda w, i: F.struct(F.length(w).alias("size"), (-i).alias("at"), w.alias("word")))
-    best = F.array_max(place)
-    return rows.select(key(best["word"]).alias("anchor"), (-best["at"]).alias("offset"), "window", "items")
+    return rows.groupBy("window").agg(F.collect_set("item").alias("items"))
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, width: int, *keep: str) -> DataFrame:
     """One row a document: row, doc_id, n_words, spans (start from 1, past), items, and the columns in keep."""
     found = windows(benchmark, width)
-    end = docs.sparkSession.range(1).select(key(F.lit(END)).alias("anchor"), F.lit(0).alias("offset"), F.array().cast("array<string>").alias("window"), F.array().cast("array<string>").alias("items"))
-    side = found.unionByName(end)
+    sizes = [r["n"] for r in found.select(F.size("window").alias("n")).distinct().collect()]  # at most width
+    nothing = F.array().cast("array<string>")
+    side = found.unionByName(docs.sparkSession.range(1).select(F.array(F.lit(END)).alias("window"), nothing.alias("items")))
+    side = side.select(F.xxhash64("window").alias("hash"), F.col("window").alias("wanted"), "items")
     if found.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS:
         side = F.broadcast(side)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", *keep, cut_words(F.col("text")).alias("words"))
-    rows = rows.withColumn("n_words", word_count(F.col("words")))
-    each = rows.select("row", "doc_id", *keep, "n_words", "words", F.posexplode(F.concat("words", F.array(F.lit(END)))).alias("place", "word"))
-    met = each.withColumn("anchor", key(F.col("word"))).join(side, "anchor")
-    start = F.col("place") - F.col("offset") + 1
-    size = F.size("window")
-    same = (start >= 1) & (F.transform(F.slice("words", F.greatest(start, F.lit(1)), size), plain) == F.col("window"))
-    last = size == 0
-    met = met.where(F.when(last, F.col("word") == END).otherwise(same))
-    span = F.when(~last, F.struct(start.alias("start"), (start + size).alias("past")))
-    out = met.groupBy("row").agg(*(F.first(c).alias(c) for c in ("doc_id", *keep, "n_words")), F.collect_set(span).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    return out
+    count = F.size("words")
+    every = [F.array(F.struct(F.lit(0).alias("start"), F.array(F.lit(END)).alias("window")))]
+    for n in sorted(sizes):
+        each = F.transform(F.sequence(F.lit(1), F.greatest(count - F.lit(n) + 1, F.lit(1))), lambda k, n=n: F.struct(k.alias("start"), F.slice("words", k, F.lit(n)).alias("window")))
+        every.append(F.when(count >= n, each).otherwise(F.slice(each, 1, 0)))
+    spread = rows.select("row", "doc_id", *keep, count.cast("long").alias("n_words"), F.explode(F.concat(*every)).alias("at"))
+    met = spread.withColumn("hash", F.xxhash64("at.window")).join(side, "hash").where(F.col("at.window") == F.col("wanted"))
+    # a text goes along once, with the mark that each document has
+    mark = F.col("at.start") == 0
+    span = F.when(~mark, F.struct(F.col("at.start").alias("start"), (F.col("at.start") + F.size("at.window")).alias("past")))
+    slim = met.select("row", "doc_id", "n_words", *(F.when(mark, F.col(c)).alias(c) for c in keep), span.alias("span"), "items")
+    return slim.groupBy("row").agg(F.first("doc_id").alias("doc_id"), *(F.first(c, ignorenulls=True).alias(c) for c in keep), F.first("n_words").alias("n_words"), F.collect_set("span").alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
 
 
 def covered(spans: Column) -> Column:
@@ -96,11 +83,11 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, width: int = 10, keep
 
 
 def clean_spans(docs: DataFrame, benchmark: DataFrame, width: int = 10, keep: tuple[str, ...] = ()) -> DataFrame:
-    """All rows; where words are hit the text is its other words, joined by one space."""
+    """All rows; where words are hit the text is its other words in lower case A-Z, joined by one space."""
     keep = tuple(c for c in keep if c not in ("doc_id", "text", "row", "n_words", "spans", "items"))
     rows = hits(docs, benchmark, width, "text", *keep)
     words = cut_words(F.col("text"))
-    left = F.filter(words, lambda w, i: (w != "") & ~F.exists("spans", lambda s: (s["start"] <= i + 1) & (i + 1 < s["past"])))
+    left = F.filter(words, lambda w, i: ~F.exists("spans", lambda s: (s["start"] <= i + 1) & (i + 1 < s["past"])))
     return rows.select("doc_id", F.when(F.size("spans") > 0, F.array_join(left, " ")).otherwise(F.col("text")).alias("text"), *keep)
 
 
