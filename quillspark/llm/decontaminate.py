@@ -41,6 +41,10 @@ def windows(benchmark: DataFrame, width: int) -> DataFrame:
     return rows.groupBy("window").agg(F.collect_set("item").alias("items"))
 
 
+def _window_at(n: Column):
+    return lambda k: F.struct(k.alias("start"), F.slice("words", k, n).alias("window"))
+
+
 def hits(docs: DataFrame, benchmark: DataFrame, width: int, *keep: str) -> DataFrame:
     """One row a document: row, doc_id, n_words, spans (start from 1, past), items, and the columns in keep."""
     found = windows(benchmark, width)
@@ -53,11 +57,13 @@ def hits(docs: DataFrame, benchmark: DataFrame, width: int, *keep: str) -> DataF
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", *keep, cut_words(F.col("text")).alias("words"))
     count = F.size("words")
     every = [F.array(F.struct(F.lit(0).alias("start"), F.array(F.lit(END)).alias("window")))]
-    for n in sorted(sizes):
-        each = F.transform(F.sequence(F.lit(1), F.greatest(count - F.lit(n) + 1, F.lit(1))), lambda k, n=n: F.struct(k.alias("start"), F.slice("words", k, F.lit(n)).alias("window")))
-        every.append(F.when(count >= n, each).otherwise(F.slice(each, 1, 0)))
+    for n in map(F.lit, sorted(sizes)):
+        starts = F.when(count >= n, F.sequence(F.lit(1), F.greatest(count - n + 1, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+        every.append(F.transform(starts, _window_at(n)))
     spread = rows.select("row", "doc_id", *keep, count.cast("long").alias("n_words"), F.explode(F.concat(*every)).alias("at"))
-    met = spread.withColumn("hash", F.xxhash64("at.window")).join(side, "hash").where(F.col("at.window") == F.col("wanted"))
+    # the hash alone is the join key; "neither less nor more" keeps the planner from hashing whole windows again
+    same = (F.col("at.window") >= F.col("wanted")) & (F.col("at.window") <= F.col("wanted"))
+    met = spread.withColumn("hash", F.xxhash64("at.window")).join(side, "hash").where(same)
     # a text goes along once, with the mark that each document has
     mark = F.col("at.start") == 0
     span = F.when(~mark, F.struct(F.col("at.start").alias("start"), (F.col("at.start") + F.size("at.window")).alias("past")))
