@@ -5,8 +5,36 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_SIMPLE = {"string": T.StringType(), "date": T.DateType(), "timestamp": T.TimestampType(), "boolean": T.BooleanType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(), "float": T.FloatType()}
+
+
+def _parts(s: str) -> list[str]:
+    """Split at commas outside of angle brackets."""
+    out, depth = [""], 0
+    for c in s:
+        depth += (c == "<") - (c == ">")
+        if c == "," and not depth:
+            out.append("")
+        else:
+            out[-1] += c
+    return [x.strip() for x in out]
+
+
+def _type(s: str) -> T.DataType:
+    kind, _, inner = s.strip().partition("<")
+    if not inner:
+        return _SIMPLE[kind]
+    parts = _parts(inner[:-1])
+    if kind == "array":
+        return T.ArrayType(_type(parts[0]))
+    if kind == "map":
+        return T.MapType(_type(parts[0]), _type(parts[1]))
+    return T.StructType([T.StructField(n, _type(k)) for n, k in (p.split(":", 1) for p in parts)])
+
+
 def _of(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+    """A schema from its text; unlike fromDDL it needs no session."""
+    return T.StructType([T.StructField(n, _type(k)) for n, k in (p.split(" ", 1) for p in _parts(ddl))])
 
 
 METADATA = _of("id string, title string, abstract string, categories string, doi string, comments string, license string, update_date string, versions array<struct<version:string,created:string>>, authors_parsed array<array<string>>")
