@@ -62,6 +62,7 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_warc": warc.ORACLE,
+        "op3_jaccard_join": jaccard.ORACLE,
         "op6_license_scan": licenses.oracle(),
         "op7_substring_dedup": substring.ORACLE,
         "op9_decontamination": decontaminate.ORACLE,
