@@ -392,8 +392,8 @@ ORACLE = r"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(CASE WHEN len(w) < 5 THEN w ELSE w[i:i + 4] END, ' ') AS gram FROM d, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS t(i) WHERE len(w) > 0),
 n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
-p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
-l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 5 * both >= 4 * (x.size + y.size - both)
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 5 * c >= 4 * (x.size + y.size - c)
       UNION ALL SELECT x.doc_id, y.doc_id FROM d x JOIN d y ON len(x.w) = 0 AND len(y.w) = 0 AND x.doc_id <> y.doc_id),
 r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
 k AS (SELECT a, count(*) AS n FROM l GROUP BY a)
