@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -33,16 +34,18 @@ def rrf_fuse(*channels: DataFrame, key: str = "arxiv_id", k: float = 60.0) -> Da
 
 def recommend_top_k(fused: DataFrame, golden: DataFrame, target: float = 0.97, key: str = "arxiv_id", cap: float | None = None) -> int:
     """Smallest list that holds the target share of labelled positives; cap: a quantile of positive ranks that bounds it (robust sizing)."""
-    ranks = with_rank(fused, "hybrid_score", key).join(golden.where("label = 1").select(key), key).select("rank")
-    total = ranks.count()
-    if total == 0:
-        raise ValueError("no labelled positive is in the corpus")
-    need = F.least(F.ceil(F.lit(float(target)) * F.lit(float(total))), F.lit(total))
-    # as many rows as there are labels; the n-th by rank is taken from a partial sort
-    best = ranks.orderBy("rank").limit(total if cap is None else max(1, int(total * cap)))
-    n = ranks.sparkSession.range(1).select(need.cast("int").alias("n")).first()["n"]
-    rows = best.orderBy("rank").limit(n).agg(F.max("rank").alias("r")).first()
-    return int(rows["r"]) + 1
+    ranks = with_rank(fused, "hybrid_score", key).join(golden.where("label = 1").select(key), key).select("rank").persist()
+    try:
+        total = ranks.count()
+        if total == 0:
+            raise ValueError("no labelled positive is in the corpus")
+        n = min(math.ceil(float(target) * float(total)), total)
+        if cap is not None:
+            n = min(n, max(1, int(total * cap)))
+        # the n-th smallest rank, from a partial top-n in each partition
+        return int(ranks.orderBy("rank").limit(n).agg(F.max("rank").alias("r")).first()["r"]) + 1
+    finally:
+        ranks.unpersist()
 
 
 def candidates(fused: DataFrame, k: int, key: str = "arxiv_id") -> DataFrame:
