@@ -10,8 +10,10 @@ A unit's vector holds its kernel values to landmark units, whitened (Nystrom).
 A sentence stands by its most toxic unit.  Labels are a document's, so the
 machine is trained on multiple instances, in rounds: all units of clean
 documents against, from toxic ones, the units that set the labels apart and the
-unit of each document that the machine itself scores highest.  A document scores as its highest sentence, through a fitted
-logistic curve.
+unit of each document that the machine itself scores highest.  A document's score is a fitted
+logistic curve of its highest sentence, of how many distinct units are on the
+toxic side, and of its length: units that clean texts hold now and then count
+less when they stand alone.
 
 As the machine is linear in the landmark kernels, its weights fold into one
 weight for each three-symbol subsequence; texts are scored by those, each
@@ -189,10 +191,10 @@ def split(data: np.ndarray, offs: np.ndarray):
 
 
 class Model:
-    """weights: of each three-symbol subsequence; bias of a sentence; slope and shift of the logistic curve."""
+    """weights: of each three-symbol subsequence; bias of a sentence; curve: weights of the logistic curve's inputs."""
 
-    def __init__(self, weights, bias, slope, shift):
-        self.weights, self.bias, self.slope, self.shift = weights, bias, slope, shift
+    def __init__(self, weights, bias, curve):
+        self.weights, self.bias, self.weight = weights, bias, curve
 
     def units(self, units: list[bytes]) -> np.ndarray:
         strings, of = pieces(units)
@@ -203,8 +205,12 @@ class Model:
         np.maximum.at(out, of, got)
         return out
 
-    def curve(self, margin: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -50, 50)))
+    def curve(self, inputs: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(inputs @ self.weight, -50, 50)))
+
+
+def curve_inputs(best: np.ndarray, hits: np.ndarray, units: np.ndarray) -> np.ndarray:
+    return np.stack([best, np.log1p(hits), np.maximum(hits > 1, 0), np.log1p(units) * (hits > 0), np.ones(len(best))], 1).astype(float)
 
 
 class Scorer:
@@ -212,8 +218,8 @@ class Scorer:
         self.model, self.index, self.value = model, scan.HashIndex(), np.zeros(0)
 
     def texts(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
-        """Highest sentence margin of each text."""
-        out = np.full(len(offs) - 1, self.model.bias)
+        """The curve's inputs of each text."""
+        out = curve_inputs(*np.tile([[self.model.bias], [0.0], [0.0]], len(offs) - 1))
         for i, j in scan.chunks(data, offs):
             part, o = data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
             low, starts, ends, sentence, text, extra = split(part, o)
@@ -237,7 +243,11 @@ class Scorer:
                 np.maximum.at(margin, [k for k, _ in extra], self.model.units([u for _, u in extra]))
             best = np.full(j - i, -np.inf)
             np.maximum.at(best, text, margin)
-            out[i:j] = np.where(np.isfinite(best), best + self.model.bias, self.model.bias)
+            on = np.flatnonzero(self.value[at] > -self.model.bias)
+            toxic = np.unique(text[sentence[on]] * len(self.value) + at[on]) // len(self.value)
+            alone = [text[k] for k, u in extra if self.model.units([u])[0] > -self.model.bias]
+            hits = np.bincount(np.append(toxic, np.array(alone, np.int64)), minlength=j - i)
+            out[i:j] = curve_inputs(np.where(np.isfinite(best), best + self.model.bias, self.model.bias), hits, np.bincount(text[sentence], minlength=j - i))
         return out
 
 
@@ -268,10 +278,11 @@ def fit(texts: list[str], toxic: np.ndarray, landmarks: int = 64, rounds: int =
     if toxic.all() or not toxic.any():
         return None
     data, offs = scan.view(pa.array(texts, pa.large_string()))
-    name, docs_of, hashes = {}, [], []
+    name, docs_of, hashes, units_of = {}, [], [], np.zeros(len(toxic))
     for i, j in scan.chunks(data, offs, 1 << 20):
         low, starts, ends, sentence, text, _ = split(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
         h = scan.span_hash(low, starts, ends)
+        units_of[i:j] = np.bincount(text[sentence], minlength=j - i)
         own, first = np.unique(h, return_index=True)
         raw = low.tobytes()
         name |= {k: raw[a:z] for k, a, z in zip(own.tolist(), starts[first].tolist(), ends[first].tolist(), strict=True)}
@@ -344,24 +355,25 @@ def fit(texts: list[str], toxic: np.ndarray, landmarks: int = 64, rounds: int =
         hit = np.flatnonzero(fits) if fits.any() else hit
     best = np.full(len(toxic), w[-1])
     np.maximum.at(best, pairs // len(keys), margin[pairs % len(keys)])
-    slope, shift = _logistic(best, toxic)
-    return Model((table @ (white @ w[:-1]).astype(np.float32)).astype(np.float64), float(w[-1]), slope, shift)
+    hits = np.bincount(pairs // len(keys), margin[pairs % len(keys)] > 0, len(toxic))
+    curve = _logistic(curve_inputs(best, hits, units_of), toxic)
+    return Model((table @ (white @ w[:-1]).astype(np.float32)).astype(np.float64), float(w[-1]), curve)
 
 
-def _logistic(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
-    x = np.stack([margin, np.ones(len(margin))], 1)
+def _logistic(x: np.ndarray, label: np.ndarray) -> np.ndarray:
     # targets drawn in a little, as is usual for such curves
     n1, n0 = label.sum(), (~label).sum()
     t = np.where(label, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    w = np.array([1.0, 0.0])
+    w = np.zeros(x.shape[1])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -50, 50)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-4 * np.eye(2), x.T @ (p - t) + 1e-4 * w)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(x.shape[1]), x.T @ (p - t) + 1e-2 * w)
         size = np.abs(step).max()
         w -= step if size < 2 else step * (2 / size)
         if size < 1e-8:
             break
-    return float(max(w[0], 1e-3)), float(w[1])
+    w[0] = max(w[0], 0.0)
+    return w
 
 
 def fold(doc_id: str = "doc_id"):
