@@ -703,3 +703,57 @@ def x2_incremental_load(spark, sf):
         e.where(F.col("event_id") % 2 == half).withColumn("at", newest).write.mode("append").json(f"{root}/in")
         incremental.load_new(spark, f"{root}/in", schema, f"{root}/table", f"{root}/checkpoint", ["user_id"], "at")
     return spark.read.parquet(f"{root}/table").select("user_id", "event_id")
+
+
+# ---- appends, digests, chunk embeddings
+
+
+@query("SELECT doc_id, lang FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, lang FROM documents WHERE doc_id % 2 = 1")
+def k3_insert_select(spark, sf):
+    path = folder(spark, "insert")
+    rows = t(spark, sf, "documents").select("doc_id", "lang")
+    for half in (0, 1):
+        rows.where(F.col("doc_id") % 2 == half).write.mode("append").parquet(path)
+    out = spark.read.schema(rows.schema).parquet(path)
+    state.require_unique(out, ["doc_id"])
+    return out
+
+
+@query("SELECT doc_id, quality AS label FROM labels")
+def k13_labelled_set(spark, sf):
+    path = folder(spark, "golden")
+    t(spark, sf, "labels").select("doc_id", F.col("quality").alias("label")).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+@query("SELECT lang, string_agg(DISTINCT source, ',' ORDER BY source) AS sources FROM documents GROUP BY lang")
+def a13_ordered_strings(spark, sf):
+    return t(spark, sf, "documents").groupBy("lang").agg(F.array_join(F.array_sort(F.collect_set("source")), ",").alias("sources"))
+
+
+@query(f"SELECT vec_id, score FROM (SELECT e.vec_id, {_DENSE} AS score FROM embeddings e JOIN documents d ON d.doc_id = e.vec_id WHERE d.doc_id > 100 AND d.doc_id NOT IN (SELECT doc_id FROM labels)) ORDER BY score DESC, vec_id LIMIT 20")
+def z6_digest(spark, sf):
+    """New documents that no earlier digest held, nearest to an interest vector first."""
+    new = audit.orphans(_dense(spark, sf).where("vec_id > 100"), t(spark, sf, "labels").select(F.col("doc_id").alias("vec_id")), "vec_id")
+    return ranking.top_k(new, "score", "vec_id", 20)
+
+
+@query()
+def z3_chunk_embeddings(spark, sf):
+    cut = z1_chunks(spark, sf).select(F.concat_ws("#", "page_id", "chunk_index").alias("arxiv_id"), "page_id", "section", "text")
+    vectors_of = encode.embed(cut.select("arxiv_id", "text"), encode.hashing_encoder(8), dim=8).select("arxiv_id", "dense_vec", "status")
+    payload = cut.join(t(spark, sf, "pages").select("page_id", "url"), "page_id").select("arxiv_id", "page_id", "section", "url")
+    return vectors_of.join(payload, "arxiv_id").select("arxiv_id", "page_id", "section", "url", F.size("dense_vec").alias("dim"), "status")
+
+
+@query("SELECT doc_id, CASE WHEN n_chars >= 4000 THEN 'truncated' ELSE 'whole' END AS kind FROM documents")
+def d11_truncation_flag(spark, sf):
+    return t(spark, sf, "documents").select("doc_id", F.when(F.col("n_chars") >= 4000, "truncated").otherwise("whole").alias("kind"))
+
+
+@query("SELECT DISTINCT event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) OVER (PARTITION BY event_type, CAST(ts AS DATE)) AS n FROM events")
+def x3_daily_counts(spark, sf):
+    from ..streaming import incremental
+
+    out = incremental.event_counts(t(spark, sf, "events"))
+    return out.select("event_type", F.date_format("day", "yyyy-MM-dd").alias("day"), "n")
