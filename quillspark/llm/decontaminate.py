@@ -22,10 +22,16 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: A window takes some 200 bytes.
 BROADCAST_WINDOWS = 200_000
+#: Words of a text that are taken at once.
+PART = 20_000
 #: No word, so it can mark the end of each text.
 END = " "
 
 
+#: Columns of its own, which others cannot be carried beside.
+OWN = ("doc_id", "text", "row", "words", "base", "at", "hash", "wanted", "n_words", "span", "spans", "items")
+
+
 def cut_words(text: Column) -> Column:
     whole = F.coalesce(text.cast("string"), F.lit(""))
     # lower() is right and fast for texts of one-byte characters; others keep their capitals beyond A-Z
@@ -55,18 +61,23 @@ def hits(docs: DataFrame, benchmark: DataFrame, width: int, *keep: str) -> DataF
     if found.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS:
         side = F.broadcast(side)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", *keep, cut_words(F.col("text")).alias("words"))
+    # long texts go in parts that overlap, so no row holds more than PART windows of each size
+    rows = rows.withColumn("n_words", F.size("words").cast("long")).withColumn("base", F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(PART))))
+    rows = rows.withColumn("words", F.slice("words", F.col("base") + 1, F.lit(PART + width - 1)))
     count = F.size("words")
-    every = [F.array(F.struct(F.lit(0).alias("start"), F.array(F.lit(END)).alias("window")))]
+    mark = F.array(F.struct(F.lit(0).alias("start"), F.array(F.lit(END)).alias("window")))
+    every = [F.when(F.col("base") == 0, mark).otherwise(F.slice(mark, 1, 0))]
     for n in map(F.lit, sorted(sizes)):
-        starts = F.when(count >= n, F.sequence(F.lit(1), F.greatest(count - n + 1, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+        starts = F.when(count >= n, F.sequence(F.lit(1), F.greatest(F.least(count - n + 1, F.lit(PART)), F.lit(1)))).otherwise(F.array().cast("array<int>"))
         every.append(F.transform(starts, _window_at(n)))
-    spread = rows.select("row", "doc_id", *keep, count.cast("long").alias("n_words"), F.explode(F.concat(*every)).alias("at"))
+    spread = rows.select("row", "doc_id", *keep, "n_words", "base", F.explode(F.concat(*every)).alias("at"))
     # the hash alone is the join key; "neither less nor more" keeps the planner from hashing whole windows again
     same = (F.col("at.window") >= F.col("wanted")) & (F.col("at.window") <= F.col("wanted"))
     met = spread.withColumn("hash", F.xxhash64("at.window")).join(side, "hash").where(same)
     # a text goes along once, with the mark that each document has
     mark = F.col("at.start") == 0
-    span = F.when(~mark, F.struct(F.col("at.start").alias("start"), (F.col("at.start") + F.size("at.window")).alias("past")))
+    start = F.col("at.start") + F.col("base")
+    span = F.when(~mark, F.struct(start.alias("start"), (start + F.size("at.window")).alias("past")))
     slim = met.select("row", "doc_id", "n_words", *(F.when(mark, F.col(c)).alias(c) for c in keep), span.alias("span"), "items")
     return slim.groupBy("row").agg(F.first("doc_id").alias("doc_id"), *(F.first(c, ignorenulls=True).alias(c) for c in keep), F.first("n_words").alias("n_words"), F.collect_set("span").alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
 
@@ -84,13 +95,13 @@ def report(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, width: int = 10, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text and columns in keep of the rows without a hit."""
-    keep = tuple(c for c in keep if c not in ("doc_id", "text", "row", "n_words", "spans", "items"))
+    keep = tuple(c for c in keep if c not in OWN)
     return hits(docs, benchmark, width, "text", *keep).where(F.size("spans") == 0).select("doc_id", "text", *keep)
 
 
 def clean_spans(docs: DataFrame, benchmark: DataFrame, width: int = 10, keep: tuple[str, ...] = ()) -> DataFrame:
     """All rows; where words are hit the text is its other words in lower case A-Z, joined by one space."""
-    keep = tuple(c for c in keep if c not in ("doc_id", "text", "row", "n_words", "spans", "items"))
+    keep = tuple(c for c in keep if c not in OWN)
     rows = hits(docs, benchmark, width, "text", *keep)
     words = cut_words(F.col("text"))
     left = F.filter(words, lambda w, i: ~F.exists("spans", lambda s: (s["start"] <= i + 1) & (i + 1 < s["past"])))

@@ -57,7 +57,11 @@ def put_file(path: str, parts, attempt: str) -> None:
     with fs.open_output_stream(tmp) as out:
         for x in parts:
             out.write(x)
-    fs.move(tmp, at)
+    try:
+        fs.move(tmp, at)
+    except OSError:  # some stores do not move onto the file of an earlier attempt
+        fs.delete_file(at)
+        fs.move(tmp, at)
 
 
 def attempt_name() -> str:

@@ -456,7 +456,9 @@ def test_decontamination(spark, sf):
     got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], ",".join(r["items"])) for r in decontaminate.report(docs(spark, ts), bench).collect()}
     want = brute_hits(ts, items)
     assert got == want
-    assert sorted(r["doc_id"] for r in decontaminate.clean_documents(docs(spark, ts), bench, keep=("row", "bucket")).collect()) == [d for d, x in want.items() if not x[1]]
+    clean = decontaminate.clean_documents(docs(spark, ts), bench, keep=("row", "bucket"))
+    assert clean.columns == ["doc_id", "text", "bucket"]
+    assert sorted(r["doc_id"] for r in clean.collect()) == [d for d, x in want.items() if not x[1]]
     left = {r["doc_id"]: r["text"] for r in decontaminate.clean_spans(docs(spark, ts), bench).collect()}
     assert left[1] == "x y" and left[3] == "b0 b1 b2" and left[0] == ""
     assert decontaminate.report(docs(spark, ts), bench.limit(0)).where("contaminated").count() == 0
@@ -465,6 +467,15 @@ def test_decontamination(spark, sf):
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
+def test_decontamination_in_parts(spark, sf, monkeypatch):
+    monkeypatch.setattr(decontaminate, "PART", 7)
+    bench = texts(sf, 3)
+    items = [(k, " ".join(t.split()[4:30])) for k, t in enumerate(bench)] + [(9, "a b")]
+    ts = bench + ["a b " * 20, "b a", "", None] + texts(sf, 12)
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], ",".join(r["items"])) for r in decontaminate.report(docs(spark, ts), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == brute_hits(ts, items)
+
+
 def test_decontamination_by_shuffle(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
     bench = spark.createDataFrame([(1, "a b c d e f g h i j k")], "item_id long, text string")
