@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
+from zlib import crc32
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -38,7 +38,11 @@ def embed(texts: DataFrame, load: Callable[[], Callable[[list[str]], dict]], bat
                 except Exception as e:
                     yield pd.DataFrame({"arxiv_id": part["arxiv_id"].tolist(), "dense_vec": None, "sparse_weights": None, "status": f"error: {e}"})
 
-    return texts.select(F.col("arxiv_id").cast("string"), "text").mapInPandas(run, SCHEMA)
+    rows = texts.select(F.col("arxiv_id").cast("string"), "text")
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < cores:  # a small table in few files: encoding is worth a shuffle of it
+        rows = rows.repartition(cores)
+    return rows.mapInPandas(run, SCHEMA)
 
 
 def save_embeddings(current: DataFrame, new: DataFrame, model: str) -> DataFrame:
@@ -56,8 +60,8 @@ def hashing_encoder(dim: int = 16):
             for t in texts:
                 v, m = [0.0] * dim, {}
                 for w in (t or "").lower().split():
-                    h = int.from_bytes(hashlib.md5(w.encode()).digest()[:8], "little")
-                    v[h % dim] += 1.0 if h >> 63 else -1.0
+                    h = crc32(w.encode())
+                    v[h % dim] += 1.0 if h >> 31 else -1.0
                     m[h % 30_000] = m.get(h % 30_000, 0.0) + 1.0
                 norm = sum(x * x for x in v) ** 0.5 or 1.0
                 dense.append([x / norm for x in v])
