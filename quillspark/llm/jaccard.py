@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import scan
-from .work import one_text, written
+from .work import lean, one_text, written
 
 U = np.uint64
 THRESHOLD, WORDS, DEPTH, TARGET = 0.8, 5, 3, 0.999
@@ -142,7 +142,7 @@ def signed(docs: DataFrame, runs: int) -> DataFrame:
                     names=["doc_id", "sig", "n", "sketch", "paths"],
                 )
 
-    return one_text(docs).mapInArrow(run, "doc_id long, sig binary, n int, sketch binary, paths array<long>")
+    return one_text(docs).mapInArrow(lean(run), "doc_id long, sig binary, n int, sketch binary, paths array<long>")
 
 
 def _groups(batches, keys: list[str]):
@@ -219,7 +219,7 @@ def met_pairs(nodes: DataFrame, parts: int) -> DataFrame:
                 child = scan.mix(x[row, place] ^ sk[row, place].astype(np.uint64))
                 yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *(b.column(b.schema.get_field_index(c)).take(pa.array(row)) for c in ("sig", "n", "sketch"))], names=["path", "sig", "n", "sketch"])
 
-        split = large.mapInArrow(deeper, "path long, sig binary, n int, sketch binary")
+        split = large.mapInArrow(lean(deeper), "path long, sig binary, n int, sketch binary")
         split = written(shared(split).select("path", "sig", "n", "sketch", "members"), "split-buckets")
         small = small.unionByName(split.where(F.col("members") <= SPLIT))
         large = split.where(F.col("members") > SPLIT)
@@ -248,7 +248,7 @@ def met_pairs(nodes: DataFrame, parts: int) -> DataFrame:
                 yield got
 
     keyed = dealt.repartition(parts, "path", "lo", "hi").sortWithinPartitions("path", "lo", "hi")
-    return fewer_edges(keyed.mapInArrow(brute, "a binary, b binary"))
+    return fewer_edges(keyed.mapInArrow(lean(brute), "a binary, b binary"))
 
 
 def fewer_edges(edges: DataFrame) -> DataFrame:
@@ -325,7 +325,7 @@ def exact_links(docs: DataFrame, nodes: DataFrame, hung: DataFrame, parts: int)
                 at = pa.array(np.array(on, np.int64) + i)
                 yield pa.RecordBatch.from_arrays([*(b[c].take(at) for c in ("component", "sig", "mult", "members")), pa.array([raw[8 * cut[k] : 8 * cut[k + 1]] for k in on], pa.binary())], names=["component", "sig", "mult", "members", "tokens"])
 
-    sets = rows.select("component", "sig", "mult", "members", "text").mapInArrow(tokens_of, "component binary, sig binary, mult long, members long, tokens binary")
+    sets = rows.select("component", "sig", "mult", "members", "text").mapInArrow(lean(tokens_of), "component binary, sig binary, mult long, members long, tokens binary")
     dealt = _blocked(sets, "component", "members")
     out = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("links", pa.int64())])
 
@@ -353,7 +353,7 @@ def exact_links(docs: DataFrame, nodes: DataFrame, hung: DataFrame, parts: int)
             yield pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array([sig[k] for k in on], pa.binary()), star.column(0)]), pa.concat_arrays([pa.nulls(len(on), pa.binary()), star.column(1)]), pa.concat_arrays([pa.array(links[on]), pa.nulls(star.num_rows, pa.int64())])], schema=out)
 
     keyed = dealt.repartition(parts, "component", "lo", "hi").sortWithinPartitions("component", "lo", "hi")
-    return written(keyed.mapInArrow(compare, "a binary, b binary, links long"), "exact-links")
+    return written(keyed.mapInArrow(lean(compare), "a binary, b binary, links long"), "exact-links")
 
 
 def similar_documents(docs: DataFrame, target: float = TARGET) -> DataFrame:

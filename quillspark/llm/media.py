@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import jpeg, scan
-from .work import one_text
+from .work import lean, one_text
 
 UNIT = 576
 BATCH = 1 << 21
@@ -48,7 +48,7 @@ def write_media(docs: DataFrame) -> DataFrame:
                 files = jpeg.store(*padded(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]))
                 yield pa.RecordBatch.from_arrays([doc.slice(i, j - i), pa.array(np.diff(offs[i : j + 1])), pa.array(files, pa.binary())], names=["doc_id", "n_bytes", "media"])
 
-    return one_text(docs).mapInArrow(run, "doc_id long, n_bytes long, media binary")
+    return one_text(docs).mapInArrow(lean(run), "doc_id long, n_bytes long, media binary")
 
 
 def _batches(b: pa.RecordBatch):
@@ -74,7 +74,7 @@ def read_media(media: DataFrame) -> DataFrame:
                 part = b.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays([part["doc_id"], part["n_bytes"], pa.array(jpeg.load(*jpeg.decode(files)), pa.binary())], names=["doc_id", "n_bytes", "payload"])
 
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, "doc_id long, n_bytes long, payload binary")
+    return media.select("doc_id", "n_bytes", "media").mapInArrow(lean(run), "doc_id long, n_bytes long, payload binary")
 
 
 def tensors(media: DataFrame) -> DataFrame:
@@ -86,7 +86,7 @@ def tensors(media: DataFrame) -> DataFrame:
                 got = jpeg.tensors(*jpeg.decode(files))
                 yield pa.RecordBatch.from_arrays([b["doc_id"].slice(i, j - i), pa.array([t.shape[0] for t in got], pa.int32()), pa.array([t.shape[1] for t in got], pa.int32()), pa.array([t.tobytes() for t in got], pa.binary())], names=["doc_id", "height", "width", "rgb"])
 
-    return media.select("doc_id", "media").mapInArrow(run, "doc_id long, height int, width int, rgb binary")
+    return media.select("doc_id", "media").mapInArrow(lean(run), "doc_id long, height int, width int, rgb binary")
 
 
 def features(media: DataFrame) -> DataFrame:
@@ -107,4 +107,4 @@ def features(media: DataFrame) -> DataFrame:
                 cols = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays([part["doc_id"], part["n_bytes"], *(pa.array(c, k) for c, k in zip(cols, kinds[2:], strict=True))], names=names)
 
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return media.select("doc_id", "n_bytes", "media").mapInArrow(lean(run), "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bpe, scan
-from .work import one_text, written
+from .work import lean, one_text, written
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, deal long"
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -62,7 +62,7 @@ def cut_pieces(docs: DataFrame, vocabulary: str | None = None, length: int = 204
                     names=["doc_id", "piece", "start", "length", "ids_crc32", "deal"],
                 )
 
-    return one_text(docs).mapInArrow(run, PIECES)
+    return one_text(docs).mapInArrow(lean(run), PIECES)
 
 
 def best_two_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, int]:

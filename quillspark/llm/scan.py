@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 U = np.uint64
 _rng = np.random.default_rng(20240229)
 _BASE = int(_rng.integers(1 << 40, 1 << 62)) | 1

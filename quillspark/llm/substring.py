@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import scan
-from .work import one_text, parts_for, text_bytes, written
+from .work import lean, one_text, parts_for, release, text_bytes, written
 
 GRAM = 6
 #: Bytes of text in a bucket, about; a worker holds some 20 times as much.
@@ -96,7 +96,7 @@ def frequent_words(docs: DataFrame, groups: int) -> np.ndarray:
             some = n >= total * LEAST_SHARE
             yield pa.RecordBatch.from_arrays([pa.array(np.append(keys[some].view(np.int64), 0)), pa.array(np.append(n[some], 0)), pa.array(np.append(np.zeros(int(some.sum()), np.int64), total))], names=["word", "n", "total"])
 
-    seen = docs.select("text").mapInArrow(run, "word long, n long, total long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    seen = docs.select("text").mapInArrow(lean(run), "word long, n long, total long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
     seen = written(seen, "frequent-words")
     total = seen.agg(F.sum("total").alias("n")).first()["n"] or 0
     rows = seen.where(F.col("n") * (4 * groups) >= F.lit(total)).where("n > 0").select("word").collect()
@@ -307,13 +307,28 @@ def dedup_substrings(docs: DataFrame, width: int = 13, keep: tuple[str, ...] = (
         names = ["doc_id", "text", "n_words", "n_removed"]
         return pa.table([cols[c] for c in names] + [left.column(f.name) for f in kept], names=names + [f.name for f in kept])
 
+    def light(f):
+        def one(key, table):
+            try:
+                return f(key, table)
+            finally:
+                release()
+
+        def two(key, left, right):
+            try:
+                return f(key, left, right)
+            finally:
+                release()
+
+        return two if f.__code__.co_argcount == 3 else one
+
     by_bucket = texts.groupBy("_bucket")
     schema = "grp int, bucket int, body binary"
-    again = by_bucket.applyInArrow(grams_out, schema).groupBy("grp").applyInArrow(grams_back, schema)
-    nodes = by_bucket.cogroup(again.groupBy("bucket")).applyInArrow(paths_out, schema).groupBy("grp").applyInArrow(nodes_back, schema)
+    again = by_bucket.applyInArrow(light(grams_out), schema).groupBy("grp").applyInArrow(light(grams_back), schema)
+    nodes = by_bucket.cogroup(again.groupBy("bucket")).applyInArrow(light(paths_out), schema).groupBy("grp").applyInArrow(light(nodes_back), schema)
     out = texts.schema
     out = T.StructType([out["doc_id"], out["text"], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), *[out[f.name] for f in kept]])
-    return by_bucket.cogroup(nodes.groupBy("bucket")).applyInArrow(cut_out, out)
+    return by_bucket.cogroup(nodes.groupBy("bucket")).applyInArrow(light(cut_out), out)
 
 
 ORACLE = r"""

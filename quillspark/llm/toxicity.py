@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import scan
-from .work import one_text
+from .work import lean, one_text
 
 DECAY, SPAN, PIECE = 0.7, 8, 24
 LETTERS, BORDER_A, BORDER_Z, BASE = 58, 58, 59, 60  # 26 letters, 32 letters with marks, two borders
@@ -408,7 +408,7 @@ def score(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ()) -> D
             got = scorer.model.curve(scorer.texts(*scan.view(scan.text_column(b))))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got)], names=names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 1000) -> DataFrame:

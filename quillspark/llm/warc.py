@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .work import attempt_name, new_folder, put_file, store, written
+from .work import attempt_name, lean, new_folder, put_file, store, written
 
 FILE_BYTES, FILE_RECORDS = 8 << 20, 10_000
 #: Header fields after each version's block line.
@@ -191,7 +191,7 @@ def write_arc(pages: DataFrame, folder: str) -> DataFrame:
             yield flush()
 
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
-    return written(rows.mapInArrow(run, "path string, records long"), "arc-files")
+    return written(rows.mapInArrow(lean(run), "path string, records long"), "arc-files")
 
 
 def _spread(files: DataFrame) -> DataFrame:
@@ -217,7 +217,7 @@ def index_arc(files: DataFrame) -> DataFrame:
                         rows.append((path, number, int(http["x-page-id"]) if http.get("x-page-id") else None, len(payload), digest(payload)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 5, (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.string()), strict=True)], names=["path", "number", "page_id", "payload_bytes", "payload_digest"])
 
-    return _spread(files.select("path")).mapInArrow(run, "path string, number int, page_id long, payload_bytes long, payload_digest string")
+    return _spread(files.select("path")).mapInArrow(lean(run), "path string, number int, page_id long, payload_bytes long, payload_digest string")
 
 
 def convert(files: DataFrame, folder: str, least: int = 0) -> DataFrame:
@@ -242,7 +242,7 @@ def convert(files: DataFrame, folder: str, least: int = 0) -> DataFrame:
                 put_file(f"{folder}/{name}", out, attempt_name())
                 yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"]), pa.array([len(out) - 1], pa.int64())], names=["path", "records"])
 
-    return written(_spread(work).mapInArrow(run, "path string, records long"), "warc-files")
+    return written(_spread(work).mapInArrow(lean(run), "path string, records long"), "warc-files")
 
 
 def read_warc(files: DataFrame) -> DataFrame:
@@ -270,7 +270,7 @@ def read_warc(files: DataFrame) -> DataFrame:
                 for k in range(0, len(rows), 1000):
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 1000], strict=True), kinds, strict=True)], names=names)
 
-    return _spread(files.select("path")).mapInArrow(run, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
+    return _spread(files.select("path")).mapInArrow(lean(run), "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
 
 
 def round_trip(pages: DataFrame, least: int = 0) -> DataFrame:

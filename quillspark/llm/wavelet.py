@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bpe, scan
-from .work import attempt_name, new_folder, one_text, parts_for, put_file, store, text_bytes, written
+from .work import attempt_name, lean, new_folder, one_text, parts_for, put_file, store, text_bytes, written
 
 MAGIC, BLOCK = b"QWM1", 512
 #: A file is closed once it has so many tokens.
@@ -191,7 +191,7 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str | None = None, en
         if names:
             yield flush()
 
-    return written(rows.mapInArrow(run, MANIFEST), "wavelet-manifest")
+    return written(rows.mapInArrow(lean(run), MANIFEST), "wavelet-manifest")
 
 
 def read_shards(manifest: DataFrame) -> DataFrame:
@@ -215,7 +215,7 @@ def read_shards(manifest: DataFrame) -> DataFrame:
 
     files = manifest.count()
     spread = manifest.select("part", "path", "part_start").repartition(max(1, min(files, 4 * max(manifest.sparkSession.sparkContext.defaultParallelism, files // 32))))
-    return spread.mapInArrow(run, ROWS)
+    return spread.mapInArrow(lean(run), ROWS)
 
 
 def binary_output(docs: DataFrame, vocabulary: str | None = None, end_id: int = 1, folder: str | None = None) -> DataFrame:
