@@ -1,11 +1,13 @@
 """License scans by sentence rules, with DataFrame functions alone.
 
 A text is cut into sentences at line ends and after . ! ? ; : before white
-space.  A sentence in lower case with all but a-z and 0-9 folded to single
-spaces is looked up among known licence sentences; the ids of those found, in
-text order, are matched against rules, each an ordered list of ids that may
-have other ids between them.  A rule that is part of a longer matched rule for
-the same licence adds nothing.
+space; n_sentences counts these.  In lower case, with all but a-z and 0-9 folded
+to single spaces, known licence sentences are looked up.  One may run on over
+cuts at a single line end or a colon (wrapped notices, comment marks, SPDX tags),
+not past a blank line or . ! ? ;.  Of those that begin at one cut the longest
+counts.  The ids of those found, in text order, are matched against rules, each
+an ordered list of ids that may have other ids between them.  A rule that is part
+of a longer matched rule for the same licence adds nothing.
 
 Nulls and empty texts have no sentences.  Each row stands for itself.
 """
@@ -33,6 +35,7 @@ SENTENCES = {
     "gpl-you-can": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
     "gpl2-or-later": "either version 2 of the license or at your option any later version",
     "gpl3-or-later": "either version 3 of the license or at your option any later version",
+    "gpl3-comma": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
     "gpl-hope": "this program is distributed in the hope that it will be useful but without any warranty",
     "cc-by-nc-4-line": "licensed under cc by nc 4 0",
     "cc-by-4-line": "licensed under cc by 4 0",
@@ -57,6 +60,7 @@ RULES = [
     ("GPL-3.0", ("gpl3-work",)),
     ("GPL-3.0", ("spdx-gpl3",)),
     ("GPL-3.0-or-later", ("gpl-you-can", "gpl3-or-later", "gpl-hope")),
+    ("GPL-3.0-or-later", ("gpl3-comma", "gpl-hope")),
     ("GPL-2.0-or-later", ("gpl-you-can", "gpl2-or-later", "gpl-hope")),
     ("CC-BY-NC-4.0", ("cc-by-nc-4-line",)),
     ("CC-BY-NC-4.0", ("cc-by-nc-4-work",)),
@@ -65,6 +69,8 @@ RULES = [
     ("BSD-2-Clause", ("bsd-redistribution", "bsd-source", "bsd-binary")),
 ]
 SPLIT_AFTER, LINE_END, FOLD = r"([.!?;:])[ \t\r]+", r"[\r\n]+", "[^a-z0-9]+"
+#: In lower case: where a sentence ends for good, also at a line of marks alone; where it may run on.
+HARD, SOFT = r"[.!?;][ \t]*\n|[.!?;][ \t]+|\n[^a-z0-9\n|]*(?=\n)", r":[ \t]+|\n"
 
 
 def stems(sentences: dict[str, str]) -> list[str]:
@@ -85,8 +91,16 @@ def cut_sentences(text: Column) -> Column:
     return F.filter(F.split(F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), SPLIT_AFTER, "$1\n"), LINE_END), lambda s: s.rlike("[A-Za-z0-9]"))
 
 
-def fold(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.translate(sentence, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), FOLD, " "))
+def lined(text: Column) -> Column:
+    """The folded text between bars: "|" for a cut that a sentence may run over, more for one that it may not."""
+    low = F.translate(F.coalesce(text.cast("string"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ|", "abcdefghijklmnopqrstuvwxyz ")
+    cut = F.regexp_replace(F.regexp_replace(F.regexp_replace(low, r"\r\n?", "\n"), HARD, "||"), SOFT, "|")
+    return F.regexp_replace(F.regexp_replace(F.concat(F.lit("|"), cut, F.lit("|")), "[^a-z0-9|]+", " "), r" *\| *", "|")
+
+
+def known(sentences: dict[str, str]) -> str:
+    """Over lined texts: the longest known sentence from a cut to a cut."""
+    return r"(?<=\|)(?:" + "|".join(s.replace(" ", "[ |]") for s in sorted(sentences.values(), key=lambda s: (-len(s), s))) + r")(?=\|)"
 
 
 def pattern(ids: tuple[str, ...]) -> str:
@@ -99,9 +113,8 @@ def scan_licenses(docs: DataFrame, sentences: dict[str, str] | None = None, rule
     sentences, rules = sentences or SENTENCES, rules or RULES
     by_text = F.create_map(*(F.lit(x) for k, v in sentences.items() for x in (v, k)))
     hint = "(?i)" + "|".join(stems(sentences))
-    cut = docs.select("doc_id", cut_sentences(F.col("text")).alias("cut"))
-    found = F.transform(F.filter("cut", lambda s: s.rlike(hint)), lambda s: F.try_element_at(by_text, fold(s)))
-    rows = cut.select("doc_id", F.size("cut").cast("long").alias("n_sentences"), F.filter(found, lambda x: x.isNotNull()).alias("ids"))
+    spans = F.when(F.col("text").rlike(hint), F.regexp_extract_all(lined(F.col("text")), F.lit(known(sentences)), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    rows = docs.select("doc_id", F.size(cut_sentences(F.col("text"))).cast("long").alias("n_sentences"), F.transform(spans, lambda s: F.try_element_at(by_text, F.translate(s, "|", " "))).alias("ids"))
     chain = F.concat(F.lit(">"), F.array_join("ids", ">"), F.lit(">"))
     names = F.array_distinct(F.array_sort(F.filter(F.array(*(F.when(chain.rlike(pattern(ids)), F.lit(name)) for name, ids in rules)), lambda x: x.isNotNull())))
     return rows.select("doc_id", "n_sentences", F.array_join("ids", ",").alias("sentence_ids"), F.when(F.size("ids") == 0, F.lit("")).otherwise(F.array_join(names, ",")).alias("licenses"))

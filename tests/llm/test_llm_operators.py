@@ -493,6 +493,55 @@ def test_licenses(spark):
     assert not re.search("Python|Arrow|Pandas", licenses.scan_licenses(docs(spark, ts))._jdf.queryExecution().toString())
 
 
+def test_licenses_in_wrapped_notices(spark):
+    mit = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL"""
+    apache = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License"""
+    gpl = """This program is free software%s you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation%s either version %d of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of"""
+    bsd = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+    notices = {"MIT": mit, "Apache-2.0": apache, "GPL-3.0-or-later": gpl % (":", ",", 3), "GPL-2.0-or-later": gpl % (";", ";", 2), "BSD-2-Clause": bsd}
+    forms = [lambda s: s, lambda s: s.replace("\n", "\r\n"), lambda s: "/*\n" + re.sub("(?m)^", " * ", s) + "\n */", lambda s: re.sub("(?m)^", "# ", s)]
+    want = [(f(s), name) for name, s in notices.items() for f in forms]
+    want += [("x\n// SPDX-License-Identifier: MIT\ncode", "MIT"), ("# SPDX-License-Identifier: Apache-2.0", "Apache-2.0"), ("/* SPDX-License-Identifier: GPL-3.0-only */", "GPL-3.0"), ("SPDX-License-Identifier: MITX", "")]
+    want += [(gpl % (";", ";", 3), "GPL-3.0-or-later"), ("Released under the\n\nMIT License.", ""), ("Released under. The MIT License.", ""), ("Released | under the\nMIT License.", "MIT")]
+    got = {r["doc_id"]: r["licenses"] for r in licenses.scan_licenses(docs(spark, [s for s, _ in want])).collect()}
+    assert [got[k] for k in range(len(want))] == [name for _, name in want]
+
+
 # ---- queries
 
 
