@@ -5,9 +5,9 @@ documents with equal sets are one node.  In each of several runs a set is split
 recursively: of a node's set, the shingles whose hash under the path so far is
 below 1 / (THRESHOLD * size) each lead to a child, so two sets that share much
 share children at every level.  After DEPTH levels the nodes that stand in one
-bucket are compared by brute force over small sketches; a larger bucket is
-split further on sampled sketch places, and what stays large is compared block
-by block.  Runs are repeated until a pair at the threshold meets with the target
+bucket are compared by brute force over small sketches, a larger bucket block by
+block; in the largest, only blocks whose sizes allow the threshold.  No bucket is
+sampled.  Runs are repeated until a pair at the threshold meets with the target
 probability.
 
 Met pairs only say which nodes hang together.  In each such component all pairs
@@ -39,7 +39,7 @@ BITS = 44  # of a shingle's hash, beside the place of its text in a chunk
 BINS = 64
 #: Nodes that are compared at once.
 BLOCK = 512
-#: Buckets beyond this are split further before blocks are compared.
+#: Buckets beyond this are dealt by size as well before blocks are compared.
 SPLIT = 16 * BLOCK
 #: Ids that may be broadcast: 16 bytes each.
 FEW_IDS = 1_000_000
@@ -194,6 +194,21 @@ def _blocked(rows: DataFrame, key: str, size: str) -> DataFrame:
     return rows.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("other", "blocks")
 
 
+def _by_size(rows: DataFrame) -> DataFrame:
+    """Deals each row to all pairs of its block with blocks of its bucket that may hold near sets: sizes of a pair at the threshold are in the same band or in neighbouring ones."""
+    # a step of a band is more than 1 / THRESHOLD, so that rounding puts no pair two bands apart
+    rows = rows.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(1.01 / THRESHOLD))).cast("int"))
+    sizes = rows.groupBy("path", "band").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    # of each band: the blocks of its own and of those beside it; a band of a large bucket stands for many rows
+    beside = sizes.select("path", F.explode(F.array(*(F.col("band") + k for k in (-1, 0, 1)))).alias("band"), F.col("band").alias("other_band"), F.col("blocks").alias("others"))
+    known = sizes.join(beside, ["path", "band"]).groupBy("path", "band", "blocks").agg(F.collect_list(F.struct("other_band", "others")).alias("beside"))
+    rows = rows.join(F.broadcast(known), ["path", "band"])
+    block = lambda band, k: band.cast("long") * F.lit(1 << 32) + k
+    rows = rows.withColumn("own", block(F.col("band"), F.pmod(F.xxhash64("sig", F.lit(5)), "blocks")))
+    rows = rows.withColumn("other", F.explode(F.flatten(F.transform("beside", lambda x: F.transform(F.sequence(F.lit(0), x["others"] - 1), lambda k: block(x["other_band"], k))))))
+    return rows.select("path", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "sig", "n", "sketch")
+
+
 def met_pairs(nodes: DataFrame, parts: int) -> DataFrame:
     """Edges (a, b) that link the nodes of each bucket that look near by their sketches."""
     leaves = nodes.select("sig", F.explode(F.array_distinct("paths")).alias("path"))
@@ -204,27 +219,10 @@ def met_pairs(nodes: DataFrame, parts: int) -> DataFrame:
 
     rows = shared(leaves).join(nodes.select("sig", "n", "sketch"), "sig")
     rows = written(rows.select("path", "sig", "n", "sketch", "members"), "buckets")
-    small, large = rows.where(F.col("members") <= SPLIT), rows.where(F.col("members") > SPLIT)
-    for _ in range(6):
-        if large.isEmpty():
-            break
-
-        def deeper(batches):
-            share = U(int(2.0**64 * 1.6 / BINS))
-            for b in batches:
-                sk = np.frombuffer(b"".join(b["sketch"].to_pylist()), np.uint8).reshape(-1, BINS)
-                path = np.asarray(b["path"]).view(np.uint64)
-                x = scan.mix(path[:, None] + np.arange(1, BINS + 1, dtype=np.uint64)[None, :] * U(0x9E3779B97F4A7C15))
-                row, place = np.nonzero((x < share) & (sk > 0))
-                child = scan.mix(x[row, place] ^ sk[row, place].astype(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *(b.column(b.schema.get_field_index(c)).take(pa.array(row)) for c in ("sig", "n", "sketch"))], names=["path", "sig", "n", "sketch"])
-
-        split = large.mapInArrow(lean(deeper), "path long, sig binary, n int, sketch binary")
-        split = written(shared(split).select("path", "sig", "n", "sketch", "members"), "split-buckets")
-        small = small.unionByName(split.where(F.col("members") <= SPLIT))
-        large = split.where(F.col("members") > SPLIT)
-    # what no split makes smaller goes block by block like the rest
-    dealt = _blocked(small.unionByName(large), "path", "members").select("path", "lo", "hi", "sig", "n", "sketch")
+    dealt = _blocked(rows.where(F.col("members") <= SPLIT), "path", "members").select("path", "lo", "hi", "sig", "n", "sketch")
+    large = rows.where(F.col("members") > SPLIT)
+    if not large.isEmpty():
+        dealt = dealt.unionByName(_by_size(large))
 
     def brute(batches):
         for t in _groups(batches, ["path", "lo", "hi"]):

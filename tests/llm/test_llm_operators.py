@@ -345,6 +345,21 @@ def test_similar_documents(spark, sf, monkeypatch):
     assert jaccard.similar_documents(docs(spark, [])).count() == 0
 
 
+def test_large_bucket_keeps_all_its_pairs(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
+    monkeypatch.setattr(jaccard, "SPLIT", 16)
+    rng = np.random.default_rng(11)
+    ends, rows = [], []
+    for k in range(60):  # pairs of equal sketches, of sizes as far apart as the threshold allows
+        ends.append((b"a%015d" % k, b"b%015d" % k))
+        sketch = rng.integers(1, 256, jaccard.BINS).astype(np.uint8).tobytes()
+        path = [k % 3 + 1]  # path 3 once had no children
+        rows += [(ends[-1][0], 8 + 4 * k, sketch, path), (ends[-1][1], 10 + 5 * k, sketch, path)]
+    nodes = spark.createDataFrame(rows, "sig binary, n int, sketch binary, paths array<long>")
+    got = {tuple(sorted((bytes(r["a"]), bytes(r["b"])))) for r in jaccard.met_pairs(nodes, 4).collect()}
+    assert sorted(got) == ends
+
+
 def test_first_of_class_keeps_columns(spark):
     d = docs(spark, ["one two three four five six", "one two three four five six", "other", None, ""])
     d = d.unionByName(d.where("doc_id = 2")).unionByName(d.where("doc_id = 2").withColumn("doc_id", F.lit(None).cast("long")))
