@@ -386,6 +386,12 @@ def l4_verdicts(spark, sf):
     return rows.select("conv_id", "turn", text.verdict(F.col("text")).alias("verdict"))
 
 
+@query()
+def l4_verdicts_whole(spark, sf):
+    """l4_verdicts over all rows; RE2's word border is ASCII, so there is no SQL."""
+    return t(spark, sf, "conversations").select("conv_id", "turn", text.verdict(F.col("text")).alias("verdict"))
+
+
 @query("SELECT page_id, regexp_matches(html, '<.+>') AS tagged, regexp_extract(url, '([^/]+)$', 1) AS stem FROM pages")
 def f24_tag_test(spark, sf):
     return t(spark, sf, "pages").select("page_id", text.has_tag(F.col("html")).alias("tagged"), F.regexp_extract("url", "([^/]+)$", 1).alias("stem"))

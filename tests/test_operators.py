@@ -256,3 +256,14 @@ def test_stream_counts(spark, sf):
 def test_latest_breaks_ties(spark):
     d = spark.createDataFrame([("a", "2020", "x"), ("a", "2020", "y")], "id string, update_date string, title string")
     assert curate.latest(d, tie=["title"]).first()["title"] == "y"
+
+
+def test_verdicts_of_whole_table(spark, tmp_path):
+    import re
+
+    from quillspark.plans import queries
+
+    said = ["yes", "no yesé", "éno yes", "Yes. naïveno", "日本yes", "yes日本 no", "ja, yes – no", "", None, "yes\u00a0no", "nö yes"]
+    spark.createDataFrame([(k, 0, x) for k, x in enumerate(said)], "conv_id long, turn int, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r["conv_id"]: r["verdict"] for r in queries.l4_verdicts_whole(spark, str(tmp_path)).collect()}
+    assert got == {k: re.findall(r"\b(yes|no)\b", (x or "").lower())[-1:] == ["yes"] for k, x in enumerate(said)}
