@@ -247,10 +247,20 @@ def k20_summary(spark, sf):
 # ---- predicates, joins, aggregates by the library's functions
 
 
+def _topic():
+    edge, past = "(?<![A-Za-z0-9_])", "(?![A-Za-z0-9_])"
+    return F.col("text").rlike(f"(?i){edge}(the|de|und){past}.{{0,40}}{edge}(of|la|die){past}")
+
+
 @query(r"SELECT item_id FROM benchmark WHERE regexp_matches(text, '(?i)\b(the|de|und)\b.{0,40}\b(of|la|die)\b')")
 def p11_topic_regex(spark, sf):
-    edge, past = "(?<![A-Za-z0-9_])", "(?![A-Za-z0-9_])"
-    return t(spark, sf, "benchmark").where(F.col("text").rlike(f"(?i){edge}(the|de|und){past}.{{0,40}}{edge}(of|la|die){past}")).select("item_id")
+    return t(spark, sf, "benchmark").where(_topic()).select("item_id")
+
+
+@query()
+def p11_topic_documents(spark, sf):
+    """The topic subset of the whole texts of all documents."""
+    return t(spark, sf, "documents").where(_topic()).select("doc_id")
 
 
 @query("SELECT doc_id, lang || '. ' || text AS text FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")

@@ -267,3 +267,11 @@ def test_verdicts_of_whole_table(spark, tmp_path):
     spark.createDataFrame([(k, 0, x) for k, x in enumerate(said)], "conv_id long, turn int, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     got = {r["conv_id"]: r["verdict"] for r in queries.l4_verdicts_whole(spark, str(tmp_path)).collect()}
     assert got == {k: re.findall(r"\b(yes|no)\b", (x or "").lower())[-1:] == ["yes"] for k, x in enumerate(said)}
+
+
+def test_topic_of_whole_documents(spark, tmp_path):
+    from quillspark.plans import queries
+
+    said = ["x " * 5000 + "the end of it", "THE of", "theof", "the " + "y" * 41 + " of", "the\nof", "_the of", None, "und so die"]
+    spark.createDataFrame(list(enumerate(said)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted(r[0] for r in queries.p11_topic_documents(spark, str(tmp_path)).collect()) == [0, 1, 7]
