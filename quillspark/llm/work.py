@@ -75,6 +75,18 @@ def one_text(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *more)
 
 
+def carried(keep: tuple[str, ...], own: tuple[str, ...]) -> tuple[list[Column], dict[str, str]]:
+    """Columns to carry under names that clash with none, and what each is called in the end: one that is named like an own column gets _in added."""
+    taken, names = {*own, *keep}, {}
+    for k, c in enumerate(keep):
+        name = c
+        while name in own or name != c and name in taken:
+            name += "_in"
+        taken.add(name)
+        names[f"_keep_{k}"] = name
+    return [F.col(c).alias(k) for k, c in zip(names, keep, strict=True)], names
+
+
 def text_bytes(docs: DataFrame, column: str | Column = "text") -> int:
     """All bytes of a text column."""
     got = docs.agg(F.sum(F.octet_length(column)).alias("n")).first()

@@ -393,16 +393,55 @@ def test_substring_dedup(spark, sf):
     ts = texts(sf, 80) + [f"{a} {passage} {b}" for a, b in zip(near_copies(rng, 5, 30), near_copies(rng, 5, 30), strict=True)] + ["the " * 40, "the " * 30, "", None, "x " * 12, "x " * 13, "x " * 13, "é ü " * 20] + ["q r s " * 100_000]
     got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["text"]) for r in substring.dedup_substrings(docs(spark, ts)).collect()}
     assert got == brute_removed(ts)
-    out = substring.dedup_substrings(docs(spark, ts[:3]), keep=("row", "bucket", "n_words"))
-    assert out.columns == ["doc_id", "text", "n_words", "n_removed", "row", "bucket"]
+    odd = docs(spark, ts[:3]).withColumn("n_words", F.lit("own"))
+    out = substring.dedup_substrings(odd, keep=("row", "bucket", "n_words"))
+    assert out.columns == ["doc_id", "text", "n_words", "n_removed", "removed", "row", "bucket", "n_words_in"]
+    assert {r["n_words_in"] for r in out.collect()} == {"own"}
     assert substring.dedup_substrings(docs(spark, [])).count() == 0
 
 
+def test_substring_dedup_passes(spark, sf, monkeypatch):
+    monkeypatch.setattr(substring, "FAN", 3)
+    monkeypatch.setattr(substring, "BUCKET", 4_000)
+    monkeypatch.setattr(substring, "MOST_GROUPS", 4)
+    assert len(substring.steps_for(50)) > 2
+    rng = np.random.default_rng(5)
+    passage = " ".join(f"p{k}" for k in range(40))
+    ts = texts(sf, 60) + [f"{a} {passage} {b}" for a, b in zip(near_copies(rng, 20, 30), near_copies(rng, 20, 30), strict=True)]
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["text"]) for r in substring.dedup_substrings(docs(spark, ts)).collect()}
+    assert got == brute_removed(ts)
+
+
 def test_substring_dedup_ids(spark):
     t = " ".join(f"w{k}" for k in range(20))
-    d = spark.createDataFrame([(5, t), (5, t), (9, t), (None, t)], "doc_id long, text string")
-    got = sorted(((r["doc_id"], r["n_removed"]) for r in substring.dedup_substrings(d).collect()), key=str)
-    assert got == sorted([(5, 0), (5, 0), (9, 20), (None, 0)], key=str)
+    d = spark.createDataFrame([(5, t), (5, t), (9, t), (None, f" {t}\n"), (7, f"{t} x {t}")], "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["n_removed"], [tuple(x) for x in r["removed"]], r["text"]) for r in substring.dedup_substrings(d).collect()), key=str)
+    assert got == sorted([(5, 0, [], t), (5, 0, [], t), (9, 20, [(0, 20)], ""), (None, 0, [], t), (7, 40, [(0, 20), (21, 41)], "x")], key=str)
+
+
+def test_suffix_tree():
+    rng = np.random.default_rng(8)
+    codes = rng.integers(0, 3, (6, 200)).astype(np.int32)
+    length = rng.integers(3, 7, 200)
+    codes[np.arange(6)[:, None] >= length] = -1
+    order, edge, deep = substring.suffix_tree(codes, length, 3)
+    rows = [tuple(codes[:n, k].tolist()) for k, n in enumerate(length)]
+    assert [rows[k] for k in order] == sorted(rows)
+    nodes = collections.defaultdict(list)
+    for r in rows:
+        nodes[r[:3]].append(r)
+    want = {k: max(d for d in range(3, min(map(len, v)) + 1) if len({r[:d] for r in v}) == 1) for k, v in nodes.items()}
+    assert {rows[order[e]][:3]: d for e, d in zip(edge, deep, strict=True)} == want
+
+
+def test_maximal_repeats(spark):
+    rng = np.random.default_rng(9)
+    a, b = ([f"{c}{k}" for k in range(n)] for c, n in (("a", 18), ("b", 70)))
+    filler = lambda n: [f"f{x}" for x in rng.integers(0, 10**9, n)]
+    ts = [filler(9) + a + filler(5), a + filler(20), filler(3) + b + filler(3) + a, b[5:] + filler(4), filler(50), None]
+    got = {r["words"]: (r["n_words"], r["n"], r["doc_id"]) for r in substring.maximal_repeats(docs(spark, [t and " ".join(t) for t in ts])).collect()}
+    # b from its sixth word on stands twice; labels end at 26 words
+    assert got == {" ".join(a): (18, 3, 0), " ".join(b[5:31]): (26, 2, 2)}
 
 
 # ---- toxicity
