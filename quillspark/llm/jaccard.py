@@ -17,7 +17,13 @@ exact similarities and no more than a block pair is ever in one task.
 Result: one row a document with class_id (smallest doc_id of its connected
 class) and n_links (other documents of at least the threshold, equal sets
 included).  Nulls are empty texts; texts without words have equal, empty sets.
-Rows without doc_id are classed too, and class_id is null if none has one.
+Rows without doc_id are classed too, and class_id is null if none has one.  Rows
+that repeat, or share a doc_id, are documents of their own; an empty table gives
+none.  Other columns are not read.  A text is never cut: a worker holds some 60
+times the bytes of the longest one.
+
+Shingles are known by 44 bits of a hash and sets by 128, so sets that differ in
+equal hashes alone would count as equal.
 """
 
 from __future__ import annotations
@@ -41,8 +47,10 @@ BINS = 64
 BLOCK = 512
 #: Buckets beyond this are dealt by size as well before blocks are compared.
 SPLIT = 16 * BLOCK
-#: Ids that may be broadcast: 16 bytes each.
-FEW_IDS = 1_000_000
+#: Bytes of keys that may be broadcast, and of one row as the JVM holds it.
+BROADCAST, KEY_ROW = 32 << 20, 200
+#: Parts that a band of a large bucket is dealt to where it meets the blocks beside it.
+SALTS = 16
 
 
 def runs_for(target: float, depth: int) -> int:
@@ -126,7 +134,7 @@ def chosen_paths(tokens: np.ndarray, cut: np.ndarray, runs: int, depth: int = DE
 
 
 def signed(docs: DataFrame, runs: int) -> DataFrame:
-    """doc_id, sig, n, sketch, paths of each row."""
+    """doc_id, th (hash of the text), sig, n, sketch, paths of each row."""
 
     def run(batches):
         for b in batches:
@@ -138,11 +146,21 @@ def signed(docs: DataFrame, runs: int) -> DataFrame:
                 edge = np.searchsorted(node, np.arange(j - i + 1)).astype(np.int32)
                 sk = sketches(tokens, cut).tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [doc.slice(i, j - i), pa.array(signatures(tokens, cut), pa.binary()), pa.array(np.diff(cut).astype(np.int32)), pa.array([sk[k : k + BINS] for k in range(0, len(sk), BINS)], pa.binary()), pa.ListArray.from_arrays(pa.array(edge), pa.array(path))],
-                    names=["doc_id", "sig", "n", "sketch", "paths"],
+                    [doc.slice(i, j - i), b.column(2).slice(i, j - i), pa.array(signatures(tokens, cut), pa.binary()), pa.array(np.diff(cut).astype(np.int32)), pa.array([sk[k : k + BINS] for k in range(0, len(sk), BINS)], pa.binary()), pa.ListArray.from_arrays(pa.array(edge), pa.array(path))],
+                    names=["doc_id", "th", "sig", "n", "sketch", "paths"],
                 )
 
-    return one_text(docs).mapInArrow(lean(run), "doc_id long, sig binary, n int, sketch binary, paths array<long>")
+    return hashed(docs).mapInArrow(lean(run), "doc_id long, th long, sig binary, n int, sketch binary, paths array<long>")
+
+
+def hashed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and th: with doc_id the hash of its text says which row is meant, also if ids repeat or are null."""
+    return one_text(docs).withColumn("th", F.xxhash64("text"))
+
+
+def small(keys: DataFrame) -> DataFrame:
+    """Broadcast if all rows take few bytes; else they meet the others in a shuffle."""
+    return F.broadcast(keys) if keys.count() * KEY_ROW <= BROADCAST else keys
 
 
 def _groups(batches, keys: list[str]):
@@ -202,7 +220,9 @@ def _by_size(rows: DataFrame) -> DataFrame:
     # of each band: the blocks of its own and of those beside it; a band of a large bucket stands for many rows
     beside = sizes.select("path", F.explode(F.array(*(F.col("band") + k for k in (-1, 0, 1)))).alias("band"), F.col("band").alias("other_band"), F.col("blocks").alias("others"))
     known = sizes.join(beside, ["path", "band"]).groupBy("path", "band", "blocks").agg(F.collect_list(F.struct("other_band", "others")).alias("beside"))
-    rows = rows.join(F.broadcast(known), ["path", "band"])
+    # a band may hold most rows, so it is dealt to salts
+    salted = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("sig", F.lit(6)), F.lit(SALTS)).cast("int")).join(salted, ["path", "band", "salt"])
     block = lambda band, k: band.cast("long") * F.lit(1 << 32) + k
     rows = rows.withColumn("own", block(F.col("band"), F.pmod(F.xxhash64("sig", F.lit(5)), "blocks")))
     rows = rows.withColumn("other", F.explode(F.flatten(F.transform("beside", lambda x: F.transform(F.sequence(F.lit(0), x["others"] - 1), lambda k: block(x["other_band"], k))))))
@@ -304,12 +324,14 @@ def _overlaps(tokens: list[np.ndarray]) -> np.ndarray:
 def exact_links(docs: DataFrame, nodes: DataFrame, hung: DataFrame, parts: int) -> DataFrame:
     """Written rows (kind, a, b, links): of each node its links in a block pair, and edges of linked nodes."""
     sizes = hung.groupBy("label").agg(F.count(F.lit(1)).alias("members"))
-    wanted = hung.join(sizes, "label").join(nodes.select(F.col("sig").alias("node"), "rep", "mult"), "node")
-    wanted = written(wanted.select(F.col("label").alias("component"), F.col("node").alias("sig"), F.col("rep").alias("doc_id"), "mult", "members"), "components")
-    ids = wanted.where("doc_id is not null")
-    # an id's text may be needed once; few ids go to the documents, many meet them in a shuffle
-    side = F.broadcast(ids) if ids.count() <= FEW_IDS else ids
-    rows = one_text(docs).join(side, "doc_id")
+    wanted = hung.join(sizes, "label").join(nodes.select(F.col("sig").alias("node"), "rep.doc_id", "rep.th", "mult"), "node")
+    wanted = written(wanted.select(F.col("label").alias("component"), F.col("node").alias("sig"), "doc_id", "th", "mult", "members"), "components")
+    # the text of one row of each node: of rows without doc_id, equal texts stand once
+    texts = hashed(docs)
+    own = texts.where("doc_id is not null").join(small(wanted.where("doc_id is not null")), ["doc_id", "th"])
+    none = texts.where("doc_id is null").join(small(wanted.where("doc_id is null").drop("doc_id")), "th").drop("doc_id").dropDuplicates(["th", "text"])
+    columns = ["component", "sig", "mult", "members", "text"]
+    rows = own.select(columns).unionByName(none.select(columns))
 
     def tokens_of(batches):
         for b in batches:
@@ -323,7 +345,7 @@ def exact_links(docs: DataFrame, nodes: DataFrame, hung: DataFrame, parts: int)
                 at = pa.array(np.array(on, np.int64) + i)
                 yield pa.RecordBatch.from_arrays([*(b[c].take(at) for c in ("component", "sig", "mult", "members")), pa.array([raw[8 * cut[k] : 8 * cut[k + 1]] for k in on], pa.binary())], names=["component", "sig", "mult", "members", "tokens"])
 
-    sets = rows.select("component", "sig", "mult", "members", "text").mapInArrow(lean(tokens_of), "component binary, sig binary, mult long, members long, tokens binary")
+    sets = rows.mapInArrow(lean(tokens_of), "component binary, sig binary, mult long, members long, tokens binary")
     dealt = _blocked(sets, "component", "members")
     out = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("links", pa.int64())])
 
@@ -354,12 +376,13 @@ def exact_links(docs: DataFrame, nodes: DataFrame, hung: DataFrame, parts: int)
     return written(keyed.mapInArrow(lean(compare), "a binary, b binary, links long"), "exact-links")
 
 
-def similar_documents(docs: DataFrame, target: float = TARGET) -> DataFrame:
-    """doc_id, class_id and n_links of each row."""
+def classed(docs: DataFrame, target: float = TARGET) -> DataFrame:
+    """doc_id, th, class_id, n_links and first (doc_id and th of the first document of the class) of each row."""
     spark = docs.sparkSession
     runs = runs_for(target, DEPTH)
     rows = written(signed(docs, runs), "signed")
-    nodes = rows.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("mult"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("paths").alias("paths"))
+    rep = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("rep")
+    nodes = rows.groupBy("sig").agg(rep, F.count(F.lit(1)).alias("mult"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("paths").alias("paths"))
     nodes = written(nodes, "nodes")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), nodes.count() // 20_000)
     hung = components(met_pairs(nodes.where("n > 0"), parts))
@@ -369,21 +392,32 @@ def similar_documents(docs: DataFrame, target: float = TARGET) -> DataFrame:
     known = nodes.select("sig", "rep", "mult").join(links, "sig", "left").join(label, "sig", "left")
     known = known.withColumn("label", F.coalesce("label", "sig"))
     known = written(known.select("sig", "label", "rep", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links")), "linked")
-    classes = known.groupBy("label").agg(F.min("rep").alias("class_id"))
-    per_node = known.join(classes, "label").select("sig", "class_id", "n_links")
-    return rows.select("doc_id", "sig").join(per_node, "sig").select("doc_id", "class_id", "n_links")
+    classes = known.groupBy("label").agg(F.min("rep").alias("first"))
+    per_node = known.join(classes, "label").select("sig", "first", "n_links")
+    return rows.select("doc_id", "th", "sig").join(per_node, "sig").select("doc_id", "th", F.col("first.doc_id").alias("class_id"), "n_links", F.struct("first.doc_id", "first.th").alias("first"))
+
+
+def similar_documents(docs: DataFrame, target: float = TARGET) -> DataFrame:
+    """doc_id, class_id and n_links of each row."""
+    return classed(docs, target).select("doc_id", "class_id", "n_links")
 
 
 def first_of_class(docs: DataFrame, target: float = TARGET) -> DataFrame:
-    """One row of each class: that with the smallest doc_id (any one of equal rows).  Rows without doc_id stay."""
-    found = written(similar_documents(docs, target), "classes")
-    stay = found.where("doc_id = class_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
-    stay = written(stay, "first-of-class")
-    side = stay.select("doc_id")
-    kept = docs.where("doc_id is not null").join(F.broadcast(side) if side.count() <= FEW_IDS else side, "doc_id", "left_semi")
-    if not stay.where("rows > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    """One row of each class, with all its columns: that with the smallest doc_id (of equal ids that with the least hash of the text, of equal rows any one); one without doc_id only if no row of the class has one."""
+    found = written(classed(docs, target), "classes")
+    first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("th") == F.col("first.th"))
+    keys = F.struct(F.col("doc_id").alias("_gone_id"), F.col("th").alias("_gone_th"))
+    gone = small(written(found.where(~first).select(keys.alias("k")).distinct().select("k.*"), "gone"))
+    text_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    kept = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (text_hash == F.col("_gone_th")), "left_anti")
+    if found.where(first).groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").isEmpty():
+        return kept
+    # repeated rows: all but those stay as they are
+    again = found.where(first).groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    again = small(written(again.select(F.col("doc_id").alias("_gone_id"), F.col("th").alias("_gone_th")), "again"))
+    same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (text_hash == F.col("_gone_th"))
+    single = kept.join(again, same, "left_anti")
+    return single.unionByName(kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 ORACLE = r"""

@@ -27,14 +27,31 @@ def work_root(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def freed(spark: SparkSession):
+    """Removes the folders that are made inside when it ends: for results that are written elsewhere by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder's path in the shared folder; removed when the driver's JVM ends."""
+    """A fresh folder's path in the shared folder; removed when its scope or the driver's JVM ends."""
     path = f"{work_root(spark)}/quillspark/{name}-{uuid.uuid4().hex}"
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.mkdirs(hpath)
     fs.deleteOnExit(hpath)
+    if _scopes:
+        _scopes[-1].append(path)
     return path
 
 

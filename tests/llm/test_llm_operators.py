@@ -364,7 +364,44 @@ def test_first_of_class_keeps_columns(spark):
     d = docs(spark, ["one two three four five six", "one two three four five six", "other", None, ""])
     d = d.unionByName(d.where("doc_id = 2")).unionByName(d.where("doc_id = 2").withColumn("doc_id", F.lit(None).cast("long")))
     out = jaccard.first_of_class(d)
-    assert sorted((r["doc_id"] for r in out.collect()), key=str) == [0, 2, 3, None] and out.columns == d.columns
+    assert sorted(r["doc_id"] for r in out.collect()) == [0, 2, 3] and out.columns == d.columns
+    d = d.withColumn("th", F.lit("own")).withColumn("first", F.lit(1))
+    out = jaccard.first_of_class(d)
+    assert sorted(r["doc_id"] for r in out.collect()) == [0, 2, 3] and out.columns == d.columns
+
+
+def test_repeated_and_missing_ids(spark):
+    rng = np.random.default_rng(3)
+    a, b, c, d, e = near_copies(rng, 5)
+    other = near_copies(rng, 3)
+    rows = [(5, a), (5, "alone"), (None, b), (None, c), (7, other[0]), (5, other[1]), (None, "no id at all"), (None, "no id at all"), (9, d), (9, d), (5, e), (None, None), (4, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_classes([t for _, t in rows])
+    members = collections.defaultdict(list)
+    for k, (label, _) in want.items():
+        members[label].append(k)
+    smallest = {label: min((rows[k][0] for k in ks if rows[k][0] is not None), default=None) for label, ks in members.items()}
+    got = sorted(((r["doc_id"], r["class_id"], r["n_links"]) for r in jaccard.similar_documents(table).collect()), key=str)
+    assert got == sorted(((rows[k][0], smallest[label], links) for k, (label, links) in want.items()), key=str)
+    kept = jaccard.first_of_class(table).collect()
+    assert sorted(((r["doc_id"], label_of[r["text"]]) for label_of in [{rows[k][1]: label for k, (label, _) in want.items()}] for r in kept), key=str) == sorted(((smallest[label], label) for label in members), key=str)
+
+
+def test_recall_of_large_buckets(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    monkeypatch.setattr(jaccard, "SPLIT", 4)
+    rng = np.random.default_rng(21)
+    ts = []
+    for k in range(150):  # pairs at 176 / 216, beside a passage that all share
+        w = ["shared"] * 2 + [f"w{x}" for x in rng.integers(0, 10**6, 198)]
+        v = list(w)
+        for at in (20, 60, 100, 140):
+            v[at] = f"new{k}"
+        ts += [" ".join(w), " ".join(v)]
+    ts += near_copies(rng, 100, 200)
+    got = {r["doc_id"]: r["n_links"] for r in jaccard.similar_documents(docs(spark, ts)).collect()}
+    want = brute_classes(ts)
+    assert sum(got.values()) >= 0.9 * sum(n for _, n in want.values()) and all(got[k] <= n for k, (_, n) in want.items())
 
 
 def test_runs_grow_with_the_target():
