@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.llm import decontaminate, jaccard, packing, substring, toxicity
-from quillspark.llm.work import new_folder
+from quillspark.llm.work import freed, new_folder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 EXTRA = ("lang", "source", "n_chars")
@@ -29,7 +29,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the document with the smallest id stays; rows without an id stay."""
+    """Of each class of near duplicates the document with the smallest id stays, or one without an id if none has one."""
     return jaccard.first_of_class(docs).select(*COLUMNS)
 
 
@@ -63,6 +63,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         path = new_folder(spark, f"stage-{k}") + "/documents"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with freed(spark):  # what a stage keeps beside its result goes with it
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
