@@ -7,8 +7,10 @@ group a sequence is filled greedily with the longest piece that fits; then, if
 it holds more than one piece, its smallest is taken out and replaced by the two
 unpacked pieces that fit the expanded gap more tightly, if there are such.
 
-Nulls are empty texts: a piece of the separator alone.  Every row of an empty
-table, repeated rows and repeated ids are packed like any other.
+Nulls are empty texts: a piece of the separator alone.  Rows with repeated or
+missing ids are packed like any other, an empty table gives no row, and other
+columns are not read.  A text is never cut before it is encoded: a worker holds
+some 60 times the bytes of the longest one.
 """
 
 from __future__ import annotations
@@ -101,10 +103,10 @@ def best_two_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.nda
             if stale:
                 floor = np.maximum.accumulate(np.where(left > 0, ar, 0))
                 stale = False
-            lo, hi = bisect_left(have, (room + 1) // 2), bisect_left(have, room)
-            if hi > lo:
-                a = np.array(have[lo:hi])
-                b = floor[room - a]
+            hi = bisect_left(have, room)
+            if hi:
+                a = np.array(have[:hi])
+                b = floor[np.minimum(room - a, a)]
                 twice = (b == a) & (left[a] < 2)
                 if twice.any():
                     b[twice] = floor[a[twice] - 1]
