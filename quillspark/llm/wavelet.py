@@ -1,94 +1,107 @@
 """Token ids in wavelet matrices: one compressed file a shard.
 
 A file holds one bit-plane a bit of the ids, from the highest, each stably
-partitioned by the bit before it, with a directory of ones before each 512
-bits.  Rank and select on the planes give access, counting and occurrence
-lookup; reversing the partitions gives the whole sequence back.
+partitioned by the bit before it.  Planes are cut into blocks of BLOCK bits,
+compressed one by one; an index gives the place of each block and the ones
+before it.  Rank and select on single blocks give access, counting and
+occurrence lookup without reading more of the file than a block or two a plane;
+reversing the partitions gives the whole sequence back.
 
 Documents are in ascending order of (doc_id, hash of the text); nulls first,
-null texts as empty ones (the end id alone).
+null texts as empty ones (the end id alone).  Rows that repeat an id stand side
+by side, each as a document of its own.  An empty table writes no file; other
+columns are not read.  A text is never cut: a worker holds some 60 times the
+bytes of the longest one.
 """
 
 from __future__ import annotations
 
 import json
 import struct
+from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bpe, scan
 from .work import attempt_name, lean, new_folder, one_text, parts_for, put_file, store, text_bytes, written
 
-MAGIC, BLOCK = b"QWM1", 512
+MAGIC, BLOCK = b"QWM2", 1 << 15
 #: A file is closed once it has so many tokens.
 SHARD_TOKENS = 2_000_000
-_ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
+#: Bytes of text that a writing task gets, about.
+TASK = 16 << 20
+#: Writing tasks whose sizes are summed together.
+TASKS = 4096
 
 
 class WaveletMatrix:
-    """planes[k]: packed bits (lowest bit first) of the k-th highest bit; zeros[k]: how many are 0."""
+    """block(k, b): packed bits (lowest first) of block b of the k-th highest bit's plane; ones[k]: set bits before each block, and all; zeros[k]: how many bits are 0."""
 
-    def __init__(self, n: int, planes: list[np.ndarray], zeros: list[int]):
-        self.n, self.planes, self.zeros, self.levels = n, planes, zeros, len(planes)
-        self._before: dict[int, np.ndarray] = {}
+    def __init__(self, n: int, zeros: list[int], ones: np.ndarray, block):
+        self.n, self.zeros, self.levels, self.ones, self.block = n, zeros, len(zeros), ones, block
 
     @classmethod
     def build(cls, ids: np.ndarray, levels: int) -> "WaveletMatrix":
         x = ids.astype(np.uint16 if levels <= 16 else np.uint32)
-        planes, zeros = [], []
+        step = BLOCK // 8
+        blocks = -(-len(x) // BLOCK)
+        planes, zeros, ones = [], [], np.zeros((levels, blocks + 1), np.int64)
         for k in range(levels - 1, -1, -1):
             bit = (x >> k) & 1 > 0
-            planes.append(np.packbits(bit, bitorder="little"))
+            plane = np.packbits(bit, bitorder="little")
+            if blocks:
+                each = np.add.reduceat(np.bitwise_count(plane), np.arange(0, len(plane), step), dtype=np.int64)
+                np.cumsum(each, out=ones[len(planes), 1:])
             low = x[~bit]
+            planes.append(plane)
             zeros.append(len(low))
             x = np.concatenate([low, x[bit]])
-        return cls(len(ids), planes, zeros)
+        return cls(len(ids), zeros, ones, lambda k, b: planes[k][b * step : (b + 1) * step])
 
     def decode(self) -> np.ndarray:
         """The whole sequence."""
         x = np.zeros(self.n, np.uint16 if self.levels <= 16 else np.uint32)
+        blocks = self.ones.shape[1] - 1
         for k in range(self.levels - 1, -1, -1):
-            bit = np.unpackbits(self.planes[k], count=self.n, bitorder="little").view(bool)
+            plane = np.concatenate([self.block(k, b) for b in range(blocks)]) if blocks else np.zeros(0, np.uint8)
+            bit = np.unpackbits(plane, count=self.n, bitorder="little").view(bool)
             up = np.empty_like(x)
             up[~bit] = x[: self.zeros[k]]
             up[bit] = x[self.zeros[k] :] | x.dtype.type(1 << (self.levels - 1 - k))
             x = up
         return x.astype("<u4")
 
-    def directory(self, k: int) -> np.ndarray:
-        """Ones before each block of 512 bits."""
-        if k not in self._before:
-            ones = _ONES[self.planes[k]].astype(np.int64)
-            per = np.add.reduceat(ones, np.arange(0, len(ones), BLOCK // 8)) if len(ones) else np.zeros(0, np.int64)
-            self._before[k] = np.concatenate([[0], np.cumsum(per)])
-        return self._before[k]
-
     def rank1(self, k: int, i: int) -> int:
         """Ones among the first i bits of plane k."""
-        block = i // BLOCK
-        total = int(self.directory(k)[block])
-        a, z = block * BLOCK // 8, i // 8
-        total += int(_ONES[self.planes[k][a:z]].sum())
-        return total + (bin(int(self.planes[k][z]) & ((1 << (i % 8)) - 1)).count("1") if i % 8 else 0)
+        b, rest = divmod(i, BLOCK)
+        total = int(self.ones[k, b])
+        if rest:
+            got = self.block(k, b)
+            total += int(np.bitwise_count(got[: rest // 8]).sum())
+            if rest % 8:
+                total += (int(got[rest // 8]) & ((1 << (rest % 8)) - 1)).bit_count()
+        return total
 
     def bit(self, k: int, i: int) -> int:
-        return int(self.planes[k][i // 8]) >> (i % 8) & 1
+        b, rest = divmod(i, BLOCK)
+        return int(self.block(k, b)[rest // 8]) >> (rest % 8) & 1
 
     def select(self, k: int, which: int, nth: int) -> int:
         """Where the nth (from 0) bit of that value stands in plane k."""
-        ones = self.directory(k)
+        ones = self.ones[k]
         before = ones if which else np.minimum(np.arange(len(ones)) * BLOCK, self.n) - ones
-        block = int(np.searchsorted(before, nth, "right")) - 1
-        bits = np.unpackbits(self.planes[k][block * BLOCK // 8 : (block + 1) * BLOCK // 8], count=min(BLOCK, self.n - block * BLOCK), bitorder="little")
-        return block * BLOCK + int(np.flatnonzero(bits == which)[nth - int(before[block])])
+        b = int(np.searchsorted(before, nth, "right")) - 1
+        bits = np.unpackbits(self.block(k, b), count=min(BLOCK, self.n - b * BLOCK), bitorder="little")
+        return b * BLOCK + int(np.flatnonzero(bits == which)[nth - int(before[b])])
 
     def access(self, i: int) -> int:
+        """The token at a place."""
         out = 0
         for k in range(self.levels):
             b, r = self.bit(k, i), self.rank1(k, i)
@@ -105,43 +118,85 @@ class WaveletMatrix:
 
     def count(self, token: int, past: int | None = None) -> int:
         """How often a token stands before a place."""
+        if token >> self.levels:
+            return 0
         a, z = self._range(token, self.n if past is None else past)
         return z - a
 
     def locate(self, token: int, nth: int) -> int:
         """Where its nth (from 0) occurrence stands."""
+        if not 0 <= nth < self.count(token):
+            raise IndexError("the token does not stand there so often")
         i = self._range(token, self.n)[0] + nth
         for k in range(self.levels - 1, -1, -1):
             b = token >> (self.levels - 1 - k) & 1
             i = self.select(k, b, i - self.zeros[k] if b else i)
         return i
 
-    def to_bytes(self, doc_ids: list, edge: np.ndarray) -> bytes:
-        """doc_ids: of the documents, may hold nulls; edge: where each starts, and the end."""
+    def to_bytes(self, doc_ids: pa.Array, edge: np.ndarray) -> list[bytes]:
+        """The parts of a file.  doc_ids: of the documents, may hold nulls; edge: where each starts, and the end."""
         pack = zstandard.ZstdCompressor(level=1).compress
-        parts = [pack(np.diff(edge).astype("<i8").tobytes()), pack(json.dumps(doc_ids).encode())]
+        none = np.asarray(doc_ids.is_null()).astype(np.uint8)
+        docs = [np.diff(edge).astype("<i8"), np.asarray(doc_ids.fill_null(0)).astype("<i8"), none]
+        docs = [pack(x.tobytes()) for x in docs]
+        body = []
         for k in range(self.levels):
-            parts.append(pack(self.planes[k].tobytes()))
-            parts.append(pack(self.directory(k).astype("<i8").tobytes()))
-        head = json.dumps({"n": self.n, "levels": self.levels, "zeros": self.zeros, "parts": [len(p) for p in parts]}).encode()
-        return b"".join([MAGIC, struct.pack("<I", len(head)), head, *parts])
+            for b in range(self.ones.shape[1] - 1):
+                raw = self.block(k, b).tobytes()
+                small = pack(raw)
+                body.append(small if len(small) < len(raw) else raw)
+        index = np.array([len(x) for x in body], "<i4").tobytes() + self.ones.astype("<i8").tobytes()
+        head = json.dumps({"n": self.n, "levels": self.levels, "zeros": self.zeros, "docs": [len(x) for x in docs], "index": len(index)}).encode()
+        return [MAGIC, struct.pack("<I", len(head)), head, index, *docs, *body]
 
-    @classmethod
-    def from_bytes(cls, raw: bytes) -> tuple["WaveletMatrix", list, np.ndarray]:
-        if raw[:4] != MAGIC:
+
+class WaveletFile(WaveletMatrix):
+    """A written matrix.  read(place, size) gives bytes of the file; of the planes only blocks that are asked for are read."""
+
+    def __init__(self, read):
+        if read(0, 4) != MAGIC:
             raise ValueError("not a wavelet matrix file")
-        (size,) = struct.unpack("<I", raw[4:8])
-        head = json.loads(raw[8 : 8 + size])
+        (size,) = struct.unpack("<I", read(4, 4))
+        head = json.loads(read(8, size))
+        levels, blocks = head["levels"], -(-head["n"] // BLOCK)
+        index = read(8 + size, head["index"])
+        length = np.frombuffer(index, "<i4", levels * blocks).astype(np.int64)
+        ones = np.frombuffer(index, "<i8", levels * (blocks + 1), 4 * levels * blocks).reshape(levels, blocks + 1)
+        self._docs, self._docs_at, self._read = head["docs"], 8 + size + head["index"], read
+        place = self._docs_at + sum(self._docs) + np.cumsum(length) - length
         unpack = zstandard.ZstdDecompressor().decompress
-        parts, at = [], 8 + size
-        for length in head["parts"]:
-            parts.append(unpack(raw[at : at + length]))
-            at += length
-        edge = np.concatenate([[0], np.cumsum(np.frombuffer(parts[0], "<i8"))])
-        planes = [np.frombuffer(parts[2 + 2 * k], np.uint8) for k in range(head["levels"])]
-        self = cls(head["n"], planes, head["zeros"])
-        self._before = {k: np.frombuffer(parts[3 + 2 * k], "<i8") for k in range(head["levels"])}
-        return self, json.loads(parts[1]), edge
+
+        def block(k, b):
+            at = k * blocks + b
+            raw = read(int(place[at]), int(length[at]))
+            whole = -(-min(BLOCK, head["n"] - b * BLOCK) // 8)
+            return np.frombuffer(raw if len(raw) == whole else unpack(raw), np.uint8)
+
+        super().__init__(head["n"], head["zeros"], ones, lru_cache(4 * max(levels, 1))(block))
+
+    @classmethod
+    def open(cls, path: str) -> "WaveletFile":
+        """For lookups: reads the places that are needed."""
+        fs, at = store(path)
+        f = fs.open_input_file(at)
+        return cls(lambda place, size: f.read_at(size, place))
+
+    @classmethod
+    def whole(cls, path: str) -> "WaveletFile":
+        """For decoding: reads the file once."""
+        fs, at = store(path)
+        with fs.open_input_stream(at, compression=None) as f:
+            raw = f.read()
+        return cls(lambda place, size: raw[place : place + size])
+
+    def documents(self) -> tuple[pa.Array, np.ndarray]:
+        """Ids of the documents, and where each starts, with the end."""
+        at, got = self._docs_at, []
+        for size in self._docs:
+            got.append(zstandard.ZstdDecompressor().decompress(self._read(at, size)))
+            at += size
+        edge = np.concatenate([[0], np.cumsum(np.frombuffer(got[0], "<i8"))])
+        return pa.array(np.frombuffer(got[1], "<i8"), mask=np.frombuffer(got[2], np.uint8) > 0), edge
 
 
 MANIFEST = "part int, shard int, path string, part_start long, n_tokens long, n_docs long, file_bytes long"
@@ -153,11 +208,11 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str | None = None, en
     path = vocabulary or bpe.default_path()
     spark = docs.sparkSession
     rows = one_text(docs).withColumn("tie", F.xxhash64("text"))
-    parts = parts_for(spark, text_bytes(docs), 64 << 20)
+    parts = parts_for(spark, text_bytes(docs), TASK)
     rows = rows.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
 
     def run(batches):
-        encoder = bpe.Encoder(path)
+        encoder = bpe.Encoder.kept(path)
         levels = int(encoder.lib.n_ids - 1).bit_length()
         part = TaskContext.get().partitionId()
         held, sizes, names, n, shard, before = [], [], [], 0, 0, 0
@@ -166,12 +221,13 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str | None = None, en
             nonlocal n, shard, before
             ids = np.concatenate(held)
             edge = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
-            raw = WaveletMatrix.build(ids, levels).to_bytes(names, edge)
+            docs = pa.concat_arrays(names)
+            held.clear(), sizes.clear(), names.clear()
+            raw = WaveletMatrix.build(ids, levels).to_bytes(docs, edge)
             at = f"{folder}/part-{part:06d}-{shard:06d}.qwm"
-            put_file(at, [raw], attempt_name())
-            row = pa.RecordBatch.from_pylist([{"part": part, "shard": shard, "path": at, "part_start": before, "n_tokens": n, "n_docs": len(names), "file_bytes": len(raw)}], schema=pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("path", pa.string()), ("part_start", pa.int64()), ("n_tokens", pa.int64()), ("n_docs", pa.int64()), ("file_bytes", pa.int64())]))
+            put_file(at, raw, attempt_name())
+            row = pa.RecordBatch.from_pylist([{"part": part, "shard": shard, "path": at, "part_start": before, "n_tokens": n, "n_docs": len(docs), "file_bytes": sum(map(len, raw))}], schema=pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("path", pa.string()), ("part_start", pa.int64()), ("n_tokens", pa.int64()), ("n_docs", pa.int64()), ("file_bytes", pa.int64())]))
             before, shard, n = before + n, shard + 1, 0
-            held.clear(), sizes.clear(), names.clear()
             return row
 
         for b in batches:
@@ -184,7 +240,7 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str | None = None, en
                 flat[keep] = ids
                 held.append(flat)
                 sizes.append(np.diff(edge) + 1)
-                names += doc.slice(i, j - i).to_pylist()
+                names.append(doc.slice(i, j - i))
                 n += len(flat)
                 if n >= shard_tokens:
                     yield flush()
@@ -194,30 +250,49 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str | None = None, en
     return written(rows.mapInArrow(lean(run), MANIFEST), "wavelet-manifest")
 
 
+def with_starts(manifest: DataFrame) -> DataFrame:
+    """The manifest and base: tokens of all parts before.  Sums over TASKS parts at a time, so no task sees a row of each part."""
+    parts = manifest.groupBy("part").agg(F.sum("n_tokens").alias("n")).withColumn("chunk", F.floor(F.col("part") / F.lit(TASKS)))
+    earlier = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    chunks = parts.groupBy("chunk").agg(F.sum("n").alias("n")).select("chunk", earlier(Window.orderBy("chunk")).alias("chunk_base"))
+    base = parts.withColumn("in_chunk", earlier(Window.partitionBy("chunk").orderBy("part"))).join(chunks, "chunk")
+    return manifest.join(base.select("part", (F.col("chunk_base") + F.col("in_chunk")).alias("base")), "part")
+
+
 def read_shards(manifest: DataFrame) -> DataFrame:
     """Per document: start over all files, token count and crc32 of the ids, decoded from the files."""
-    # one row a writing task, however many documents there are
-    totals = {r["part"]: r["n"] for r in manifest.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect()}
-    base, at = {}, 0
-    for part in sorted(totals):
-        base[part] = at
-        at += totals[part]
 
     def run(batches):
         for b in batches:
-            for part, path, part_start in zip(b["part"].to_pylist(), b["path"].to_pylist(), b["part_start"].to_pylist(), strict=True):
-                fs, at = store(path)
-                with fs.open_input_stream(at, compression=None) as f:
-                    matrix, names, edge = WaveletMatrix.from_bytes(f.read())
-                raw = memoryview(matrix.decode().tobytes())
-                crc = [crc32(raw[4 * a : 4 * z]) for a, z in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(edge[:-1] + base[part] + part_start), pa.array(np.diff(edge)), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+            for path, start in zip(b["path"].to_pylist(), b["start"].to_pylist(), strict=True):
+                matrix = WaveletFile.whole(path)
+                docs, edge = matrix.documents()
+                raw = memoryview(matrix.decode()).cast("B")
+                at = (4 * edge).tolist()
+                crc = [crc32(raw[a:z]) for a, z in zip(at[:-1], at[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([docs, pa.array(edge[:-1] + start), pa.array(np.diff(edge)), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     files = manifest.count()
-    spread = manifest.select("part", "path", "part_start").repartition(max(1, min(files, 4 * max(manifest.sparkSession.sparkContext.defaultParallelism, files // 32))))
+    spread = with_starts(manifest).select("path", (F.col("base") + F.col("part_start")).alias("start"))
+    spread = spread.repartition(max(1, min(files, 4 * max(manifest.sparkSession.sparkContext.defaultParallelism, files // 32))))
     return spread.mapInArrow(lean(run), ROWS)
 
 
-def binary_output(docs: DataFrame, vocabulary: str | None = None, end_id: int = 1, folder: str | None = None) -> DataFrame:
+def occurrences(manifest: DataFrame, token: int) -> DataFrame:
+    """path, n and first (place in its file, null if none) of a token in each file, from a few blocks of it."""
+
+    def run(batches):
+        for b in batches:
+            got = []
+            for path in b["path"].to_pylist():
+                f = WaveletFile.open(path)
+                n = f.count(token)
+                got.append({"path": path, "n": n, "first": f.locate(token, 0) if n else None})
+            yield pa.RecordBatch.from_pylist(got, schema=pa.schema([("path", pa.string()), ("n", pa.int64()), ("first", pa.int64())]))
+
+    return manifest.select("path").mapInArrow(run, "path string, n long, first long")
+
+
+def binary_output(docs: DataFrame, vocabulary: str | None = None, end_id: int = 1, folder: str | None = None, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     folder = folder or new_folder(docs.sparkSession, "wavelet")
-    return read_shards(write_shards(docs, folder, vocabulary, end_id))
+    return read_shards(write_shards(docs, folder, vocabulary, end_id, shard_tokens))
