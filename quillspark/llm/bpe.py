@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import heapq
 import json
+import os
 import re
+from functools import cached_property
 
 import numpy as np
 
@@ -112,6 +114,8 @@ class Library:
         return cls._loaded[path]
 
     def _load(self, path: str) -> None:
+        # a task has one core: the library's threads would only get in each other's way
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -123,22 +127,52 @@ class Library:
         suffix = model["model"]["end_of_word_suffix"] or ""
         self.suffix = suffix
         vocab = model["model"]["vocab"]
-        self.vocab = vocab
+        self.path, self.width = path, len(vocab) + 1
         self.n_ids = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        # rank and result of each adjacent pair, by a single integer key
-        width = len(vocab) + 1
-        self.width = width
-        self.pairs: dict[int, tuple[int, int]] = {}
-        for rank, pair in enumerate(model["model"]["merges"]):
-            a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.pairs[vocab[a] * width + vocab[b]] = (rank, vocab[a + b])
         shown = byte_letters()
         self.inner = [vocab[c] for c in shown]
         self.final = [vocab[c + suffix] for c in shown]
+        self.ends_word = np.zeros(self.n_ids, bool)
+        if suffix:
+            self.ends_word[[i for w, i in vocab.items() if w.endswith(suffix)]] = True
+
+    @cached_property
+    def pairs(self) -> dict[int, tuple[int, int]]:
+        """Rank and result of each adjacent pair, by a single integer key; only counting needs them."""
+        model = json.load(open(self.path))["model"]
+        vocab, out = model["vocab"], {}
+        for rank, pair in enumerate(model["merges"]):
+            a, b = pair if isinstance(pair, list) else pair.split(" ")
+            out[vocab[a] * self.width + vocab[b]] = (rank, vocab[a + b])
+        return out
 
-    def ids(self, words: list[bytes], odd: np.ndarray) -> list[list[int]]:
-        enc = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [e.ids for e in enc]
+    def ids(self, words: list[bytes], odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, one after another, and how many each has."""
+        plain = np.flatnonzero(~odd)
+        if not len(plain):
+            return self._each(words)
+        # plain words are one pre-token each, so they can stand in one text; a word's last id says that it ends
+        got = self.tokenizer.encode_batch_fast([b" ".join([words[k] for k in plain.tolist()] if len(plain) < len(words) else words).decode()], add_special_tokens=False)[0].ids
+        flat = np.array(got, np.uint32)
+        last = np.flatnonzero(self.ends_word[flat])
+        if len(last) != len(plain) or last[-1] != len(flat) - 1:
+            return self._each(words)
+        n = np.diff(last, prepend=-1)
+        if len(plain) == len(words):
+            return flat, n
+        other, m = self._each([words[k] for k in np.flatnonzero(odd).tolist()])
+        count = np.zeros(len(words), np.int64)
+        count[plain], count[odd] = n, m
+        out = np.zeros(len(flat) + len(other), np.uint32)
+        first = np.cumsum(count) - count
+        out[scan.segment_positions(first[plain], n)] = flat
+        out[scan.segment_positions(first[odd], m)] = other
+        return out, count
+
+    def _each(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        got = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+        n = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter((x for w in got for x in w), np.uint32, int(n.sum())), n
 
     def counts(self, words: list[bytes], odd: np.ndarray) -> list[int]:
         return [self.count_odd(w.decode()) if o else self.count(w) for w, o in zip(words, odd.tolist(), strict=True)]
@@ -204,6 +238,15 @@ _LETTER_BYTE = {c: b for b, c in enumerate(byte_letters())}
 class Counter:
     """Token counts of texts."""
 
+    _kept: dict[tuple[type, str], "Counter"] = {}
+
+    @classmethod
+    def kept(cls, path: str) -> "Counter":
+        """This process's own, with the words of its earlier tasks."""
+        if (cls, path) not in cls._kept:
+            cls._kept[cls, path] = cls(path)
+        return cls._kept[cls, path]
+
     def __init__(self, path: str):
         self.lib, self.index, self.value = Library(path), scan.HashIndex(), np.zeros(0, np.int64)
 
@@ -251,12 +294,11 @@ class Encoder(Counter):
     def _learn(self, words, odd) -> None:
         if not len(self.value):
             self.used, self.begin = 0, np.zeros(0, np.int64)
-        got = self.lib.ids(words, odd)
-        n = np.fromiter(map(len, got), np.int64, len(got))
-        total = int(n.sum())
+        flat, n = self.lib.ids(words, odd)
+        total = len(flat)
         while self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used : self.used + total] = np.fromiter((x for w in got for x in w), np.uint32, total)
+        self.flat[self.used : self.used + total] = flat
         self.begin = np.concatenate([self.begin, self.used + np.cumsum(n) - n])
         self.used += total
         self.value = np.concatenate([self.value, n])

@@ -153,7 +153,7 @@ class HashIndex:
         if 2 * (self.n + len(h)) > (1 << self.bits):
             used = np.flatnonzero(self.vals >= 0)
             keys, vals = self.keys[used], self.vals[used]
-            bits = max(self.bits + 1, int(4 * (self.n + len(h))).bit_length())
+            bits = max(self.bits + 1, int(2 * (self.n + len(h))).bit_length())
             n = self.n
             self.clear(bits)
             self.n = n

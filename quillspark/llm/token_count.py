@@ -25,7 +25,7 @@ def count_tokens(docs: DataFrame, vocabulary: str | None = None, limit: int = 20
     path = vocabulary or bpe.default_path()
 
     def run(batches):
-        counter = bpe.Counter(path)
+        counter = bpe.Counter.kept(path)
         for b in batches:
             data, offs = scan.view(scan.text_column(b))
             n = counter.texts(data, offs)

@@ -103,32 +103,129 @@ def test_best_two_fit_beats_greedy():
     assert packing.best_two_fit(np.zeros(0, np.int64), 40)[2] == 0
 
 
-def test_wavelet_matrix():
+def plain_best_two_fit(lengths, capacity):
+    """The rule on plain lists: bins as sorted lists of lengths."""
+    left, bins = sorted(lengths), []
+    while left:
+        one = []
+        while any(x <= capacity - sum(one) for x in left):
+            one.append(max(x for x in left if x <= capacity - sum(one)))
+            left.remove(one[-1])
+        if sum(one) < capacity and len(one) > 1:
+            room = capacity - sum(one) + one[-1]
+            pairs = [(a + b, a, b) for i, a in enumerate(left) for b in left[:i] if a + b <= room]
+            if pairs and max(p[0] for p in pairs) > one[-1]:
+                left.append(one.pop())
+                most = max(p[0] for p in pairs)
+                # of pairs as tight the one whose longer part is the shortest
+                a, b = min(p[1:] for p in pairs if p[0] == most)
+                one += [a, b]
+                left.remove(a), left.remove(b)
+                left.sort()
+        bins.append(sorted(one))
+    return bins
+
+
+def test_best_two_fit_follows_the_rule():
+    rng = np.random.default_rng(17)
+    fewer = 0
+    for _ in range(200):
+        x = rng.integers(1, 60, rng.integers(1, 50))
+        bins, _, n = packing.best_two_fit(x, 60)
+        want = plain_best_two_fit(x.tolist(), 60)
+        assert sorted(sorted(x[bins == k].tolist()) for k in range(n)) == sorted(want)
+        greedy, rest = 0, sorted(x.tolist())
+        while rest:
+            room = 60
+            while any(v <= room for v in rest):
+                v = max(v for v in rest if v <= room)
+                rest.remove(v)
+                room -= v
+            greedy += 1
+        fewer += greedy - n
+    assert fewer >= 0
+
+
+def test_wavelet_matrix(monkeypatch):
+    monkeypatch.setattr(wavelet, "BLOCK", 512)
     rng = np.random.default_rng(1)
-    for n, levels in ((0, 16), (1, 16), (700, 5), (5000, 16)):
+    for n, levels in ((0, 16), (1, 16), (512, 3), (700, 5), (5000, 16)):
         x = rng.integers(0, 1 << min(levels, 9), n).astype(np.uint32)
-        m, names, edge = wavelet.WaveletMatrix.from_bytes(wavelet.WaveletMatrix.build(x, levels).to_bytes([None, 5], np.array([0, n, n])))
-        assert (m.decode() == x).all() and names == [None, 5] and edge.tolist() == [0, n, n]
+        raw = b"".join(wavelet.WaveletMatrix.build(x, levels).to_bytes(pa.array([None, 5]), np.array([0, n, n])))
+        m = wavelet.WaveletFile(lambda place, size: raw[place : place + size])
+        names, edge = m.documents()
+        assert (m.decode() == x).all() and names.to_pylist() == [None, 5] and edge.tolist() == [0, n, n]
         for i in rng.integers(0, max(n, 1), 20 if n else 0):
             assert m.access(int(i)) == x[i]
-        for c in set(x[:20].tolist()):
+        for c in {*x[:20].tolist(), 1 << (levels - 1)}:
             at = np.flatnonzero(x == c)
             assert m.count(c) == len(at) and m.count(c, n // 2) == (at < n // 2).sum()
             assert [m.locate(c, k) for k in range(min(3, len(at)))] == at[:3].tolist()
+            with pytest.raises(IndexError):
+                m.locate(c, len(at))
 
 
-def test_token_binary(spark, sf, library, monkeypatch):
-    ts = ODD + texts(sf, 80)
+def test_wavelet_lookups_read_few_blocks():
+    x = np.random.default_rng(4).zipf(1.3, 600_000).clip(0, 40_000).astype(np.uint32)
+    raw = b"".join(wavelet.WaveletMatrix.build(x, 16).to_bytes(pa.array([1]), np.array([0, len(x)])))
+    seen = []
+
+    def read(place, size):
+        seen.append(size)
+        return raw[place : place + size]
+
+    m = wavelet.WaveletFile(read)
+    opened = sum(seen)
+    assert m.access(300_000) == x[300_000] and opened < len(raw) / 20
+    assert sum(seen) - opened <= 16 * wavelet.BLOCK // 8
+    at = np.flatnonzero(x == 7)
+    assert m.count(7) == len(at) and m.locate(7, 1000) == at[1000]
+    assert sum(seen) < len(raw) / 3
+
+
+def test_token_binary(spark, sf, library, monkeypatch, tmp_path):
+    monkeypatch.setattr(wavelet, "TASKS", 2)
+    monkeypatch.setattr(wavelet, "TASK", 300_000)
+    ts = texts(sf, 80)
+    ts = ODD + ts[:30] + ["long text " * 60_000, "more of it " * 60_000] + ts[30:]  # several shards a task
     want, start = {}, 0
-    for i, ids in enumerate(ids_of(library, ts)):
-        ids = [*ids, 1]
+    every = [[*ids, 1] for ids in ids_of(library, ts)]
+    for i, ids in enumerate(every):
         want[i] = (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
-    got = by_doc(wavelet.binary_output(docs(spark, ts).repartition(3)))
+    table = docs(spark, ts).repartition(3)
+    manifest = wavelet.write_shards(table, f"file://{tmp_path}", shard_tokens=3_000)
+    assert manifest.groupBy("part").count().where("count > 1").count() and manifest.select("part").distinct().count() > 3
+    got = by_doc(wavelet.read_shards(manifest))
     assert {k: tuple(v[0])[1:] for k, v in got.items()} == want
+    flat = np.concatenate(every)
+    token = int(np.bincount(flat[flat > 1]).argmax())
+    assert sum(r["n"] for r in wavelet.occurrences(manifest, token).collect()) == (flat == token).sum()
+    first = wavelet.WaveletFile.open(manifest.orderBy("part", "shard").first()["path"])
+    assert [first.access(k) for k in range(0, 900, 90)] == flat[:900:90].tolist()
     assert wavelet.binary_output(docs(spark, [])).count() == 0
 
 
+def test_token_tables_with_odd_ids(spark, library):
+    rows = [(None, "no id"), (3, "later"), (1, "one"), (1, "one"), (1, "other"), (2, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("ids", F.lit("own"))
+    n = {t: len(ids_of(library, [t])[0]) for _, t in rows}
+    got = sorted(tuple(r)[:3] for r in wavelet.binary_output(table).na.fill(-1, ["doc_id"]).collect())
+    want, at = [], 0
+    for i, size in sorted(((-1 if i is None else i), n[t] + 1) for i, t in rows):
+        want.append((i, size))
+    assert sorted((i, size) for i, _, size in got) == sorted(want)
+    starts = sorted((start, size) for _, start, size in got)
+    for start, size in starts:
+        assert start == at
+        at += size
+    assert [i for _, i in sorted((start, i) for i, start, _ in got)] == [-1, 1, 1, 1, 2, 3]
+    counted = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_tokens"] + 1) for r in token_count.count_tokens(table).collect())
+    assert counted == sorted(want)
+    packed = collections.Counter((-1 if r["doc_id"] is None else r["doc_id"], r["length"]) for r in packing.pack_documents(table).collect())
+    assert packed == collections.Counter(want)
+
+
 # ---- media
 
 
