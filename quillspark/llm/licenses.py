@@ -1,30 +1,41 @@
 """License scans by sentence rules, with DataFrame functions alone.
 
-A text is cut into sentences at line ends and after . ! ? ; : before white
-space; n_sentences counts these.  In lower case, with all but a-z and 0-9 folded
-to single spaces, known licence sentences are looked up.  One may run on over
-cuts at a single line end or a colon (wrapped notices, comment marks, SPDX tags),
-not past a blank line or . ! ? ;.  Of those that begin at one cut the longest
-counts.  The ids of those found, in text order, are matched against rules, each
-an ordered list of ids that may have other ids between them.  A rule that is part
-of a longer matched rule for the same licence adds nothing.
-
-Nulls and empty texts have no sentences.  Each row stands for itself.
+A text's letters are lowered and all but a-z and 0-9 fold to single spaces.  A
+sentence ends after . ! ? ; before white space, at a blank line (or one of marks
+alone) and before a list number; line ends and colons may end a known sentence
+but need not, so wrapped and commented notices are found.  n_sentences counts
+sentences with a letter or digit.
+
+The catalogue is two tables.  SENTENCES gives known sentences an id: places where
+one may begin meet the sentences that begin with the same words in a hash join,
+and of those that stand there, up to a place where one may end, the longest
+counts.  RULES give licences ordered lists of sentence ids: a text's ids, in
+order, meet the rules that begin with one of them, and a rule matches if its ids
+stand in that order, others between them or not.  A matched rule whose ids are
+all in a longer matched rule adds nothing.
+
+Only rows with a word of the catalogue's stems are looked up.  Nulls and empty
+texts have no sentences, an empty table gives no row, each row stands for itself
+whatever its doc_id, and other columns are not read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Public licence wordings, by sentence id, normalised.
 SENTENCES = {
     "mit-line": "released under the mit license",
     "mit-licensed": "licensed under the mit license",
+    "mit-this": "this project is licensed under the mit license",
     "mit-title": "the mit license",
     "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions",
     "mit-notice": "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
     "as-is": "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement",
+    "mit-liable": "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software",
+    "isc-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "isc-as-is": "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness",
     "apache2-line": "licensed under the apache license version 2 0",
     "apache2-the-license": "licensed under the apache license version 2 0 the license",
     "apache2-comply": "you may not use this file except in compliance with the license",
@@ -35,47 +46,99 @@ SENTENCES = {
     "gpl-you-can": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
     "gpl2-or-later": "either version 2 of the license or at your option any later version",
     "gpl3-or-later": "either version 3 of the license or at your option any later version",
+    "gpl2-comma": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
     "gpl3-comma": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "gpl2-only": "you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation",
+    "gpl3-only": "you can redistribute it and or modify it under the terms of the gnu general public license version 3 as published by the free software foundation",
     "gpl-hope": "this program is distributed in the hope that it will be useful but without any warranty",
+    "lgpl-you-can": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation",
+    "lgpl21-or-later": "either version 2 1 of the license or at your option any later version",
+    "lgpl3-comma": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "lgpl-hope": "this library is distributed in the hope that it will be useful but without any warranty",
+    "agpl3-comma": "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "mpl2-subject": "this source code form is subject to the terms of the mozilla public license v",
+    "mpl2-obtain": "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0",
+    "mpl2-obtain-https": "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
+    "unlicense-free": "this is free and unencumbered software released into the public domain",
+    "unlicense-anyone": "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means",
+    "cc0-waive": "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work",
     "cc-by-nc-4-line": "licensed under cc by nc 4 0",
+    "cc-by-sa-4-line": "licensed under cc by sa 4 0",
     "cc-by-4-line": "licensed under cc by 4 0",
     "cc-by-4-work": "this work is licensed under a creative commons attribution 4 0 international license",
+    "cc-by-sa-4-work": "this work is licensed under a creative commons attribution sharealike 4 0 international license",
     "cc-by-nc-4-work": "this work is licensed under a creative commons attribution noncommercial 4 0 international license",
     "bsd-redistribution": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
     "bsd-source": "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
     "bsd-binary": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
-    "spdx-mit": "spdx license identifier mit",
-    "spdx-apache2": "spdx license identifier apache 2 0",
-    "spdx-gpl3": "spdx license identifier gpl 3 0 only",
+    "bsd3-endorse": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-as-is": "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
 }
-#: Rule: (licence, ordered sentence ids).
+#: (licence, ordered sentence ids).
 RULES = [
     ("MIT", ("mit-line",)),
     ("MIT", ("mit-licensed",)),
-    ("MIT", ("spdx-mit",)),
+    ("MIT", ("mit-this",)),
     ("MIT", ("mit-grant", "mit-notice", "as-is")),
+    ("ISC", ("isc-grant", "isc-as-is")),
     ("Apache-2.0", ("apache2-line",)),
     ("Apache-2.0", ("apache2-the-license", "apache2-comply", "apache2-copy", "apache2-as-is")),
-    ("Apache-2.0", ("spdx-apache2",)),
     ("GPL-3.0", ("gpl3-work",)),
-    ("GPL-3.0", ("spdx-gpl3",)),
     ("GPL-3.0-or-later", ("gpl-you-can", "gpl3-or-later", "gpl-hope")),
     ("GPL-3.0-or-later", ("gpl3-comma", "gpl-hope")),
+    ("GPL-3.0-only", ("gpl3-only", "gpl-hope")),
     ("GPL-2.0-or-later", ("gpl-you-can", "gpl2-or-later", "gpl-hope")),
+    ("GPL-2.0-or-later", ("gpl2-comma", "gpl-hope")),
+    ("GPL-2.0-only", ("gpl2-only", "gpl-hope")),
+    ("LGPL-2.1-or-later", ("lgpl-you-can", "lgpl21-or-later", "lgpl-hope")),
+    ("LGPL-3.0-or-later", ("lgpl3-comma",)),
+    ("AGPL-3.0-or-later", ("agpl3-comma", "gpl-hope")),
+    ("MPL-2.0", ("mpl2-subject", "mpl2-obtain")),
+    ("MPL-2.0", ("mpl2-subject", "mpl2-obtain-https")),
+    ("Unlicense", ("unlicense-free", "unlicense-anyone")),
+    ("CC0-1.0", ("cc0-waive",)),
     ("CC-BY-NC-4.0", ("cc-by-nc-4-line",)),
     ("CC-BY-NC-4.0", ("cc-by-nc-4-work",)),
+    ("CC-BY-SA-4.0", ("cc-by-sa-4-line",)),
+    ("CC-BY-SA-4.0", ("cc-by-sa-4-work",)),
     ("CC-BY-4.0", ("cc-by-4-line",)),
     ("CC-BY-4.0", ("cc-by-4-work",)),
     ("BSD-2-Clause", ("bsd-redistribution", "bsd-source", "bsd-binary")),
+    ("BSD-3-Clause", ("bsd-redistribution", "bsd-source", "bsd-binary", "bsd3-endorse")),
 ]
-SPLIT_AFTER, LINE_END, FOLD = r"([.!?;:])[ \t\r]+", r"[\r\n]+", "[^a-z0-9]+"
-#: In lower case: where a sentence ends for good, also at a line of marks alone; where it may run on.
-HARD, SOFT = r"[.!?;][ \t]*\n|[.!?;][ \t]+|\n[^a-z0-9\n|]*(?=\n)", r":[ \t]+|\n"
+#: Licences that are also known by their SPDX tag.
+TAGGED = "MIT ISC Apache-2.0 GPL-3.0-only GPL-3.0-or-later GPL-2.0-only GPL-2.0-or-later LGPL-2.1-or-later LGPL-3.0-or-later AGPL-3.0-or-later MPL-2.0 Unlicense CC0-1.0 CC-BY-4.0 CC-BY-SA-4.0 CC-BY-NC-4.0 BSD-2-Clause BSD-3-Clause"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ|", "abcdefghijklmnopqrstuvwxyz "
+#: In lower case, line ends as "\n": where a sentence ends; where it may end.
+END = r"[.!?;][ \t]*\n|[.!?;][ \t]+|\n[^a-z0-9\n|]*(?=\n)"
+LIST_NUMBER = r"\n[^a-z0-9\n|]*[0-9a-z]{1,2}[.)][ \t]"
+MAY_END = r":[ \t]+|\n"
+#: Words that a place and a sentence are joined on.
+KEY = 3
 
 
-def stems(sentences: dict[str, str]) -> list[str]:
-    """Words of which each known sentence has one: fewest first, so that few sentences are folded and looked up."""
-    left, out = [s.split(" ") for s in sentences.values()], []
+def catalogue(sentences: dict[str, str] | None = None, rules: list | None = None) -> tuple[dict[str, str], list]:
+    """Sentences and rules, those of SPDX tags among them unless others are given."""
+    if sentences is not None:
+        return sentences, rules or []
+    fold = lambda s: " ".join("".join(c if c.isalnum() else " " for c in s.lower()).split())
+    tags = {f"spdx-{x.lower()}": (x, "spdx license identifier " + fold(x)) for x in TAGGED.split()}
+    return SENTENCES | {k: s for k, (_, s) in tags.items()}, RULES + [(x, (k,)) for k, (x, _) in tags.items()]
+
+
+def sentence_table(spark: SparkSession, sentences: dict[str, str]) -> DataFrame:
+    """id and words of the known sentences."""
+    return spark.createDataFrame(list(sentences.items()), "id string, words string")
+
+
+def rule_table(spark: SparkSession, rules: list) -> DataFrame:
+    """license and ordered ids of the rules."""
+    return spark.createDataFrame([(name, list(ids)) for name, ids in rules], "license string, ids array<string>")
+
+
+def stems(sentences: list[str]) -> list[str]:
+    """Words of which each known sentence has one: fewest first, so that few texts are looked up."""
+    left, out = [s.split(" ") for s in sentences], []
     while left:
         counts: dict[str, int] = {}
         for s in left:
@@ -87,52 +150,92 @@ def stems(sentences: dict[str, str]) -> list[str]:
     return out
 
 
-def cut_sentences(text: Column) -> Column:
-    return F.filter(F.split(F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), SPLIT_AFTER, "$1\n"), LINE_END), lambda s: s.rlike("[A-Za-z0-9]"))
+def lined(text: Column) -> Column:
+    """The folded text: "|" where a sentence may end, "||" where it ends; one of them at both ends."""
+    low = F.translate(F.coalesce(text.cast("string"), F.lit("")), UPPER, LOWER)
+    cut = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(low, r"\r\n?", "\n"), LIST_NUMBER, "||"), END, "||"), MAY_END, "|")
+    bars = F.regexp_replace(F.regexp_replace(F.concat(F.lit("|"), cut, F.lit("|")), "[^a-z0-9|]+", " "), r" *\| *", "|")
+    return F.regexp_replace(bars, r"\|{2,}", "||")
 
 
-def lined(text: Column) -> Column:
-    """The folded text between bars: "|" for a cut that a sentence may run over, more for one that it may not."""
-    low = F.translate(F.coalesce(text.cast("string"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ|", "abcdefghijklmnopqrstuvwxyz ")
-    cut = F.regexp_replace(F.regexp_replace(F.regexp_replace(low, r"\r\n?", "\n"), HARD, "||"), SOFT, "|")
-    return F.regexp_replace(F.regexp_replace(F.concat(F.lit("|"), cut, F.lit("|")), "[^a-z0-9|]+", " "), r" *\| *", "|")
+def count_sentences(folded: Column) -> Column:
+    return F.size(F.filter(F.split(folded, r"\|\|"), lambda s: s.rlike("[a-z0-9]"))).cast("long")
 
 
-def known(sentences: dict[str, str]) -> str:
-    """Over lined texts: the longest known sentence from a cut to a cut."""
-    return r"(?<=\|)(?:" + "|".join(s.replace(" ", "[ |]") for s in sorted(sentences.values(), key=lambda s: (-len(s), s))) + r")(?=\|)"
+def places(folded: Column, hint: str, longest: int) -> Column:
+    """Of each sentence with a stem: where a known one may begin, with what follows there, "|" at its end."""
+    kept = F.filter(F.transform(F.split(folded, r"\|\|"), lambda s, k: F.struct(k.alias("sentence"), F.trim(F.translate(s, "|", " ")).alias("plain"), s.alias("s"))), lambda x: x["plain"].rlike(hint))
+    starts = F.transform(kept, lambda x: F.transform(F.filter(F.sequence(F.lit(1), F.length(x["s"])), lambda i: (F.substring(x["s"], i, 1) != "|") & ((i == 1) | (F.substring(x["s"], i - 1, 1) == "|"))), lambda i: F.struct(x["sentence"], i.alias("at"), F.concat(F.substring(x["s"], i, F.lit(longest + 1)), F.lit("|")).alias("ahead"))))
+    return F.flatten(starts)
 
 
-def pattern(ids: tuple[str, ...]) -> str:
-    """Over ">id>id>": the ids in order, others between them."""
-    return ">" + ">(?:[^>]+>)*".join(ids) + ">"
+def ordered_in(ids: Column, rule: Column) -> Column:
+    """Whether the rule's ids stand in ids in their order."""
+    met = F.aggregate(ids, F.lit(0), lambda n, x: n + F.when((n < F.size(rule)) & (x == F.get(rule, n)), 1).otherwise(0))
+    return met == F.size(rule)
 
 
 def scan_licenses(docs: DataFrame, sentences: dict[str, str] | None = None, rules: list | None = None) -> DataFrame:
-    """doc_id, n_sentences, sentence_ids (in text order), licenses (sorted) of each row, as comma-joined strings."""
-    sentences, rules = sentences or SENTENCES, rules or RULES
-    by_text = F.create_map(*(F.lit(x) for k, v in sentences.items() for x in (v, k)))
-    hint = "(?i)" + "|".join(stems(sentences))
-    spans = F.when(F.col("text").rlike(hint), F.regexp_extract_all(lined(F.col("text")), F.lit(known(sentences)), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    rows = docs.select("doc_id", F.size(cut_sentences(F.col("text"))).cast("long").alias("n_sentences"), F.transform(spans, lambda s: F.try_element_at(by_text, F.translate(s, "|", " "))).alias("ids"))
-    chain = F.concat(F.lit(">"), F.array_join("ids", ">"), F.lit(">"))
-    names = F.array_distinct(F.array_sort(F.filter(F.array(*(F.when(chain.rlike(pattern(ids)), F.lit(name)) for name, ids in rules)), lambda x: x.isNotNull())))
-    return rows.select("doc_id", "n_sentences", F.array_join("ids", ",").alias("sentence_ids"), F.when(F.size("ids") == 0, F.lit("")).otherwise(F.array_join(names, ",")).alias("licenses"))
+    """doc_id, n_sentences, sentence_ids (in text order) and licenses (sorted) of each row, as comma-joined strings.
+
+    sentences: id to normalised words; rules: (licence, ordered ids).
+    """
+    spark = docs.sparkSession
+    sentences, rules = catalogue(sentences, rules)
+    longest = max(map(len, sentences.values()), default=0)
+    hint = r"\b(?:" + "|".join(stems(list(sentences.values()))) + r")\b" if sentences else "(?!)"
+    first_words = lambda c: F.substring_index(F.trim(F.translate(c, "|", " ")), " ", KEY)
+    known = sentence_table(spark, sentences).withColumn("key", first_words(F.col("words")))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", lined(F.col("text")).alias("folded"))
+    rows = rows.select("row", "doc_id", count_sentences(F.col("folded")).alias("n_sentences"), F.when(F.col("folded").rlike(hint), places(F.col("folded"), hint, longest)).alias("places"))
+    spread = rows.select("row", "doc_id", "n_sentences", F.explode_outer("places").alias("place")).withColumn("key", first_words(F.col("place.ahead")))
+    # the catalogue is a table of the package or of the caller, not of the corpus
+    met = spread.join(F.broadcast(known), "key", "left")
+    size = F.length("words")
+    there = (F.substring(F.translate("place.ahead", "|", " "), F.lit(1), size) == F.col("words")) & (F.substring(F.col("place.ahead"), size + 1, F.lit(1)) == "|")
+    hit = F.when(there, F.struct("place.sentence", "place.at", size.alias("size"), "id"))
+    found = met.select("row", "doc_id", "n_sentences", hit.alias("hit")).groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_sentences").alias("n_sentences"), F.array_sort(F.collect_list("hit")).alias("hits"))
+    # of those at one place the last is the longest
+    last = F.filter("hits", lambda x, k: (k == F.size("hits") - 1) | (F.get("hits", k + 1)["sentence"] != x["sentence"]) | (F.get("hits", k + 1)["at"] != x["at"]))
+    found = found.select("row", "doc_id", "n_sentences", F.transform(last, lambda x: x["id"]).alias("ids"))
+    table = rule_table(spark, rules).select("license", F.col("ids").alias("rule"), F.get("ids", F.lit(0)).alias("first"))
+    tried = found.select("row", "doc_id", "n_sentences", "ids", F.explode_outer(F.array_distinct("ids")).alias("first")).join(F.broadcast(table), "first", "left")
+    matched = F.when(ordered_in(F.col("ids"), F.col("rule")), F.struct("license", "rule"))
+    by_row = tried.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_sentences").alias("n_sentences"), F.first("ids").alias("ids"), F.collect_list(matched).alias("rules"))
+    own = F.filter("rules", lambda r: ~F.exists("rules", lambda q: (F.size(q["rule"]) > F.size(r["rule"])) & (F.size(F.array_except(r["rule"], q["rule"])) == 0)))
+    names = F.array_sort(F.array_distinct(F.transform(own, lambda r: r["license"])))
+    return by_row.select("doc_id", "n_sentences", F.array_join("ids", ",").alias("sentence_ids"), F.array_join(names, ",").alias("licenses"))
 
 
 def oracle() -> str:
-    known = ", ".join(f"('{v}', '{k}')" for k, v in SENTENCES.items())
-    rules = ", ".join(f"('{name}', '{pattern(ids)}')" for name, ids in RULES)
+    """The same by looking up all runs of lines, and rules by the least places of their ids."""
+    sentences, rules = catalogue()
+    known = ", ".join(f"('{v}', '{k}')" for k, v in sentences.items())
+    wanted = ", ".join(f"({n}, '{name}', {k}, '{x}', {len(ids)})" for n, (name, ids) in enumerate(rules) for k, x in enumerate(ids, 1))
+    most = max(len(s) for s in sentences.values())
     return rf"""
-WITH known(words, id) AS (VALUES {known}),
-rules(name, pattern) AS (VALUES {rules}),
-d AS (SELECT row_number() OVER () AS rid, doc_id,
-        list_filter(string_split_regex(regexp_replace(coalesce(text, ''), '([.!?;:])[ \t\r]+', '\1' || chr(10), 'g'), '[\r\n]+'), lambda s: regexp_matches(s, '[A-Za-z0-9]')) AS cut
-      FROM documents),
-s AS (SELECT rid, unnest(cut) AS s, generate_subscripts(cut, 1) AS k FROM d),
-f AS (SELECT rid, k, id FROM s JOIN known ON words = trim(regexp_replace(translate(s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g'))),
-c AS (SELECT rid, string_agg(id, ',' ORDER BY k) AS ids, '>' || string_agg(id, '>' ORDER BY k) || '>' AS chain FROM f GROUP BY rid),
-m AS (SELECT rid, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses FROM c JOIN rules ON regexp_matches(chain, pattern) GROUP BY rid)
-SELECT doc_id, CAST(len(cut) AS BIGINT) AS n_sentences, coalesce(ids, '') AS sentence_ids, coalesce(licenses, '') AS licenses
-FROM d LEFT JOIN c USING (rid) LEFT JOIN m USING (rid)
+WITH RECURSIVE known(words, id) AS (VALUES {known}),
+rule(n, license, k, id, size) AS (VALUES {wanted}),
+d AS (SELECT row_number() OVER () AS rid, doc_id, replace(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS t FROM documents),
+l AS (SELECT rid, doc_id, '|' || regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ|', 'abcdefghijklmnopqrstuvwxyz '),
+        '\n[^a-z0-9\n|]*[0-9a-z]{{1,2}}[.)][ \t]', '||', 'g'), '[.!?;]([ \t]*\n|[ \t]+)', '||', 'g'), '\n([^a-z0-9\n|]*\n)+', '||', 'g'), ':[ \t]+|\n', '|', 'g'), '[^a-z0-9|]+', ' ', 'g') || '|' AS low FROM d),
+s AS (SELECT rid, unnest(parts) AS s, generate_subscripts(parts, 1) AS sn FROM (SELECT rid, string_split_regex(low, '[|] ?(?:[|] ?)+') AS parts FROM l)),
+p AS (SELECT rid, sn, list_filter(list_transform(string_split(s, '|'), lambda x: trim(x)), lambda x: x <> '') AS pieces FROM s WHERE regexp_matches(s, '[a-z0-9]')),
+c AS (SELECT rid, count(*) AS n FROM p GROUP BY rid),
+v AS (SELECT rid, sn, pieces, a FROM p, unnest(generate_series(1, len(pieces))) AS t(a)
+      WHERE split_part(pieces[a], ' ', 1) IN (SELECT split_part(words, ' ', 1) FROM known)),
+r AS (SELECT rid, sn, a, a AS z, pieces, pieces[a] AS words FROM v
+      UNION ALL SELECT rid, sn, a, z + 1, pieces, words || ' ' || pieces[z + 1] FROM r WHERE z < len(pieces) AND length(words) < {most}),
+h AS (SELECT rid, sn, a, arg_max(id, z) AS id FROM r JOIN known USING (words) GROUP BY rid, sn, a),
+o AS (SELECT rid, id, row_number() OVER (PARTITION BY rid ORDER BY sn, a) AS pl FROM h),
+m AS (SELECT o.rid, n, license, k, size, min(pl) AS pl FROM o JOIN rule ON rule.id = o.id AND k = 1 GROUP BY ALL
+      UNION ALL SELECT m.rid, m.n, m.license, rule.k, m.size, nx.pl FROM m JOIN rule ON rule.n = m.n AND rule.k = m.k + 1,
+        LATERAL (SELECT min(o.pl) AS pl FROM o WHERE o.rid = m.rid AND o.id = rule.id AND o.pl > m.pl) nx WHERE nx.pl IS NOT NULL),
+w AS (SELECT rid, n, license, size FROM m WHERE k = size),
+u AS (SELECT * FROM w WHERE NOT EXISTS (SELECT 1 FROM w q WHERE q.rid = w.rid AND q.size > w.size
+        AND NOT EXISTS (SELECT 1 FROM rule x WHERE x.n = w.n AND x.id NOT IN (SELECT id FROM rule y WHERE y.n = q.n)))),
+g AS (SELECT rid, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses FROM u GROUP BY rid),
+i AS (SELECT rid, string_agg(id, ',' ORDER BY pl) AS ids FROM o GROUP BY rid)
+SELECT doc_id, coalesce(n, 0) AS n_sentences, coalesce(ids, '') AS sentence_ids, coalesce(licenses, '') AS licenses
+FROM d LEFT JOIN c USING (rid) LEFT JOIN i USING (rid) LEFT JOIN g USING (rid)
 """

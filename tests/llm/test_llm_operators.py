@@ -721,13 +721,54 @@ modification, are permitted provided that the following conditions are met:
 2. Redistributions in binary form must reproduce the above copyright notice,
    this list of conditions and the following disclaimer in the documentation
    and/or other materials provided with the distribution."""
-    notices = {"MIT": mit, "Apache-2.0": apache, "GPL-3.0-or-later": gpl % (":", ",", 3), "GPL-2.0-or-later": gpl % (";", ";", 2), "BSD-2-Clause": bsd}
+    isc = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL"""
+    bsd3 = bsd + """
+
+3) Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+    lgpl = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+
+This library is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of"""
+    mpl = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/."""
+    unlicense = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or
+distribute this software, either in source code form or as a compiled
+binary, for any purpose, commercial or non-commercial, and by any
+means."""
+    notices = {"ISC": isc, "BSD-3-Clause": bsd3, "LGPL-2.1-or-later": lgpl, "MPL-2.0": mpl, "Unlicense": unlicense, "MIT": mit, "Apache-2.0": apache, "GPL-3.0-or-later": gpl % (":", ",", 3), "GPL-2.0-or-later": gpl % (";", ";", 2), "BSD-2-Clause": bsd}
     forms = [lambda s: s, lambda s: s.replace("\n", "\r\n"), lambda s: "/*\n" + re.sub("(?m)^", " * ", s) + "\n */", lambda s: re.sub("(?m)^", "# ", s)]
     want = [(f(s), name) for name, s in notices.items() for f in forms]
-    want += [("x\n// SPDX-License-Identifier: MIT\ncode", "MIT"), ("# SPDX-License-Identifier: Apache-2.0", "Apache-2.0"), ("/* SPDX-License-Identifier: GPL-3.0-only */", "GPL-3.0"), ("SPDX-License-Identifier: MITX", "")]
+    want += [("x\n// SPDX-License-Identifier: MIT\ncode", "MIT"), ("# SPDX-License-Identifier: Apache-2.0", "Apache-2.0"), ("/* SPDX-License-Identifier: GPL-3.0-only */", "GPL-3.0-only"), ("SPDX-License-Identifier: MITX", "")]
     want += [(gpl % (";", ";", 3), "GPL-3.0-or-later"), ("Released under the\n\nMIT License.", ""), ("Released under. The MIT License.", ""), ("Released | under the\nMIT License.", "MIT")]
-    got = {r["doc_id"]: r["licenses"] for r in licenses.scan_licenses(docs(spark, [s for s, _ in want])).collect()}
-    assert [got[k] for k in range(len(want))] == [name for _, name in want]
+    table = docs(spark, [s for s, _ in want])
+    out = licenses.scan_licenses(table).toPandas().sort_values("doc_id", ignore_index=True)
+    assert out["licenses"].tolist() == [name for _, name in want]
+    con = duckdb.connect()
+    con.register("documents", table.toPandas())
+    sql = con.sql(licenses.oracle()).df().sort_values("doc_id", ignore_index=True)
+    pd.testing.assert_frame_equal(out, sql[out.columns], check_dtype=False)
+
+
+def test_licenses_by_other_tables(spark):
+    sentences = {"a": "one two", "ab": "one two three", "c": "four", "d": "five six"}
+    rules = [("A", ("a", "c")), ("B", ("ab", "d")), ("C", ("c", "c")), ("D", ("d",))]
+    ts = ["One two. x. Four", "One\ntwo\nthree; four! five six", "four. one two three", "four? four", "five sixes", "x one two. four"]
+    got = {r["doc_id"]: (r["sentence_ids"], r["licenses"]) for r in licenses.scan_licenses(docs(spark, ts), sentences, rules).collect()}
+    assert got == {0: ("a,c", "A"), 1: ("ab,c,d", "B"), 2: ("c,ab", ""), 3: ("c,c", "C"), 4: ("", ""), 5: ("c", "")}
 
 
 # ---- queries
