@@ -2,41 +2,44 @@
 
 Words are lower-cased in A-Z; a benchmark item gives all its windows of
 ``width`` words, or one window if it has fewer.  The distinct windows form a hash
-set.  Document windows of the same sizes meet it in a hash join on a 64-bit hash
-and are then compared word by word, so collisions never count.  The set is
-broadcast while it has at most BROADCAST_WINDOWS rows; a larger one meets the
-windows in a shuffled join.
+set.  A document's words are hashed once, and windows' hashes are built from those
+of half their width.  A table of SLOTS bytes, which goes along with the plan, says
+which hashes the set can hold; the few windows that pass meet the set in a hash
+join and are then compared word by word, so collisions never count.  The set is
+broadcast while it is small in bytes; a larger one meets the windows in a shuffled
+join.
 
 Nulls have no words.  Each row stands for itself, also if ids repeat or are
 null.  Windows of items without an id count as hits but not as items.  Items
-without words have no windows.
+without words have no windows; an empty benchmark hits nothing, and an empty table
+gives no row.  Kept columns may have any name: one that is named like a result's
+own column comes back as <name>_in.  Long texts are scanned in parts that overlap.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .work import carried
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Separators of words, in texts without capitals A-Z.
-BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: A window takes some 200 bytes.
-BROADCAST_WINDOWS = 200_000
+BETWEEN = "".join(map(chr, [*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]))
+#: Bytes of windows that may be broadcast.
+BROADCAST = 32 << 20
+#: Bytes of the table of hashes that goes along with the plan, at most.
+SLOTS = 1 << 18
 #: Words of a text that are taken at once.
 PART = 20_000
-#: No word, so it can mark the end of each text.
-END = " "
-
-
-#: Columns of its own, which others cannot be carried beside.
-OWN = ("doc_id", "text", "row", "words", "base", "at", "hash", "wanted", "n_words", "span", "spans", "items")
 
 
 def cut_words(text: Column) -> Column:
     whole = F.coalesce(text.cast("string"), F.lit(""))
-    # lower() is right and fast for texts of one-byte characters; others keep their capitals beyond A-Z
-    plain = F.when(F.octet_length(whole) == F.length(whole), F.lower(whole)).otherwise(F.translate(whole, UPPER, LOWER))
-    return F.filter(F.split(plain, BETWEEN), lambda w: w != "")
+    # one table for capitals and separators: a regex for these would match at each word, which takes most of the time
+    between = BETWEEN.translate({ord(c): None for c in UPPER})
+    return F.filter(F.split(F.translate(whole, UPPER + between, LOWER + " " * len(between)), " "), lambda w: w != "")
 
 
 def windows(benchmark: DataFrame, width: int) -> DataFrame:
@@ -47,39 +50,80 @@ def windows(benchmark: DataFrame, width: int) -> DataFrame:
     return rows.groupBy("window").agg(F.collect_set("item").alias("items"))
 
 
-def _window_at(n: Column):
-    return lambda k: F.struct(k.alias("start"), F.slice("words", k, n).alias("window"))
-
-
-def hits(docs: DataFrame, benchmark: DataFrame, width: int, *keep: str) -> DataFrame:
+def window_hashes(words: str, sizes: list[int]) -> tuple[list[tuple[str, Column]], dict[int, str]]:
+    """Columns to add one after another, and which of them has the hashes of the windows of each size, by their start."""
+    count = F.size(words)
+    steps = [("_h1", F.transform(words, lambda w: F.xxhash64(w)))]
+    made = {1: "_h1"}
+
+    def joined(a: int, b: int) -> str:
+        """Windows of a words and the b words after them."""
+        if a + b not in made:
+            n = F.greatest(count - (a + b) + 1, F.lit(0))
+            steps.append((f"_h{a + b}", F.zip_with(F.slice(made[a], F.lit(1), n), F.slice(made[b], F.lit(a + 1), n), lambda x, y: F.xxhash64(x, y))))
+            made[a + b] = f"_h{a + b}"
+        return made[a + b]
+
+    for n in sizes:
+        half = 1
+        while 2 * half <= n:
+            joined(half, half)
+            half *= 2
+        at, rest = half, n - half
+        while rest:
+            half = 1 << (rest.bit_length() - 1)
+            joined(at, half)
+            at, rest = at + half, rest - half
+    return steps, {n: made[n] for n in sizes}
+
+
+def with_columns(rows: DataFrame, steps: list[tuple[str, Column]]) -> DataFrame:
+    for name, column in steps:  # each on its own, as the next one takes it twice
+        rows = rows.withColumn(name, column)
+    return rows
+
+
+def hits(docs: DataFrame, benchmark: DataFrame, width: int, *keep: Column) -> DataFrame:
     """One row a document: row, doc_id, n_words, spans (start from 1, past), items, and the columns in keep."""
     found = windows(benchmark, width)
-    sizes = [r["n"] for r in found.select(F.size("window").alias("n")).distinct().collect()]  # at most width
-    nothing = F.array().cast("array<string>")
-    side = found.unionByName(docs.sparkSession.range(1).select(F.array(F.lit(END)).alias("window"), nothing.alias("items")))
-    side = side.select(F.xxhash64("window").alias("hash"), F.col("window").alias("wanted"), "items")
-    if found.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS:
-        side = F.broadcast(side)
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", *keep, cut_words(F.col("text")).alias("words"))
+    sizes = sorted(r["n"] for r in found.select(F.size("window").alias("n")).distinct().collect())  # at most width
+    steps, of_size = window_hashes("window", sizes)
+    own = F.coalesce(*(F.when(F.size("window") == n, F.get(of_size[n], F.lit(0))) for n in sizes)) if sizes else F.lit(0).cast("long")
+    side = with_columns(found, steps).select(own.alias("hash"), F.col("window").alias("wanted"), "items")
+    total = side.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.array_join("wanted", " ")) + F.octet_length(F.array_join("items", " ")) + 100).alias("bytes")).first()
+    # one byte a slot, a power of two of them: about 32 for each window while SLOTS allows it
+    slots = min(SLOTS, 1 << max(12, (32 * total["n"]).bit_length()))
+    table = np.zeros(slots, np.uint8)
+    table[[r["slot"] for r in side.select(F.pmod("hash", F.lit(slots)).cast("int").alias("slot")).distinct().collect()]] = 1
+    table, yes = F.lit(table.tobytes()), F.lit(b"\x01")
+    carried_names = [f"_keep_{k}" for k in range(len(keep))]
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").alias("doc"), *(c.alias(n) for c, n in zip(keep, carried_names, strict=True)), cut_words(F.col("text")).alias("words"))
     # long texts go in parts that overlap, so no row holds more than PART windows of each size
     rows = rows.withColumn("n_words", F.size("words").cast("long")).withColumn("base", F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(PART))))
     rows = rows.withColumn("words", F.slice("words", F.col("base") + 1, F.lit(PART + width - 1)))
-    count = F.size("words")
-    mark = F.array(F.struct(F.lit(0).alias("start"), F.array(F.lit(END)).alias("window")))
-    every = [F.when(F.col("base") == 0, mark).otherwise(F.slice(mark, 1, 0))]
-    for n in map(F.lit, sorted(sizes)):
-        starts = F.when(count >= n, F.sequence(F.lit(1), F.greatest(F.least(count - n + 1, F.lit(PART)), F.lit(1)))).otherwise(F.array().cast("array<int>"))
-        every.append(F.transform(starts, _window_at(n)))
-    spread = rows.select("row", "doc_id", *keep, "n_words", "base", F.explode(F.concat(*every)).alias("at"))
-    # the hash alone is the join key; "neither less nor more" keeps the planner from hashing whole windows again
-    same = (F.col("at.window") >= F.col("wanted")) & (F.col("at.window") <= F.col("wanted"))
-    met = spread.withColumn("hash", F.xxhash64("at.window")).join(side, "hash").where(same)
-    # a text goes along once, with the mark that each document has
-    mark = F.col("at.start") == 0
+    steps, of_size = window_hashes("words", sizes)
+    rows = with_columns(rows, steps)
+
+    def passed(n: int) -> Column:
+        """Windows of n words whose hash the set can hold."""
+        h = of_size[n]
+        last = F.least(F.size(h), F.lit(PART))
+        starts = F.when(last > 0, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+        held = F.filter(starts, lambda k: F.substring(table, F.pmod(F.get(h, k - 1), F.lit(slots)).cast("int") + 1, F.lit(1)) == yes)
+        return F.transform(held, lambda k: F.struct(F.get(h, k - 1).alias("hash"), k.alias("start"), F.slice("words", k, F.lit(n)).alias("window")))
+
+    none = F.array().cast("array<struct<hash:bigint,start:int,window:array<string>>>")
+    spread = rows.select("row", "doc", *carried_names, "n_words", "base", F.posexplode_outer(F.concat(none, *map(passed, sizes))).alias("nth", "at"))
+    # what is kept goes along once
+    once = (F.col("base") == 0) & (F.coalesce("nth", F.lit(0)) == 0)
+    spread = spread.select("row", "doc", "n_words", "base", "at", *(F.when(once, F.col(c)).alias(c) for c in carried_names))
+    # rows without a window keep apart by their own number
+    spread = spread.withColumn("hash", F.coalesce("at.hash", "row"))
+    met = spread.join(F.broadcast(side) if (total["bytes"] or 0) <= BROADCAST else side, "hash", "left")
     start = F.col("at.start") + F.col("base")
-    span = F.when(~mark, F.struct(start.alias("start"), (start + F.size("at.window")).alias("past")))
-    slim = met.select("row", "doc_id", "n_words", *(F.when(mark, F.col(c)).alias(c) for c in keep), span.alias("span"), "items")
-    return slim.groupBy("row").agg(F.first("doc_id").alias("doc_id"), *(F.first(c, ignorenulls=True).alias(c) for c in keep), F.first("n_words").alias("n_words"), F.collect_set("span").alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    hit = F.col("at.window") == F.col("wanted")
+    slim = met.select("row", "doc", "n_words", *carried_names, F.when(hit, F.struct(start.alias("start"), (start + F.size("wanted")).alias("past"))).alias("span"), F.when(hit, F.col("items")).alias("items"))
+    return slim.groupBy("row").agg(F.first("doc").alias("doc_id"), *(F.first(c, ignorenulls=True).alias(c) for c in carried_names), F.first("n_words").alias("n_words"), F.collect_set("span").alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
 
 
 def covered(spans: Column) -> Column:
@@ -95,17 +139,18 @@ def report(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, width: int = 10, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text and columns in keep of the rows without a hit."""
-    keep = tuple(c for c in keep if c not in OWN)
-    return hits(docs, benchmark, width, "text", *keep).where(F.size("spans") == 0).select("doc_id", "text", *keep)
+    kept, names = carried(keep, ("doc_id", "text"))
+    rows = hits(docs, benchmark, width, F.col("text"), *kept).where(F.size("spans") == 0)
+    return rows.select("doc_id", F.col("_keep_0").alias("text"), *(F.col(f"_keep_{k}").alias(name) for k, name in enumerate(names.values(), 1)))
 
 
 def clean_spans(docs: DataFrame, benchmark: DataFrame, width: int = 10, keep: tuple[str, ...] = ()) -> DataFrame:
     """All rows; where words are hit the text is its other words in lower case A-Z, joined by one space."""
-    keep = tuple(c for c in keep if c not in OWN)
-    rows = hits(docs, benchmark, width, "text", *keep)
-    words = cut_words(F.col("text"))
+    kept, names = carried(keep, ("doc_id", "text"))
+    rows = hits(docs, benchmark, width, F.col("text"), *kept)
+    words = cut_words(F.col("_keep_0"))
     left = F.filter(words, lambda w, i: ~F.exists("spans", lambda s: (s["start"] <= i + 1) & (i + 1 < s["past"])))
-    return rows.select("doc_id", F.when(F.size("spans") > 0, F.array_join(left, " ")).otherwise(F.col("text")).alias("text"), *keep)
+    return rows.select("doc_id", F.when(F.size("spans") > 0, F.array_join(left, " ")).otherwise(F.col("_keep_0")).alias("text"), *(F.col(f"_keep_{k}").alias(name) for k, name in enumerate(names.values(), 1)))
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -645,7 +645,12 @@ def test_decontamination(spark, sf):
     want = brute_hits(ts, items)
     assert got == want
     clean = decontaminate.clean_documents(docs(spark, ts), bench, keep=("row", "bucket"))
-    assert clean.columns == ["doc_id", "text", "bucket"]
+    assert clean.columns == ["doc_id", "text", "row", "bucket"]
+    assert {(r["row"], r["bucket"] == r["doc_id"]) for r in clean.collect()} == {("x", True)}
+    odd = docs(spark, ts[:4]).withColumn("hash", F.lit(5)).withColumn("items", F.lit(None).cast("string")).withColumn("spans", F.lit("own")).withColumn("_h1", F.lit("own")).withColumn("text_in", F.lit("own"))
+    out = decontaminate.clean_spans(odd, bench, keep=("hash", "items", "spans", "_h1", "text", "text_in", "doc_id"))
+    assert out.columns == ["doc_id", "text", "hash", "items", "spans", "_h1", "text_in_in", "text_in", "doc_id_in"]
+    assert {(r["hash"], r["items"], r["spans"], r["_h1"], r["text_in"], r["doc_id_in"] == r["doc_id"], r["text_in_in"] == ts[r["doc_id"]]) for r in out.collect()} == {(5, None, "own", "own", "own", True, True)}
     assert sorted(r["doc_id"] for r in clean.collect()) == [d for d, x in want.items() if not x[1]]
     left = {r["doc_id"]: r["text"] for r in decontaminate.clean_spans(docs(spark, ts), bench).collect()}
     assert left[1] == "x y" and left[3] == "b0 b1 b2" and left[0] == ""
@@ -665,10 +670,19 @@ def test_decontamination_in_parts(spark, sf, monkeypatch):
 
 
 def test_decontamination_by_shuffle(spark, monkeypatch):
-    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    monkeypatch.setattr(decontaminate, "BROADCAST", 0)
+    monkeypatch.setattr(decontaminate, "SLOTS", 1)  # every window passes
     bench = spark.createDataFrame([(1, "a b c d e f g h i j k")], "item_id long, text string")
-    got = decontaminate.report(docs(spark, ["a b c d e f g h i j k", "no", None]), bench).orderBy("doc_id").collect()
-    assert [r["n_hit"] for r in got] == [11, 0, 0]
+    got = decontaminate.report(docs(spark, ["a b c d e f g h i j k", "no", None, "x y " * 40 + "b c d e f g h i j k l"]), bench).orderBy("doc_id").collect()
+    assert [r["n_hit"] for r in got] == [11, 0, 0, 10]
+
+
+def test_decontamination_of_repeated_rows(spark):
+    passage = " ".join(f"b{k}" for k in range(12))
+    rows = [(1, passage), (1, passage), (1, "clean"), (None, passage), (None, passage), (None, None)]
+    bench = spark.createDataFrame([(7, passage), (None, "clean")], "item_id long, text string")
+    got = sorted(tuple(r) for r in decontaminate.report(spark.createDataFrame(rows, "doc_id long, text string"), bench).select(F.coalesce("doc_id", F.lit(-1)), "n_words", "n_hit", F.array_join("items", ","), "contaminated").collect())
+    assert got == sorted([(1, 12, 12, "7", True)] * 2 + [(1, 1, 1, "", True)] + [(-1, 12, 12, "7", True)] * 2 + [(-1, 0, 0, "", False)])
 
 
 def test_licenses(spark):
