@@ -1,28 +1,34 @@
-"""Toxicity by a support vector machine on a subsequence string kernel.
-
-Units are chunks between white space, folded to lower-case letters (those with
-accents apart) with a mark at each border; characters that stand for no letter are left out.  The kernel of two units sums, over all
-subsequences of three symbols that span at most SPAN symbols, the products of
-DECAY**span, and is divided by both norms; a gap or an inserted character
-lowers it but does not end it.  Single letters in a row also count as one unit.
-
-A unit's vector holds its kernel values to landmark units, whitened (Nystrom).
-A sentence stands by its most toxic unit.  Labels are a document's, so the
-machine is trained on multiple instances, in rounds: all units of clean
-documents against, from toxic ones, the units that set the labels apart and the
-unit of each document that the machine itself scores highest.  A document's score is a fitted
-logistic curve of its highest sentence, of how many distinct units are on the
-toxic side, and of its length: units that clean texts hold now and then count
-less when they stand alone.
-
-As the machine is linear in the landmark kernels, its weights fold into one
-weight for each three-symbol subsequence; texts are scored by those, each
-distinct unit once a worker.
-
-Nulls are empty texts, which score as a sentence without units.  Without both
-labels in the training rows every score is 0.  Labels that disagree count as
-toxic if at least half say so.  Only a bounded sample of labelled rows trains:
-``sample`` rows of each label at most, texts of ``train_bytes`` at most.
+"""Toxicity by a support vector machine on a subsequence string kernel of sentences.
+
+A sentence is a sequence of units: chunks between white space, folded to
+lower-case letters (those with accents apart) with a mark at each border;
+characters that stand for no letter are left out, and single letters in a row
+count as one more unit.  The kernel of two units sums, over all subsequences of
+three symbols that span at most SPAN symbols, the products of DECAY**span, and is
+divided by both norms; a gap or an inserted character lowers it but does not end
+it.  The kernel of two sentences sums the POWERth power of that over all pairs of
+their distinct units.
+
+A sentence's vector holds its kernel values to landmarks (one-unit sentences of
+the labelled texts), whitened (Nystrom).  Labels are a document's, so the machine
+is trained on sentences as multiple instances: all sentences of clean documents
+against one of each toxic document, at first the one of the units that set the
+labels apart most, in further ``rounds`` the one that the machine scores highest.
+Toxic documents whose sentence looks clean are taken for wrong labels.  A
+document's score is a fitted logistic curve of its highest sentence, of how many
+sentences are on the toxic side, and of its length.
+
+A sentence's value is the sum of its distinct units' values, so each distinct unit
+meets the landmarks once a worker.
+
+Letters beyond Latin-1 fall into 32 symbols by their last byte.  Nulls are empty
+texts, which score as a sentence without units.  Without both labels in the
+training rows every score is 0.  Labels that disagree count as toxic if at least
+half say so; of rows that share a doc_id the one with the least text hash trains.
+Only a bounded sample of labelled rows trains: ``sample`` rows of each label at
+most, texts of ``train_bytes`` at most.  An empty table gives no row.  Kept
+columns may have any name: one named like a result's own comes back as <name>_in.
+A text is never cut: a worker holds some 60 times the bytes of the longest one.
 """
 
 from __future__ import annotations
@@ -36,9 +42,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import scan
-from .work import lean, one_text
+from .work import carried, lean, one_text
 
 DECAY, SPAN, PIECE = 0.7, 8, 24
+#: The kernel of two units is raised to it, so that likeness of common syllables does not add up over a sentence.
+POWER = 4
 LETTERS, BORDER_A, BORDER_Z, BASE = 58, 58, 59, 60  # 26 letters, 32 letters with marks, two borders
 TABLE_UNITS = 600_000
 LONGEST_SENTENCE = 40
@@ -46,8 +54,6 @@ LONGEST_SENTENCE = 40
 _FOLD = np.full(256, LETTERS, np.int16)
 for _b in range(26):
     _FOLD[0x41 + _b] = _FOLD[0x61 + _b] = _b
-for _digit, _letter in zip("013457@$", "oieastas", strict=True):
-    _FOLD[ord(_digit)] = ord(_letter) - 97
 _SKIP = -1
 _FOLD[0xC3] = _SKIP  # first byte of the Latin-1 letters; the second says which
 for _b in range(32):  # upper and lower case of a letter with a mark are 0x20 apart
@@ -131,15 +137,36 @@ def sparse(strings: list[np.ndarray]):
             yield part[row], code.ravel()[edge], sums / norm[row]
 
 
-def kernel_to(strings: list[np.ndarray], landmarks: np.ndarray) -> np.ndarray:
-    """Kernel values of strings to landmarks, given as a dense (codes x landmarks) table."""
-    out = np.zeros((len(strings), landmarks.shape[1]), np.float32)
+class Landmarks:
+    """Kernel features of landmark units: ``rows`` of the codes that any has, ``index`` of each code (0: none has it)."""
+
+    def __init__(self, features: list[tuple[np.ndarray, np.ndarray]]):
+        codes = np.unique(np.concatenate([c for c, _ in features]))
+        self.index = np.zeros(BASE**3, np.int32)
+        self.index[codes] = np.arange(1, len(codes) + 1)
+        self.rows = np.zeros((len(codes) + 1, len(features)), np.float32)
+        for k, (c, w) in enumerate(features):
+            self.rows[self.index[c], k] = w
+
+
+def features_of(unit: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and weights of a unit's first piece."""
+    got = [(code, w) for _, code, w in sparse([symbols(unit)[:PIECE]])]
+    return got[0] if got else (np.zeros(0, np.int64), np.zeros(0))
+
+
+def kernel_to(strings: list[np.ndarray], landmarks: Landmarks) -> np.ndarray:
+    """Kernel values of strings to landmarks."""
+    out = np.zeros((len(strings), landmarks.rows.shape[1]), np.float32)
     for row, code, w in sparse(strings):
+        at = landmarks.index[code]
+        on = np.flatnonzero(at)
+        row, at, w = row[on], at[on], w[on].astype(np.float32)
         for k in range(0, len(row), 40_000):
             part = slice(k, k + 40_000)
             r = row[part]
             edge = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-            out[r[edge]] += np.add.reduceat(landmarks[code[part]] * w[part, None].astype(np.float32), edge, axis=0)
+            out[r[edge]] += np.add.reduceat(landmarks.rows[at[part]] * w[part, None], edge, axis=0)
     return out
 
 
@@ -191,26 +218,31 @@ def split(data: np.ndarray, offs: np.ndarray):
 
 
 class Model:
-    """weights: of each three-symbol subsequence; bias of a sentence; curve: weights of the logistic curve's inputs."""
+    """table: the landmarks; weights: of each landmark's kernel; bias of a sentence; curve: weights of the logistic curve's inputs."""
 
-    def __init__(self, weights, bias, curve):
-        self.weights, self.bias, self.weight = weights, bias, curve
+    def __init__(self, table, weights, bias, curve):
+        self.table, self.weights, self.bias, self.weight = table, weights, bias, curve
 
     def units(self, units: list[bytes]) -> np.ndarray:
-        strings, of = pieces(units)
-        got = np.zeros(len(strings))
-        for row, code, w in sparse(strings):
-            got += np.bincount(row, w * self.weights[code], len(strings))
-        out = np.full(len(units), -np.inf)
-        np.maximum.at(out, of, got)
-        return out
+        """What each unit adds to its sentence."""
+        return unit_kernels(units, self.table) @ self.weights
 
     def curve(self, inputs: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(inputs @ self.weight, -50, 50)))
 
 
-def curve_inputs(best: np.ndarray, hits: np.ndarray, units: np.ndarray) -> np.ndarray:
-    return np.stack([best, np.log1p(hits), np.maximum(hits > 1, 0), np.log1p(units) * (hits > 0), np.ones(len(best))], 1).astype(float)
+def unit_kernels(units: list[bytes], table: Landmarks) -> np.ndarray:
+    """Kernel values of units to landmarks; a long unit stands as its piece nearest to them."""
+    strings, of = pieces(units)
+    got = kernel_to(strings, table)
+    if len(strings) != len(units):
+        best = np.lexsort((-got.max(1), of))
+        got = got[best[np.searchsorted(of[best], np.arange(len(units)))]]
+    return got**POWER
+
+
+def curve_inputs(best: np.ndarray, hits: np.ndarray, sentences: np.ndarray) -> np.ndarray:
+    return np.stack([best, np.log1p(hits), np.maximum(hits > 1, 0), np.log1p(sentences) * (hits > 0), np.ones(len(best))], 1).astype(float)
 
 
 class Scorer:
@@ -238,16 +270,13 @@ class Scorer:
                 self.value = np.concatenate([self.value, self.model.units([raw[a:z] for a, z in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])])
                 self.index.add(keys)
                 at = self.index.find(h)
-            margin = np.maximum.reduceat(self.value[at], np.flatnonzero(np.diff(sentence, prepend=-1)))
+            pair = np.unique(sentence * len(self.value) + at)
+            margin = np.bincount(pair // len(self.value), self.value[pair % len(self.value)], len(text)) + self.model.bias
             if extra:
-                np.maximum.at(margin, [k for k, _ in extra], self.model.units([u for _, u in extra]))
+                np.add.at(margin, [k for k, _ in extra], self.model.units([u for _, u in extra]))
             best = np.full(j - i, -np.inf)
             np.maximum.at(best, text, margin)
-            on = np.flatnonzero(self.value[at] > -self.model.bias)
-            toxic = np.unique(text[sentence[on]] * len(self.value) + at[on]) // len(self.value)
-            alone = [text[k] for k, u in extra if self.model.units([u])[0] > -self.model.bias]
-            hits = np.bincount(np.append(toxic, np.array(alone, np.int64)), minlength=j - i)
-            out[i:j] = curve_inputs(np.where(np.isfinite(best), best + self.model.bias, self.model.bias), hits, np.bincount(text[sentence], minlength=j - i))
+            out[i:j] = curve_inputs(np.where(np.isfinite(best), best, self.model.bias), np.bincount(text[margin > 0], minlength=j - i), np.bincount(text, minlength=j - i))
         return out
 
 
@@ -272,92 +301,110 @@ def _svm(parts: list[tuple[np.ndarray, float, np.ndarray]], width: int, reg: flo
     return w
 
 
-def fit(texts: list[str], toxic: np.ndarray, landmarks: int = 64, rounds: int = 2, reg: float = 1e-3, least: float = 3.0) -> Model | None:
-    """Trains on whole labelled texts.  least: how many standard errors set apart a unit that may stand for a toxic document."""
+class _Instances:
+    """The sentences of labelled texts: ``unit`` and ``sentence`` of each unit of each sentence, ``doc`` of each sentence, the distinct ``units``."""
+
+    def __init__(self, texts: list[str]):
+        data, offs = scan.view(pa.array(texts, pa.large_string()))
+        name, hashes, sentences, docs, n = {}, [], [], [], 0
+        for i, j in scan.chunks(data, offs, 1 << 20):
+            low, starts, ends, sentence, text, extra = split(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
+            if not len(starts):
+                continue
+            h = scan.span_hash(low, starts, ends)
+            own, first = np.unique(h, return_index=True)
+            raw = low.tobytes()
+            name |= {k: raw[a:z] for k, a, z in zip(own.tolist(), starts[first].tolist(), ends[first].tolist(), strict=True)}
+            if extra:
+                flat, past = b"".join(u for _, u in extra), np.cumsum([len(u) for _, u in extra])
+                more = scan.span_hash(np.frombuffer(flat, np.uint8), np.append(0, past[:-1]), past)
+                name |= dict(zip(more.tolist(), (u for _, u in extra), strict=True))
+                h, sentence = np.append(h, more), np.append(sentence, [k for k, _ in extra])
+            hashes.append(h)
+            sentences.append(sentence + n)
+            docs.append(text + i)
+            n += len(text)
+        none = [np.zeros(0, np.int64)]
+        keys, unit = np.unique(np.concatenate(hashes or [np.zeros(0, np.uint64)]), return_inverse=True)
+        self.units = [name.pop(k) for k in keys.tolist()]
+        self.doc = np.concatenate(docs or none)
+        pair = np.unique(np.concatenate(sentences or none) * max(1, len(keys)) + unit)
+        self.unit, self.sentence = (pair % max(1, len(keys))).astype(np.int32), (pair // max(1, len(keys))).astype(np.int32)
+        self.size = np.bincount(self.sentence, minlength=n)
+
+    def vectors(self, phi: np.ndarray) -> np.ndarray:
+        """Sums of units' vectors by sentence, and a column of ones."""
+        out = np.ones((len(self.doc), phi.shape[1] + 1), np.float32)
+        edge = np.concatenate([[0], np.cumsum(self.size)])
+        for a in range(0, len(self.doc), 2_000):
+            z = min(a + 2_000, len(self.doc))
+            out[a:z, :-1] = np.add.reduceat(phi[self.unit[edge[a] : edge[z]]], edge[a:z] - edge[a], axis=0)
+        return out
+
+
+def _landmarks(units: list[bytes], apart: np.ndarray, common: np.ndarray, landmarks: int) -> Landmarks | None:
+    """Units that set the labels apart and common ones, none too like another."""
+    chosen, v = [], np.zeros(BASE**3, np.float32)
+    for candidates, most, like in ((apart, landmarks // 2, 0.5), (apart, landmarks * 3 // 4, 0.9), (common, landmarks, 0.9)):
+        for k in candidates.tolist():
+            code, w = features_of(units[k])
+            v[code] = w
+            if len(chosen) < most and len(code) and all(v[c] @ x < like for c, x in chosen):
+                chosen.append((code, w))
+            v[code] = 0
+    return Landmarks(chosen) if chosen else None
+
+
+def fit(texts: list[str], toxic: np.ndarray, landmarks: int = 64, rounds: int = 1, reg: float = 1e-3, least: float = 3.0, against: float = 1.5) -> Model | None:
+    """Trains on whole labelled texts.  least: how many standard errors set apart a unit that may tell the first sentences."""
     toxic = np.asarray(toxic, bool)
     if toxic.all() or not toxic.any():
         return None
-    data, offs = scan.view(pa.array(texts, pa.large_string()))
-    name, docs_of, hashes, units_of = {}, [], [], np.zeros(len(toxic))
-    for i, j in scan.chunks(data, offs, 1 << 20):
-        low, starts, ends, sentence, text, _ = split(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-        h = scan.span_hash(low, starts, ends)
-        units_of[i:j] = np.bincount(text[sentence], minlength=j - i)
-        own, first = np.unique(h, return_index=True)
-        raw = low.tobytes()
-        name |= {k: raw[a:z] for k, a, z in zip(own.tolist(), starts[first].tolist(), ends[first].tolist(), strict=True)}
-        order = np.lexsort((h, doc := text[sentence] + i))
-        h, doc = h[order], doc[order]
-        once = np.append(True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])) if len(h) else np.zeros(0, bool)
-        hashes.append(h[once])
-        docs_of.append(doc[once])
-    if not name:
+    got = _Instances(texts)
+    n_units = len(got.units)
+    if not n_units:
         return None
-    keys, unit = np.unique(np.concatenate(hashes), return_inverse=True)
-    units = [name.pop(k) for k in keys.tolist()]
-    pairs = np.sort(np.concatenate(docs_of) * len(keys) + unit)
-    del hashes, docs_of, unit
-    in_toxic = toxic[pairs // len(keys)]
-    df1 = np.bincount(pairs % len(keys), in_toxic, len(keys))
-    df0 = np.bincount(pairs % len(keys), ~in_toxic, len(keys))
+    pairs = np.unique(got.doc[got.sentence].astype(np.int64) * n_units + got.unit)
+    in_toxic = toxic[pairs // n_units]
+    df1 = np.bincount(pairs % n_units, in_toxic, n_units)
+    df0 = np.bincount(pairs % n_units, ~in_toxic, n_units)
+    del pairs, in_toxic
     n1, n0 = toxic.sum(), (~toxic).sum()
     p1, p0 = (df1 + 0.5) / (n1 + 1), (df0 + 0.5) / (n0 + 1)
     both = (df1 + df0 + 1) / (n1 + n0 + 2)
     z = (p1 - p0) / np.sqrt(both * (1 - both) * (1 / n1 + 1 / n0))
-    # landmarks: units that set the labels apart, none too like another, then the commonest
     telling = (z >= least) & (p1 >= 4 * p0)
     apart = np.argsort(-z, kind="stable")[: 8 * landmarks]
     apart = apart[telling[apart]] if telling[apart].any() else apart[:1]
-    common = np.argsort(-(df0 + df1), kind="stable")[: 2 * landmarks]
-    chosen, vectors = [], []
-    for candidates, most, like in ((apart, landmarks // 2, 0.5), (apart, landmarks * 3 // 4, 0.9), (common, landmarks, 0.9)):
-        for k in candidates.tolist():
-            v = np.zeros(BASE**3, np.float32)
-            for _, code, w in sparse([symbols(units[k])[:PIECE]]):
-                v[code] = w
-            if len(chosen) < most and v.any() and all(v @ o < like for o in vectors):
-                chosen.append(k)
-                vectors.append(v)
-    if not chosen:
+    table = _landmarks(got.units, apart, np.argsort(-(df0 + df1), kind="stable")[: 2 * landmarks], landmarks)
+    if table is None:
         return None
-    table = np.stack(vectors, 1)
-    del vectors
-    values, basis = np.linalg.eigh(table.T @ table)
+    values, basis = np.linalg.eigh((table.rows.T @ table.rows) ** POWER)
     good = values > 1e-6 * values.max()
     white = basis[:, good] / np.sqrt(values[good])
-    strings, of = pieces(units)
-    k_all = kernel_to(strings, table)
-    pieces_of = len(strings)
-    del strings
-    if pieces_of != len(units):  # a long unit stands as its piece nearest to the landmarks
-        best = np.lexsort((-k_all.max(1), of))
-        k_all = k_all[best[np.searchsorted(of[best], np.arange(len(units)))]]
-    phi = np.ones((len(units), white.shape[1] + 1), np.float32)
-    np.matmul(k_all, white.astype(np.float32), out=phi[:, :-1])
-    del k_all
-    # multiple instances: a sentence stands by its most toxic unit, a toxic document by its most toxic sentence
-    clean = np.flatnonzero(df0 > 0)
-    of_clean = phi[clean]
-    of_toxic = pairs[in_toxic]
-    excess = np.maximum(df1 - n1 * p0, 0)  # toxic documents beyond what a clean rate gives
-    hit = np.flatnonzero(telling) if telling.any() else np.flatnonzero(excess >= excess.max())
+    x = got.vectors(unit_kernels(got.units, table) @ white.astype(np.float32))
+    # multiple instances: a toxic document stands by its most toxic sentence
+    of_toxic = np.flatnonzero(toxic[got.doc])
+    clean = x[~toxic[got.doc]]
+
+    def top(of_sentence: np.ndarray) -> np.ndarray:
+        order = of_toxic[np.lexsort((of_sentence[of_toxic], got.doc[of_toxic]))]
+        return order[np.append(np.diff(got.doc[order]), 1) > 0]
+
+    odds = np.maximum.reduceat(np.where(telling, np.log(p1 / p0), 0.0)[got.unit], np.cumsum(got.size) - got.size)
+    chosen = top(odds)
+    chosen = chosen[odds[chosen] > 0] if (odds[chosen] > 0).any() else chosen
     for _ in range(rounds):
-        share = excess[hit] / max(excess[hit].sum(), 1e-9)
-        w = _svm([(phi[hit], 1.0, share), (of_clean, -1.0, np.full(len(clean), 20.0 / max(1, len(clean))))], phi.shape[1], reg)
-        margin = phi @ w
-        # the unit that stands for each toxic document, and all that set the labels apart and fit the rest
-        order = np.lexsort((margin[of_toxic % len(keys)], of_toxic // len(keys)))
-        last = np.flatnonzero(np.append(np.diff(of_toxic[order] // len(keys)), 1))
-        top = np.unique(of_toxic[order[last]] % len(keys))
-        fits = np.zeros(len(keys), bool)
-        fits[top[(margin[top] > 0) & (excess[top] > 0) & (p1[top] >= 4 * p0[top])]] = True
-        fits |= telling & (margin > -0.5)
-        hit = np.flatnonzero(fits) if fits.any() else hit
+        w = _svm([(x[chosen], 1.0, np.full(len(chosen), 1 / len(chosen))), (clean, -1.0, np.full(len(clean), against / max(1, len(clean))))], x.shape[1], reg)
+        margin = x @ w
+        best = top(margin)
+        # one that looks clean, or that is no better than most clean documents' best, stands for a wrong label
+        chosen = best[margin[best] > 0] if (margin[best] > 0).any() else best
     best = np.full(len(toxic), w[-1])
-    np.maximum.at(best, pairs // len(keys), margin[pairs % len(keys)])
-    hits = np.bincount(pairs // len(keys), margin[pairs % len(keys)] > 0, len(toxic))
-    curve = _logistic(curve_inputs(best, hits, units_of), toxic)
-    return Model((table @ (white @ w[:-1]).astype(np.float32)).astype(np.float64), float(w[-1]), curve)
+    np.maximum.at(best, got.doc, margin)
+    hits = np.bincount(got.doc, margin > 0, len(toxic))
+    curve = _logistic(curve_inputs(best, hits, np.bincount(got.doc, minlength=len(toxic))), toxic)
+    return Model(table, (white @ w[:-1]).astype(np.float32), float(w[-1]), curve)
 
 
 def _logistic(x: np.ndarray, label: np.ndarray) -> np.ndarray:
@@ -387,7 +434,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 1000, train_bytes: i
     known = known.groupBy("doc_id").agg((F.avg("toxic") >= 0.5).cast("int").alias("toxic"))
     drawn = [known.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for k in (0, 1)]
     few = drawn[0].unionAll(drawn[1])  # at most 2 * sample rows, so it can be broadcast
-    rows = one_text(docs).where(F.octet_length("text") <= train_bytes).join(F.broadcast(few), "doc_id").dropDuplicates(["doc_id"]).toArrow()
+    rows = one_text(docs).where(F.octet_length("text") <= train_bytes).join(F.broadcast(few), "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.min_by(F.struct("text", "toxic"), F.struct(F.xxhash64("text"), "text")).alias("x")).select("doc_id", "x.*").toArrow()
     order = np.argsort(np.asarray(rows["doc_id"]), kind="stable")
     texts = rows["text"].to_pylist()
     toxic = np.asarray(rows["toxic"])
@@ -396,9 +444,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 1000, train_bytes: i
 
 def score(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text, columns in keep, and score of each row."""
-    rows = one_text(docs, *keep)
+    kept, renamed = carried(keep, ("doc_id", "text", "score"))
+    rows = one_text(docs, *kept)
+    last = ["doc_id", "text", *(F.col(c).alias(name) for c, name in renamed.items()), "score"]
     if model is None:
-        return rows.withColumn("score", F.lit(0.0))
+        return rows.withColumn("score", F.lit(0.0)).select(last)
     schema = T.StructType([*rows.schema, T.StructField("score", T.DoubleType())])
     names = [*rows.columns, "score"]
 
@@ -408,7 +458,7 @@ def score(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ()) -> D
             got = scorer.model.curve(scorer.texts(*scan.view(scan.text_column(b))))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got)], names=names)
 
-    return rows.mapInArrow(lean(run), schema)
+    return rows.mapInArrow(lean(run), schema).select(last)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 1000) -> DataFrame:

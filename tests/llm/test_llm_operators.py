@@ -583,14 +583,72 @@ def test_maximal_repeats(spark):
 
 def test_kernel_tables():
     a, b = b"idiot", b"idioot"
-    table = np.zeros((toxicity.BASE**3, 1), np.float32)
-    for _, code, w in toxicity.sparse([toxicity.symbols(b)]):
-        table[code, 0] = w
-    assert toxicity.kernel_to([toxicity.symbols(a)], table)[0, 0] == pytest.approx(toxicity.ssk(a, b), rel=1e-5)
+    table = toxicity.Landmarks([toxicity.features_of(b), toxicity.features_of(b"moron")])
+    got = toxicity.kernel_to([toxicity.symbols(a), toxicity.symbols(b"xyz")], table)
+    assert got[0] == pytest.approx([toxicity.ssk(a, b), toxicity.ssk(a, b"moron")], rel=1e-5) and got[1].tolist() == [toxicity.ssk(b"xyz", b), toxicity.ssk(b"xyz", b"moron")]
     assert toxicity.ssk(a, a) == pytest.approx(1) and toxicity.ssk(b"abc", b"xyz") == 0 and toxicity.ssk(b"", b"") == 0
     assert toxicity.ssk(b"stupid", b"stuupid") > 0.8 > 0.5 > toxicity.ssk(b"stupid", b"thing")
 
 
+def sentences_of(t):
+    """Sentences as sets of units, by plain rules for these texts."""
+    for s in re.split(r"(?<=[.!?])\s+|\n", t):
+        units = [u.rstrip(".,;:!?").lower() for u in s.split()]
+        units = [u for u in units if u]
+        for k in range(0, len(units), toxicity.LONGEST_SENTENCE):
+            part = units[k : k + toxicity.LONGEST_SENTENCE]
+            runs = re.findall(r"(?:^| )((?:\w(?: |$)){3,})", " ".join(part))
+            yield {*part}, ["".join(r.split()) for r in runs]
+
+
+def test_scores_by_the_definition():
+    """Whole scores from the kernel as defined, unit by unit and landmark by landmark."""
+    rng = np.random.default_rng(14)
+    ts = [invented(rng, "idiot" if k % 3 == 0 else None) for k in range(90)]
+    toxic = np.arange(90) % 3 == 0
+    picked, own = [], toxicity.features_of
+
+    def seen(unit):
+        picked.append(unit)
+        return own(unit)
+
+    toxicity.features_of = seen
+    try:
+        model = toxicity.fit(ts, toxic)
+    finally:
+        toxicity.features_of = own
+    columns = [next(u for u in picked if np.allclose(model.table.rows[model.table.index[own(u)[0]], k], own(u)[1], atol=1e-6) and np.count_nonzero(model.table.rows[:, k]) == len(own(u)[0])) for k in range(model.table.rows.shape[1])]
+    more = ["", "you i d i o t there. fine words here", "an idioot, it was!\nno", "one two three four five six " * 12, "..."]
+    for t in ts[:12] + more:
+        got = toxicity.Scorer(model).texts(*scan.view(pa.array([t], pa.large_string())))[0]
+        margins = []
+        for units, extra in sentences_of(t):
+            value = sum(model.weights[k] * toxicity.ssk(u.encode(), c) ** toxicity.POWER for u in [*units, *extra] for k, c in enumerate(columns))
+            margins.append(value + model.bias)
+        want = toxicity.curve_inputs(np.array([max(margins, default=model.bias)]), np.array([sum(m > 0 for m in margins)]), np.array([len(margins)]))[0]
+        assert got == pytest.approx(want, abs=1e-3), t
+    assert not np.allclose([toxicity.Scorer(model).texts(*scan.view(pa.array([t], pa.large_string())))[0][0] for t in ts[:3]], model.bias)
+
+
+def test_toxicity_accuracy_on_held_out_rows(spark):
+    """On the labelled rows of a table: found toxic ones, and clean ones left alone."""
+    sf = "/root/testdata/sf0.1"
+    d, y = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    held = toxicity.toxicity(d.join(y.select("doc_id"), "doc_id", "left_semi"), y).where("held_out").join(y, "doc_id")
+    found = {(r["toxic"], r["predicted"]): r["n"] for r in held.groupBy("toxic", "predicted").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert found[1, 1] >= 0.85 * (found[1, 1] + found.get((1, 0), 0)) and found.get((0, 1), 0) <= 0.02 * found[0, 0]
+
+
+def test_toxicity_of_odd_rows(spark):
+    rows = [(1, "дурак " * 3, 0), (2, "x" * 300_000, 0), (2, "another text of an id", 0), (None, "idiot", 1), (4, "fine words. " * 20_000, 0)] + [(10 + k, "you are an idiot" if k % 2 else "you are a friend", k % 2) for k in range(60)]
+    d = spark.createDataFrame([(i, t, "kept") for i, t, _ in rows], "doc_id long, text string, score string")
+    y = spark.createDataFrame([(i, z) for i, _, z in rows], "doc_id long, toxic int")
+    out = toxicity.score(d, toxicity.train(d, y), ("score",))
+    assert out.columns == ["doc_id", "text", "score_in", "score"] and out.count() == len(rows)
+    got = {(r["doc_id"], r["text"]): r["score"] for r in out.collect()}
+    assert all(0 <= s <= 1 for s in got.values()) and got[None, "idiot"] > got[10, "you are a friend"] < 0.5 and got[11, "you are an idiot"] > 0.5
+
+
 def invented(rng, insult):
     w = ["".join(rng.choice(list("abcdefghilmnoprstu"), int(rng.integers(2, 9)))) for _ in range(int(rng.integers(20, 90)))]
     if insult:
