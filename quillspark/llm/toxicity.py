@@ -34,6 +34,7 @@ A text is never cut: a worker holds some 60 times the bytes of the longest one.
 from __future__ import annotations
 
 from itertools import combinations
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +59,8 @@ _SKIP = -1
 _FOLD[0xC3] = _SKIP  # first byte of the Latin-1 letters; the second says which
 for _b in range(32):  # upper and lower case of a letter with a mark are 0x20 apart
     _FOLD[0x80 + _b] = _FOLD[0xA0 + _b] = 26 + _b
+_SYMBOL = np.clip(_FOLD, 0, LETTERS).astype(np.uint8).tobytes()
+_NO_LETTER = bytes(b for b in range(256) if not 0 <= _FOLD[b] < LETTERS)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 _CLOSE = np.zeros(256, bool)
@@ -67,8 +70,8 @@ _STOP[[ord(c) for c in ".!?"]] = True
 
 
 def symbols(unit: bytes) -> np.ndarray:
-    s = _FOLD[np.frombuffer(unit, np.uint8)]
-    return np.concatenate([[BORDER_A], s[(s >= 0) & (s < LETTERS)], [BORDER_Z]]).astype(np.int64)
+    s = np.frombuffer(unit.translate(_SYMBOL, _NO_LETTER), np.uint8)
+    return np.concatenate([[BORDER_A], s, [BORDER_Z]])
 
 
 _grids: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -113,8 +116,8 @@ def pieces(units: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
     return out, np.array(of, np.int64)
 
 
-def sparse(strings: list[np.ndarray]):
-    """Yields (which strings, codes, weights) for strings of equal length; weights are divided by the norm."""
+def coded(strings: list[np.ndarray]):
+    """Yields (which strings, the codes of all their subsequences, these places' weights) for strings of equal length."""
     length = np.array([len(s) for s in strings], np.int64)
     for n in np.unique(length):
         which = np.flatnonzero(length == n)
@@ -124,17 +127,23 @@ def sparse(strings: list[np.ndarray]):
         step = max(1, 100_000 // len(at))
         for k in range(0, len(which), step):
             part = which[k : k + step]
-            s = np.stack([strings[i] for i in part])
-            code = (s[:, at[:, 0]] * BASE + s[:, at[:, 1]]) * BASE + s[:, at[:, 2]]
-            order = np.argsort(code, axis=1)
-            code = np.take_along_axis(code, order, 1)
-            first = np.ones(code.shape, bool)
-            first[:, 1:] = code[:, 1:] != code[:, :-1]
-            edge = np.flatnonzero(first.ravel())
-            sums = np.add.reduceat(w[order].ravel(), edge)
-            row = edge // code.shape[1]
-            norm = np.sqrt(np.bincount(row, sums * sums, len(part)))
-            yield part[row], code.ravel()[edge], sums / norm[row]
+            s = np.stack([strings[i] for i in part]).astype(np.int32)
+            yield part, (s[:, at[:, 0]] * BASE + s[:, at[:, 1]]) * BASE + s[:, at[:, 2]], w
+
+
+def _merged(code: np.ndarray, w: np.ndarray):
+    """(row, code, sum of weights) of the distinct codes of each row."""
+    order = np.argsort(code, axis=1)
+    code = np.take_along_axis(code, order, 1)
+    first = np.ones(code.shape, bool)
+    first[:, 1:] = code[:, 1:] != code[:, :-1]
+    edge = np.flatnonzero(first.ravel())
+    return edge // code.shape[1], code.ravel()[edge], np.add.reduceat(w[order].ravel(), edge)
+
+
+def _square_sums(code: np.ndarray, w: np.ndarray) -> np.ndarray:
+    row, _, sums = _merged(code, w.astype(np.float64))
+    return np.bincount(row, sums * sums, len(code))
 
 
 class Landmarks:
@@ -151,22 +160,26 @@ class Landmarks:
 
 def features_of(unit: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Codes and weights of a unit's first piece."""
-    got = [(code, w) for _, code, w in sparse([symbols(unit)[:PIECE]])]
-    return got[0] if got else (np.zeros(0, np.int64), np.zeros(0))
+    for _, code, w in coded([symbols(unit)[:PIECE]]):
+        _, code, sums = _merged(code, w)
+        return code, sums / np.sqrt((sums * sums).sum())
+    return np.zeros(0, np.int64), np.zeros(0)
 
 
 def kernel_to(strings: list[np.ndarray], landmarks: Landmarks) -> np.ndarray:
     """Kernel values of strings to landmarks."""
     out = np.zeros((len(strings), landmarks.rows.shape[1]), np.float32)
-    for row, code, w in sparse(strings):
+    for part, code, w in coded(strings):
+        order = np.sort(code, axis=1) if code.shape[1] > 1 else code
         at = landmarks.index[code]
-        on = np.flatnonzero(at)
-        row, at, w = row[on], at[on], w[on].astype(np.float32)
-        for k in range(0, len(row), 40_000):
-            part = slice(k, k + 40_000)
-            r = row[part]
-            edge = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-            out[r[edge]] += np.add.reduceat(landmarks.rows[at[part]] * w[part, None], edge, axis=0)
+        w = w.astype(np.float32)
+        step = max(1, 8_192 // len(w))
+        got = np.concatenate([w @ landmarks.rows[at[k : k + step]] for k in range(0, len(part), step)])
+        norm = np.sqrt((w * w).sum(dtype=np.float64)) * np.ones(len(part))
+        again = np.flatnonzero((order[:, 1:] == order[:, :-1]).any(axis=1))
+        if len(again):  # subsequences that stand there more than once count together
+            norm[again] = np.sqrt(_square_sums(code[again], w))
+        out[part] = got / norm[:, None]
     return out
 
 
@@ -222,6 +235,7 @@ class Model:
 
     def __init__(self, table, weights, bias, curve):
         self.table, self.weights, self.bias, self.weight = table, weights, bias, curve
+        self.name = uuid4().hex
 
     def units(self, units: list[bytes]) -> np.ndarray:
         """What each unit adds to its sentence."""
@@ -246,6 +260,15 @@ def curve_inputs(best: np.ndarray, hits: np.ndarray, sentences: np.ndarray) -> n
 
 
 class Scorer:
+    _kept: list["Scorer"] = []
+
+    @classmethod
+    def kept(cls, model: Model) -> "Scorer":
+        """This process's own for a model, with the units of its earlier tasks."""
+        if not cls._kept or cls._kept[0].model.name != model.name:
+            cls._kept[:] = [cls(model)]
+        return cls._kept[0]
+
     def __init__(self, model: Model):
         self.model, self.index, self.value = model, scan.HashIndex(), np.zeros(0)
 
@@ -453,7 +476,7 @@ def score(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ()) -> D
     names = [*rows.columns, "score"]
 
     def run(batches):
-        scorer = Scorer(model)
+        scorer = Scorer.kept(model)
         for b in batches:
             got = scorer.model.curve(scorer.texts(*scan.view(scan.text_column(b))))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got)], names=names)
