@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import re
 from collections.abc import Callable
 from html.parser import HTMLParser
@@ -12,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..sources import readers
 
 IMAGE_LABELS = ("Image", "Figure")
 EDGE_LABELS = ("Page-Header", "Page-Footer")
@@ -140,19 +140,32 @@ def join_document(pages: DataFrame, key: str = "arxiv_id") -> DataFrame:
 
 
 def atomic_write(path: str, body: bytes | str) -> None:
-    """Write beside the file, then move."""
-    tmp = f"{path}.tmp"
-    with open(tmp, "wb") as f:
-        f.write(body.encode() if isinstance(body, str) else body)
-    os.replace(tmp, path)
+    """Write beside the file, then move; to any store that pyarrow reaches."""
+    fs, at = readers.store(path)
+    readers.put(fs, at, body.encode() if isinstance(body, str) else body)
+
+
+def save_documents(docs: DataFrame, folder: str, key: str = "arxiv_id") -> DataFrame:
+    """key and ocr_path of documents (html, md) whose files the tasks write; nb_pages_ocr and has_error go along."""
+
+    def run(frames):
+        for f in frames:
+            paths = [save_document(folder, str(k), html or "", md or "", {}) for k, html, md in zip(f[key], f["html"], f["md"], strict=True)]
+            yield pd.DataFrame({key: f[key], "ocr_path": paths, "nb_pages_ocr": f["nb_pages_ocr"], "has_error": f["has_error"]})
+
+    return docs.select(key, "html", "md", "nb_pages_ocr", "has_error").mapInPandas(run, f"{key} string, ocr_path string, nb_pages_ocr int, has_error boolean")
+
+
+def ocr_queue(subset: DataFrame, done: DataFrame, key: str = "arxiv_id") -> DataFrame:
+    """Documents of a subset without a finished file."""
+    return subset.join(done.select(key), key, "left_anti")
 
 
 def save_document(folder: str, arxiv_id: str, html: str, md: str, images: dict[str, bytes]) -> str:
     """html, figures, then markdown, whose presence marks the document as complete."""
-    at = os.path.join(folder, arxiv_id)
-    os.makedirs(at, exist_ok=True)
-    atomic_write(os.path.join(at, f"{arxiv_id}.html"), html)
+    at = f"{folder.rstrip('/')}/{arxiv_id}"
+    atomic_write(f"{at}/{arxiv_id}.html", html)
     for name, body in images.items():
-        atomic_write(os.path.join(at, name), body)
-    atomic_write(os.path.join(at, f"{arxiv_id}.md"), md)
+        atomic_write(f"{at}/{name}", body)
+    atomic_write(f"{at}/{arxiv_id}.md", md)
     return at

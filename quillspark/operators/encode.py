@@ -51,6 +51,19 @@ def save_embeddings(current: DataFrame, new: DataFrame, model: str) -> DataFrame
     return insert_or_ignore(current, good, ["arxiv_id"], [F.col("embed_date")])
 
 
+def embed_pending(papers: DataFrame, embedded: DataFrame, load: Callable, model: str, categories: list[str] | None = None, limit: int | None = None, batch_size: int = 64, dim: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The next table and the status of each row: papers without an embedding, at most so many by id, are embedded and added.
+
+    Rows that fail stay pending, so the next call takes them again.  The
+    encoder's rows are used twice: write them first where encoding is dear.
+    """
+    queue = pending(papers, embedded, categories)
+    if limit is not None:
+        queue = queue.orderBy("arxiv_id").limit(limit)
+    new = embed(queue, load, batch_size, dim)
+    return save_embeddings(embedded, new, model), new.select("arxiv_id", "status")
+
+
 def hashing_encoder(dim: int = 16):
     """A loader of a deterministic stand-in encoder: signed word hashes."""
 

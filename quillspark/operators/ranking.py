@@ -13,9 +13,10 @@ def with_rank(df: DataFrame, score: str, key: str, rank: str = "rank", parts: in
 
     Scores are cut at approximate quantiles.  Rows between two cuts are one
     bucket; rows equal to a cut are buckets of their own, cut further by the
-    key, so a score that a third of all rows share is spread too.  Ranks are
-    the place in the bucket plus the rows of the buckets before, a table of at
-    most some thousand rows that is broadcast.
+    key (of other kinds than numbers by its first bytes), so a score that a third
+    of all rows share is spread too.  Ranks are the place in the bucket plus the
+    rows of the buckets before, a table of at most some thousand rows that is
+    broadcast.
     """
     parts = parts or max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     parts = min(parts, 1000)
@@ -24,18 +25,21 @@ def with_rank(df: DataFrame, score: str, key: str, rank: str = "rank", parts: in
     probs = [k / parts for k in range(1, parts)]
     kind = dict(df.dtypes)[key]
     numeric = kind in ("int", "bigint", "smallint", "tinyint", "double", "float")
-    got = rows.agg(F.percentile_approx("_score", F.array(*map(F.lit, probs)), 10 * parts).alias("s"), (F.percentile_approx(key, F.array(*map(F.lit, probs)), 10 * parts) if numeric else F.lit(None)).alias("k")).first()
+    # seven bytes as a number stand in the order of the keys
+    by = F.col(key) if numeric else F.conv(F.rpad(F.hex(F.substring(F.col(key).cast("string").cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("long")
+    rows = rows.withColumn("_by", by)
+    got = rows.agg(F.percentile_approx("_score", F.array(*map(F.lit, probs)), 10 * parts).alias("s"), F.percentile_approx("_by", F.array(*map(F.lit, probs)), 10 * parts).alias("k")).first()
     cuts = sorted(set(got["s"] or []))
     by_key = sorted(set(got["k"] or []))
     bucket = _place(F.col("_score"), cuts, descending=True)
-    tie = F.when(F.col("_score").isNull() | F.col("_score").isin(cuts), _place(F.col(key), by_key)) if by_key and cuts else F.lit(0)
+    tie = F.when(F.col("_score").isNull() | F.col("_score").isin(cuts), _place(F.col("_by"), by_key)) if by_key else F.lit(0)
     rows = rows.withColumn("_bucket", bucket).withColumn("_tie", F.coalesce(tie, F.lit(0)))
     sizes = rows.groupBy("_bucket", "_tie").agg(F.count(F.lit(1)).alias("n"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("_bucket", "_tie").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     sizes = sizes.select("_bucket", "_tie", before.alias("_before"))
     place = F.row_number().over(Window.partitionBy("_bucket", "_tie").orderBy(F.col("_score").desc_nulls_last(), F.col(key).asc_nulls_last()))
     out = rows.withColumn("_place", place).join(F.broadcast(sizes), ["_bucket", "_tie"])
-    return out.withColumn(rank, F.col("_before") + F.col("_place") - 1).drop("_bucket", "_tie", "_score", "_place", "_before")
+    return out.withColumn(rank, F.col("_before") + F.col("_place") - 1).drop("_bucket", "_tie", "_by", "_score", "_place", "_before")
 
 
 def _place(c: Column, cuts: list, descending: bool = False) -> Column:
@@ -48,10 +52,12 @@ def _place(c: Column, cuts: list, descending: bool = False) -> Column:
         cut = F.lit(cuts[mid])
         return F.when(c == cut, F.lit(2 * mid + 1)).when(c < cut, tree(lo, mid)).otherwise(tree(mid + 1, hi))
 
-    if len(cuts) > 64:  # deep case trees compile badly: look up by array position
-        arr = F.array(*map(F.lit, cuts))
-        below = F.size(F.filter(arr, lambda x: x < c))
-        out = 2 * below + F.array_contains(arr, c).cast("int")
+    if len(cuts) > 64:  # deep case trees compile badly: look up every 32nd cut, then the 32 after it
+        every = F.array(*map(F.lit, cuts[::32]))
+        group = F.greatest(F.size(F.filter(every, lambda x: x < c)) - 1, F.lit(0))
+        near = F.slice(F.array(*map(F.lit, cuts)), group * 32 + 1, F.lit(33))
+        below = group * 32 + F.size(F.filter(near, lambda x: x < c))
+        out = 2 * below + F.array_contains(near, c).cast("int")
     else:
         out = tree(0, len(cuts))
     out = (F.lit(2 * len(cuts)) - out) if descending else out

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors
-from .ranking import top_k, with_rank
+from .ranking import with_rank
 
 
 def dense_scores(docs: DataFrame, query: list[float], key: str = "arxiv_id", vec: str = "dense_vec") -> DataFrame:
@@ -50,8 +50,8 @@ def recommend_top_k(fused: DataFrame, golden: DataFrame, target: float = 0.97, k
 
 def candidates(fused: DataFrame, k: int, key: str = "arxiv_id") -> DataFrame:
     """The k best with their 1-based rank."""
-    best = top_k(fused, "hybrid_score", key, k)
-    return with_rank(best, "hybrid_score", key).withColumn("rank", (F.col("rank") + 1).cast("int"))
+    # k grows with the corpus, so the list is cut by rank and not merged in one task
+    return with_rank(fused, "hybrid_score", key).where(F.col("rank") < k).withColumn("rank", (F.col("rank") + 1).cast("int"))
 
 
 def corpus_slice(embeddings: DataFrame, papers: DataFrame, categories: list[str]) -> DataFrame:

@@ -48,6 +48,20 @@ def replace_by_key(current: DataFrame, incoming: DataFrame, keys: DataFrame) ->
     return current.join(keys.distinct(), keys.columns, "left_anti").unionByName(incoming, allowMissingColumns=True)
 
 
+def record_ocr(local: DataFrame, stats: DataFrame, pages: DataFrame, documents: DataFrame, model: str, when=None) -> tuple[DataFrame, DataFrame]:
+    """The next tables of state and of page statistics after OCR: a document's page rows are replaced together with its state.
+
+    pages: arxiv_id, page and statistics; documents: arxiv_id, ocr_path,
+    nb_pages_ocr and has_error.  Documents with an error on a page are not done.
+    """
+    at = F.current_timestamp() if when is None else F.lit(when).cast("timestamp")
+    known = documents.select("arxiv_id")
+    columns = [c for c in stats.columns if c in pages.columns]
+    next_stats = replace_by_key(stats, pages.join(known, "arxiv_id", "left_semi").select(*columns), known)
+    state = documents.select("arxiv_id", "ocr_path", "nb_pages_ocr", (~F.col("has_error")).alias("ocr_done"), F.lit(model).alias("ocr_model"), at.alias("ocr_date"))
+    return upsert(local, state, ["arxiv_id"], ["ocr_path", "nb_pages_ocr", "ocr_done", "ocr_model", "ocr_date"]), next_stats
+
+
 def update_flag(current: DataFrame, keys: DataFrame, column: str, value) -> DataFrame:
     marked = keys.distinct().withColumn("_hit", F.lit(True))
     return current.join(marked, keys.columns, "left").withColumn(column, F.when(F.col("_hit"), F.lit(value)).otherwise(F.col(column))).select(*current.columns)

@@ -6,6 +6,7 @@ import io
 import tarfile
 import tempfile
 import uuid
+from hashlib import md5
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ def t(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def folder(spark: SparkSession, name: str) -> str:
     """A fresh folder that driver and executors share; see spark.checkpoint.dir."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or ("file://" + tempfile.gettempdir() if spark.sparkContext.master.startswith("local") else spark.conf.get("spark.sql.warehouse.dir"))
+    root = spark.conf.get("spark.checkpoint.dir", None) or ("file://" + tempfile.gettempdir() if spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local" else spark.conf.get("spark.sql.warehouse.dir"))
     path = f"{root.rstrip('/')}/quillspark-queries/{name}-{uuid.uuid4().hex}"
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -74,14 +75,17 @@ def s6_frame_scan(spark, sf):
 @query("SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'failed: not found' ELSE 'ok' END AS status, CASE WHEN doc_id % 7 = 0 THEN NULL ELSE 'raw/' || doc_id || '.pdf' END AS path FROM documents")
 def s7_fetch(spark, sf):
     def load():
+        tried = set()
+
         def get(key):
-            if key % 7 == 0:
+            again, _ = key in tried, tried.add(key)
+            if key % 7 == 0 or key % 5 == 0 and not again:  # some answer at the second call
                 raise OSError("not found")
             return f"raw/{key}.pdf"
 
         return get
 
-    return fetch.fetch(t(spark, sf, "documents"), load, "doc_id", pause=0, parts=4)
+    return fetch.fetch(t(spark, sf, "documents"), load, "doc_id", pause=0, parts=4, wait=(0, 0))
 
 
 @query("SELECT doc_id, CAST(k AS INT) AS page FROM (SELECT doc_id, unnest(generate_series(0, least(3, (n_chars // 1000) + 1) - 1)) AS k FROM documents WHERE source = 'src1')")
@@ -122,6 +126,15 @@ def s10_archives(spark, sf):
     return out.select(F.regexp_extract("path", r"(\d+)\.tar\.gz$", 1).cast("long").alias("page_id"), "outcome")
 
 
+@query("SELECT page_id, CASE WHEN page_id % 3 <> 0 THEN 'ok' END AS body FROM pages WHERE page_id % 10 <> 0")
+def s8_extracted_files(spark, sf):
+    """Archives are unpacked to the shared folder; their files are read back."""
+    target = folder(spark, "extracted")
+    done = readers.extract(spark, _archives(spark, sf), target).where("status = 'ok'").select(F.regexp_extract("folder", r"(\d+)$", 1).cast("long").alias("page_id"), "has_tex").toPandas()
+    found = spark.read.text(target, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.tex").select(F.regexp_extract(F.input_file_name(), r"/(\d+)/src/paper\.tex$", 1).cast("long").alias("page_id"), F.col("value").alias("body"))
+    return spark.createDataFrame(done, "page_id long, has_tex boolean").join(found, "page_id", "left").select("page_id", "body")
+
+
 @query("SELECT conv_id, text FROM conversations WHERE turn = (SELECT min(turn) FROM conversations) AND conv_id < 20")
 def s11_whole_text(spark, sf):
     rows = t(spark, sf, "conversations")
@@ -526,6 +539,14 @@ def r4_recommended_size(spark, sf):
     return spark.createDataFrame([(k,)], "top_k int")
 
 
+@query(f"WITH {_HYBRID}, {_SIZED[1:].replace('least(ceil(0.97::DOUBLE * tot), tot)', 'least(ceil(0.97::DOUBLE * tot), tot, greatest(1, floor(tot * 0.8::DOUBLE)))')} SELECT CAST(top_k AS INT) AS top_k FROM k")
+def z7_robust_size(spark, sf):
+    """The size of r4 with a cap at a quantile of the positives' ranks, so outliers do not blow it up."""
+    fused = retrieval.rrf_fuse(_dense(spark, sf), _sparse(spark, sf), key="vec_id")
+    k = retrieval.recommend_top_k(fused, t(spark, sf, "labels").select(F.col("doc_id").alias("vec_id"), F.col("quality").alias("label")), key="vec_id", cap=0.8)
+    return spark.createDataFrame([(k,)], "top_k int")
+
+
 @query(f"WITH {_HYBRID}, {_SIZED[1:]} SELECT id AS vec_id, CAST(rk + 1 AS INT) AS rank FROM r, k WHERE rk < top_k")
 def r5_sized_candidates(spark, sf):
     fused = retrieval.rrf_fuse(_dense(spark, sf), _sparse(spark, sf), key="vec_id")
@@ -664,14 +685,85 @@ def d3_markdown(spark, sf):
     return documents.markdown(t(spark, sf, "pages"), "html").select("page_id", "markdown")
 
 
-@query("SELECT CAST(conv_id AS VARCHAR) AS arxiv_id, CAST(turn AS INT) AS page, CAST(length(text) AS INT) AS n_tokens, CASE WHEN turn = 3 THEN 'timeout' END AS error, length(text) >= 100 AS truncated FROM conversations")
-def d6_page_stats(spark, sf):
+def _ocr(spark, sf) -> DataFrame:
+    """Turns as pages: a page's text is the digest of its bytes, a figure stands on every fifth, every seventh fails."""
+
     def load():
-        return lambda images: [{"raw": f"<p>{bytes(i).decode()}</p>", "token_count": len(bytes(i).decode()), "error": None} for i in images]
+        def one(image):
+            if len(image) % 7 == 0:
+                return {"raw": None, "token_count": 0, "error": "timeout"}
+            figure = '<img src="f.webp">' if len(image) % 5 == 0 else ""
+            return {"raw": f"<p>{md5(image).hexdigest()}</p>{figure}", "token_count": len(image), "error": None}
+
+        return lambda images: [one(bytes(i)) for i in images]
 
     rows = t(spark, sf, "conversations").select(F.col("conv_id").alias("arxiv_id"), F.col("turn").alias("page"), F.col("text").cast("binary").alias("image"))
-    out = documents.ocr_pages(rows, load, 100)
-    return out.select("arxiv_id", "page", "n_tokens", F.when(F.col("page") == 3, "timeout").alias("error"), "truncated")
+    return documents.ocr_pages(rows, load, 100)
+
+
+_PAGES = """g AS (SELECT CAST(conv_id AS VARCHAR) AS arxiv_id, CAST(turn AS INT) AS page, CAST(strlen(text) AS INT) AS size, md5(text) AS digest FROM conversations),
+o AS (SELECT arxiv_id, page, CASE WHEN size % 7 <> 0 THEN size ELSE 0 END AS n_tokens, CASE WHEN size % 7 = 0 THEN '' WHEN size % 5 = 0 THEN digest || chr(10) || chr(10) || '![](f.webp)' ELSE digest END AS markdown,
+  CASE WHEN size % 7 = 0 THEN 'timeout' END AS error, size % 7 <> 0 AND size >= 100 AS truncated FROM g),
+s AS (SELECT arxiv_id, page, n_tokens, CAST(length(markdown) AS INT) AS n_chars, CAST(markdown LIKE '%![%' AS INT) AS n_images, markdown, error, truncated FROM o)"""
+
+
+@query(f"WITH {_PAGES} SELECT * FROM s")
+def d6_page_stats(spark, sf):
+    return _ocr(spark, sf).drop("raw")
+
+
+_DONE = "d AS (SELECT arxiv_id, CAST(count(*) AS INT) AS n, bool_or(error IS NOT NULL) AS bad FROM s GROUP BY arxiv_id)"
+
+
+def _recorded(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """State and statistics after OCR of all conversations but each third, which had older rows."""
+    local = t(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("arxiv_id")).distinct()
+    local = local.select("arxiv_id", F.lit("old").alias("ocr_path"), F.lit("old").alias("ocr_model"), F.lit(None).cast("timestamp").alias("ocr_date"), F.lit(0).alias("nb_pages_ocr"), F.lit(False).alias("ocr_done"))
+    stats = local.select("arxiv_id", F.lit(99).alias("page"), F.lit(1).alias("n_tokens"), F.lit(0).alias("n_chars"), F.lit(0).alias("n_images"), F.lit("old").alias("error"))
+    pages = _ocr(spark, sf).where(F.col("arxiv_id").cast("long") % 3 != 0)
+    saved = documents.save_documents(documents.join_document(pages), folder(spark, "ocr"))
+    return state.record_ocr(local, stats, pages, saved, "stand-in", "2024-01-01")
+
+
+@query(f"WITH {_PAGES}, {_DONE} SELECT arxiv_id, CASE WHEN CAST(arxiv_id AS BIGINT) % 3 = 0 THEN 'old' ELSE arxiv_id END AS saved, CASE WHEN CAST(arxiv_id AS BIGINT) % 3 = 0 THEN 0 ELSE n END AS nb_pages_ocr, CAST(arxiv_id AS BIGINT) % 3 <> 0 AND NOT bad AS ocr_done, CASE WHEN CAST(arxiv_id AS BIGINT) % 3 = 0 THEN 'old' ELSE 'stand-in' END AS ocr_model FROM d")
+def d8_ocr_state(spark, sf):
+    return _recorded(spark, sf)[0].select("arxiv_id", F.regexp_extract("ocr_path", "([^/]+)$", 1).alias("saved"), "nb_pages_ocr", "ocr_done", "ocr_model")
+
+
+@query(f"WITH {_PAGES} SELECT arxiv_id, page, n_tokens, n_chars, n_images, error FROM s WHERE CAST(arxiv_id AS BIGINT) % 3 <> 0 UNION ALL SELECT DISTINCT arxiv_id, 99, 1, 0, 0, 'old' FROM s WHERE CAST(arxiv_id AS BIGINT) % 3 = 0")
+def d8_ocr_stats(spark, sf):
+    return _recorded(spark, sf)[1]
+
+
+@query("SELECT DISTINCT CAST(conv_id AS VARCHAR) AS arxiv_id FROM conversations WHERE conv_id % 4 <> 1")
+def o6_skip_finished(spark, sf):
+    """Documents with a finished markdown file are not queued again; an html file alone does not count."""
+    at = folder(spark, "finished")
+    ids = t(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("arxiv_id")).distinct()
+    some = ids.where(F.col("arxiv_id").cast("long") % 4 == 1).select("arxiv_id", F.lit("<p>x</p>").alias("html"), F.lit("x").alias("md"), F.lit(1).alias("nb_pages_ocr"), F.lit(False).alias("has_error"))
+    documents.save_documents(some, at).count()
+    documents.atomic_write(f"{at}/2/2.html", "no markdown yet")
+    return documents.ocr_queue(ids, readers.finished(spark, at))
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS arxiv_id, CASE WHEN doc_id % 2 = 0 THEN 'old' ELSE 'new' END AS embed_model, CASE WHEN doc_id % 2 = 0 THEN 0 ELSE 16 END AS dim FROM documents WHERE doc_id % 2 = 0 OR coalesce(text, '') NOT LIKE '%the%'")
+def r9_embed_pending(spark, sf):
+    """Papers without an embedding get one; those whose batch fails stay out and are pending still."""
+    papers = t(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("arxiv_id"), F.lit("t").alias("title"), F.coalesce("text", F.lit("")).alias("abstract"), "lang")
+    old = papers.where(F.col("arxiv_id").cast("long") % 2 == 0).select("arxiv_id", F.array().cast("array<float>").alias("dense_vec"), F.lit(None).cast("map<int,float>").alias("sparse_weights"), F.lit("old").alias("embed_model"), F.lit(None).cast("timestamp").alias("embed_date"))
+
+    def load():
+        encode_all = encode.hashing_encoder(16)()
+
+        def one(texts):
+            if any("the" in x for x in texts):
+                raise ValueError("stand-in failure")
+            return encode_all(texts)
+
+        return one
+
+    table, _ = encode.embed_pending(papers, old, load, "new", batch_size=1, dim=16)
+    return table.select("arxiv_id", "embed_model", F.size("dense_vec").alias("dim"))
 
 
 @query("SELECT doc_id FROM documents JOIN labels USING (doc_id) WHERE lang = 'en' AND CASE WHEN quality = 1 THEN source END IS NOT NULL")

@@ -21,8 +21,11 @@ def with_retry(call: Callable, attempts: int = 3, least: float = 2.0, most: floa
             sleep(min(most, max(least, 2.0 * 2**k)))
 
 
-def fetch(queue: DataFrame, load: Callable, key: str = "arxiv_id", pause: float = 3.0, parts: int = 1) -> DataFrame:
-    """key, path and status of each row.  load: once a task, gives get(key) -> path.  parts: how many tasks may fetch at once."""
+def fetch(queue: DataFrame, load: Callable, key: str = "arxiv_id", pause: float = 3.0, parts: int = 1, attempts: int = 3, wait: tuple[float, float] = (2.0, 10.0)) -> DataFrame:
+    """key, path and status of each row.  load: once a task, gives get(key) -> path.  parts: how many tasks may fetch at once.
+
+    Each get is tried so often, with pauses that grow from the least to the most wait.
+    """
     kind = dict(queue.dtypes)[key]
 
     def run(frames):
@@ -31,7 +34,7 @@ def fetch(queue: DataFrame, load: Callable, key: str = "arxiv_id", pause: float
             rows = []
             for k in f[key]:
                 try:
-                    rows.append((k, get(k), "ok"))
+                    rows.append((k, with_retry(lambda k=k: get(k), attempts, *wait), "ok"))
                 except Exception as e:
                     rows.append((k, None, f"failed: {e}"))
                 if pause:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import io
 import tarfile
+import uuid
 
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,6 +53,57 @@ def archives(spark: SparkSession, path: str, pattern: str = "*.tar.gz") -> DataF
     return files.mapInPandas(run, "path string, members array<string>, has_tex boolean, status string")
 
 
+def extract(spark: SparkSession, path: str, target: str, pattern: str = "*.tar.gz") -> DataFrame:
+    """path, folder, n_files, has_tex and status of archives whose files are written to <target>/<archive's stem>/.
+
+    Each archive is written by one task, under names of its own and then moved,
+    so a repeated task leaves the same files.  Unsafe member names are left out.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path).select("path", "content")
+
+    def run(frames):
+        fs, at = store(target)
+        for f in frames:
+            rows = []
+            for p, raw in zip(f["path"], f["content"], strict=True):
+                folder, n, tex = f"{at}/{p.rsplit('/', 1)[-1].split('.')[0]}", 0, False
+                try:
+                    with tarfile.open(fileobj=io.BytesIO(raw), mode="r:*") as tar:
+                        for m in tar.getmembers():
+                            if m.isfile() and not m.name.startswith("/") and ".." not in m.name.split("/"):
+                                put(fs, f"{folder}/{m.name}", tar.extractfile(m).read())
+                                n, tex = n + 1, tex or m.name.endswith(".tex")
+                    rows.append((p, folder, n, tex, "ok"))
+                except Exception as e:
+                    rows.append((p, None, n, None, f"error: {e}"))
+            yield pd.DataFrame(rows, columns=["path", "folder", "n_files", "has_tex", "status"])
+
+    return files.mapInPandas(run, "path string, folder string, n_files int, has_tex boolean, status string")
+
+
+def store(path: str) -> tuple[pafs.FileSystem, str]:
+    """File system and path for code on executors; any scheme that pyarrow knows."""
+    return pafs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
+
+
+def put(fs: pafs.FileSystem, at: str, body: bytes) -> None:
+    """Writes a file beside its place, then moves it there; each attempt has a name of its own."""
+    fs.create_dir(at.rsplit("/", 1)[0], recursive=True)
+    tmp = f"{at}.{uuid.uuid4().hex}.tmp"
+    with fs.open_output_stream(tmp, compression=None) as out:
+        out.write(body)
+    try:
+        fs.move(tmp, at)
+    except OSError:  # some stores do not move onto the file of an earlier attempt
+        fs.delete_file(at)
+        fs.move(tmp, at)
+
+
+def finished(spark: SparkSession, folder: str, suffix: str = ".md") -> DataFrame:
+    """Ids (file stems) whose last artefact is there."""
+    return listing(spark, folder, f"*{suffix}").select(F.regexp_extract("path", r"([^/]+)" + suffix.replace(".", r"\.") + "$", 1).alias("arxiv_id")).distinct()
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     if not name.isidentifier():
         raise ValueError(f"not a table name: {name!r}")
