@@ -22,6 +22,7 @@ from functools import cached_property
 import numpy as np
 
 from . import scan
+from .work import kept
 
 SPACE, LETTER, DIGIT, OTHER, ODD = 0, 1, 2, 3, 4
 _CLASS = np.full(256, OTHER, np.uint8)
@@ -238,14 +239,10 @@ _LETTER_BYTE = {c: b for b, c in enumerate(byte_letters())}
 class Counter:
     """Token counts of texts."""
 
-    _kept: dict[tuple[type, str], "Counter"] = {}
-
     @classmethod
     def kept(cls, path: str) -> "Counter":
         """This process's own, with the words of its earlier tasks."""
-        if (cls, path) not in cls._kept:
-            cls._kept[cls, path] = cls(path)
-        return cls._kept[cls, path]
+        return kept((cls.__name__, path), lambda: cls(path))
 
     def __init__(self, path: str):
         self.lib, self.index, self.value = Library(path), scan.HashIndex(), np.zeros(0, np.int64)

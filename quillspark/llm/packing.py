@@ -64,7 +64,7 @@ def cut_pieces(docs: DataFrame, vocabulary: str | None = None, length: int = 204
                     names=["doc_id", "piece", "start", "length", "ids_crc32", "deal"],
                 )
 
-    return one_text(docs).mapInArrow(lean(run), PIECES)
+    return one_text(docs).mapInArrow(lean(run, keep=True), PIECES)
 
 
 def best_two_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, int]:

@@ -31,4 +31,4 @@ def count_tokens(docs: DataFrame, vocabulary: str | None = None, limit: int = 20
             n = counter.texts(data, offs)
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(np.diff(offs)), pa.array(n)], names=["doc_id", "n_bytes", "n_tokens"])
 
-    return one_text(docs).mapInArrow(lean(run), SCHEMA).withColumn("over_limit", F.col("n_tokens") > F.lit(limit))
+    return one_text(docs).mapInArrow(lean(run, keep=True), SCHEMA).withColumn("over_limit", F.col("n_tokens") > F.lit(limit))

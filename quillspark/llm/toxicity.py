@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import scan
-from .work import carried, lean, one_text
+from .work import carried, kept, lean, one_text
 
 DECAY, SPAN, PIECE = 0.7, 8, 24
 #: The kernel of two units is raised to it, so that likeness of common syllables does not add up over a sentence.
@@ -260,14 +260,10 @@ def curve_inputs(best: np.ndarray, hits: np.ndarray, sentences: np.ndarray) -> n
 
 
 class Scorer:
-    _kept: list["Scorer"] = []
-
     @classmethod
     def kept(cls, model: Model) -> "Scorer":
         """This process's own for a model, with the units of its earlier tasks."""
-        if not cls._kept or cls._kept[0].model.name != model.name:
-            cls._kept[:] = [cls(model)]
-        return cls._kept[0]
+        return kept(("scorer", model.name), lambda: cls(model))
 
     def __init__(self, model: Model):
         self.model, self.index, self.value = model, scan.HashIndex(), np.zeros(0)
@@ -467,8 +463,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 1000, train_bytes: i
 
 def score(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text, columns in keep, and score of each row."""
-    kept, renamed = carried(keep, ("doc_id", "text", "score"))
-    rows = one_text(docs, *kept)
+    carry, renamed = carried(keep, ("doc_id", "text", "score"))
+    rows = one_text(docs, *carry)
     last = ["doc_id", "text", *(F.col(c).alias(name) for c, name in renamed.items()), "score"]
     if model is None:
         return rows.withColumn("score", F.lit(0.0)).select(last)
@@ -481,7 +477,7 @@ def score(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ()) -> D
             got = scorer.model.curve(scorer.texts(*scan.view(scan.text_column(b))))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got)], names=names)
 
-    return rows.mapInArrow(lean(run), schema).select(last)
+    return rows.mapInArrow(lean(run, keep=True), schema).select(last)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 1000) -> DataFrame:

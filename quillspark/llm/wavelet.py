@@ -247,7 +247,7 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str | None = None, en
         if names:
             yield flush()
 
-    return written(rows.mapInArrow(lean(run), MANIFEST), "wavelet-manifest")
+    return written(rows.mapInArrow(lean(run, keep=True), MANIFEST), "wavelet-manifest")
 
 
 def with_starts(manifest: DataFrame) -> DataFrame:

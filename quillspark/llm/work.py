@@ -116,20 +116,33 @@ def parts_for(spark: SparkSession, amount: int, each: int) -> int:
     return max(1, n if amount < each else max(n, min(spark.sparkContext.defaultParallelism, -(-amount // (each // 8)))))
 
 
-def release() -> None:
-    """Give freed memory back: workers live on after a task and would hold its peak."""
+_kept: dict = {}
+
+
+def kept(key, make):
+    """This process's own object for a key, from an earlier task or made now.  It keeps one: another key's takes its place."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def release(keep: bool = False) -> None:
+    """Give freed memory back: workers live on after a task and would hold its peak.  keep: the kept object stays."""
+    if not keep:
+        _kept.clear()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # not every C library has it
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
-def lean(run):
-    """A function of batches that releases memory when it ends."""
+def lean(run, keep: bool = False):
+    """A function of batches that releases memory when it ends, all but the kept object if told so."""
 
     def wrapped(batches):
         try:
             yield from run(batches)
         finally:
-            release()
+            release(keep)
 
     return wrapped
