@@ -88,11 +88,10 @@ def s7_fetch(spark, sf):
     return fetch.fetch(t(spark, sf, "documents"), load, "doc_id", pause=0, parts=4, wait=(0, 0))
 
 
-@query("SELECT doc_id, CAST(k AS INT) AS page FROM (SELECT doc_id, unnest(generate_series(0, least(3, (n_chars // 1000) + 1) - 1)) AS k FROM documents WHERE source = 'src1')")
+@query("SELECT doc_id, CAST(k AS INT) AS page FROM (SELECT doc_id, unnest(generate_series(0, least(3, (strlen(coalesce(text, '')) // 1000) + 1) - 1)) AS k FROM documents)")
 def s9_page_images(spark, sf):
-    files = t(spark, sf, "documents").where("source = 'src1'").select(F.col("doc_id").cast("string").alias("path"), F.col("text").cast("binary").alias("content"), "n_chars")
-    sized = files.select("path", F.concat(F.col("n_chars").cast("string").cast("binary")).alias("content"))
-    pages = readers.pages_of(sized, lambda: lambda raw, dpi: [b"image"] * (int(raw) // 1000 + 1), max_pages=3)
+    files = t(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("path"), F.coalesce("text", F.lit("")).cast("binary").alias("content"))
+    pages = readers.pages_of(files, lambda: lambda raw, dpi: [b"image"] * (len(raw) // 1000 + 1), max_pages=3)
     return pages.select(F.col("path").cast("long").alias("doc_id"), "page")
 
 

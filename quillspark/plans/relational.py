@@ -68,7 +68,7 @@ SQL: dict[str, str] = {
     "f19_case": "SELECT p_partkey, CASE WHEN p_size < 10 THEN 'small' WHEN p_size < 30 THEN 'medium' ELSE 'large' END AS size FROM {part}",
     "f21_equality_column": "SELECT p_partkey, split_part(p_name, ' ', 2) = split_part(p_name, ' ', 1) AS is_primary FROM {part}",
     "f22_truncate": "SELECT doc_id, substring(text, 1, 400) AS short, length(substring(text, 1, 800)) AS n FROM {documents}",
-    "f26_title_abstract": "SELECT d.doc_id, d.lang || '. ' || substring(d.text, 1, 80) AS text FROM {documents} d",
+    "f26_title_abstract": "SELECT d.doc_id, d.lang || '. ' || d.text AS text FROM {documents} d",
     "f33_percentage": "SELECT CAST(100.0 * sum(CASE WHEN toxic = 0 THEN 1 ELSE 0 END) / count(*) AS DOUBLE) AS success_rate FROM {labels}",
 }
 
