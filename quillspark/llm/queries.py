@@ -1,11 +1,11 @@
-"""The ten operators' queries: each applies its operator to its whole table."""
+"""The operators' queries: each applies its operator to its whole table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, licenses, media, packing, substring, token_count, toxicity, warc, wavelet
+from . import decontaminate, fim, jaccard, licenses, media, packing, spelling, substring, token_count, toxicity, warc, wavelet
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,16 @@ def op10_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.binary_output(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    back = F.sha2(fim.restored(F.col("form"), F.col("text")), 256)
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("text", 256).alias("output_sha256"), back.alias("restored_sha256"))
+
+
 def queries() -> dict:
     found = {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
@@ -66,4 +76,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_license_scan": licenses.oracle(),
         "op7_substring_dedup": substring.ORACLE,
         "op9_decontamination": decontaminate.ORACLE,
+        "op11_spelling_variants": spelling.ORACLE,
+        "op12_fill_in_middle": fim.ORACLE,
     }
