@@ -8,7 +8,7 @@ reach me: «email|j.smith [at] example [dot] org» or come by
 «email|info (at) shop.example.com» answers at night
 send it to «email|lena_k (at) posteo (dot) example» and wait
 my address is «email|bob AT corp DOT example DOT net» as before
-mail «email|kim@@example.com» is broken , «email|kim @ example . com» is not
+mail «email|kim @ example . com» is spaced
 contact «email|maria{at}uni{dot}example» for the keys
 the and of «email|tor.42 at mail8 dot example dot com» with by for
 «email|paul99 at web dot de» hat geschrieben
