@@ -441,6 +441,12 @@ class Finder:
             kind, e = (int(tag[b]) - 1) // 2, b + 1
             while e < len(tag) and tag[e] == tag[b] + 1:
                 e += 1
+            while e > b and t.kind[e - 1] == 3:  # signs at the ends belong to the sentence, but for those that begin a number
+                e -= 1
+            while b < e and t.kind[b] == 3 and data[t.starts[b]] not in b"(+":
+                b += 1
+            if b == e:
+                continue
             a, z = int(t.starts[b]), int(t.ends[e - 1])
             k = int(np.searchsorted(offs, a, "right")) - 1
             glued = (a > offs[k] and _LETTER[data[a - 1]] and t.kind[b] == 2) or (z < offs[k + 1] and _LETTER[data[z]] and t.kind[e - 1] == 2)
@@ -540,5 +546,6 @@ def digest(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, the counts of base spans by kind, a digest of the base spans, and all spans."""
     out = find_spans(docs, model)
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    of = lambda kind: F.filter(base, lambda s: s["kind"] == kind)
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in KINDS]
     return out.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), F.size(F.filter("spans", lambda s: ~s["base"])).cast("long").alias("n_added"))
