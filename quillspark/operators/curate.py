@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from .ranking import with_position
 from .state import first_by
 
 
@@ -43,15 +44,13 @@ def exploded_authors(clean: DataFrame) -> DataFrame:
 def authors(exploded: DataFrame) -> DataFrame:
     """One row of each normalised name, the smallest spelling, with an id that follows the name's order.
 
-    Ids come from a range-partitioned sort: place in the partition plus the
-    sizes of those before, so no single task sees all names.
+    Names are dealt to ranges by Spark's sampled bounds; an id is the place in the
+    range plus the rows of the ranges before.  The result is a written table, so
+    what joins it does not compute it anew.
     """
     names = exploded.groupBy("name_normalized").agg(F.min("name_raw").alias("name_raw"))
-    buckets = names.withColumn("_b", F.substring("name_normalized", 1, 2))
-    sizes = buckets.groupBy("_b").agg(F.count(F.lit(1)).alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = buckets.withColumn("_n", F.row_number().over(Window.partitionBy("_b").orderBy("name_normalized"))).join(sizes.select("_b", before.alias("_before")), "_b")
-    return placed.select((F.col("_before") + F.col("_n")).cast("bigint").alias("author_id"), "name_raw", "name_normalized")
+    placed = with_position(names, [F.col("name_normalized").asc_nulls_first()], "_at")
+    return placed.select((F.col("_at") + 1).cast("bigint").alias("author_id"), "name_raw", "name_normalized")
 
 
 def paper_authors(exploded: DataFrame, author_table: DataFrame) -> DataFrame:

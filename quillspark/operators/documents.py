@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..functions import text
 from ..sources import readers
 
@@ -139,6 +140,25 @@ def join_document(pages: DataFrame, key: str = "arxiv_id") -> DataFrame:
     return pages.groupBy(key).agg(text.join_pages(F.col("page"), F.col("raw")).alias("html"), text.join_pages(F.col("page"), F.col("markdown")).alias("md"), F.count(F.lit(1)).cast("int").alias("nb_pages_ocr"), F.max(F.col("error").isNotNull()).alias("has_error"))
 
 
+def run_ocr(images: DataFrame, load: Callable[[], Callable[[list], list[dict]]], run: str, target: str, max_output_tokens: int = 8192, convert: Callable[[str], str] = to_markdown) -> tuple[DataFrame, DataFrame]:
+    """The page rows, and the documents whose files are written to target; the OCR sees each page once.
+
+    Pages go to <run>/pages, documents to <run>/documents, and both are read from
+    there, however often.  A run that broke off goes on: what was written whole is
+    taken as it is, so a new run needs a new folder.
+    """
+    spark = images.sparkSession
+
+    def once(name: str, make) -> DataFrame:
+        at = f"{run}/{name}"
+        if not storage.exists(spark, f"{at}/_SUCCESS"):
+            make().write.mode("overwrite").parquet(at)
+        return spark.read.parquet(at)
+
+    pages = once("pages", lambda: ocr_pages(images, load, max_output_tokens, convert))
+    return pages, once("documents", lambda: save_documents(join_document(pages), target))
+
+
 def atomic_write(path: str, body: bytes | str) -> None:
     """Write beside the file, then move; to any store that pyarrow reaches."""
     fs, at = readers.store(path)

@@ -1,75 +1,53 @@
-"""Global ranks without a one-partition window."""
+"""Global places and ranks without a one-partition window."""
 
 from __future__ import annotations
 
-import bisect
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import storage
+
+_BITS = 33  # of monotonically_increasing_id: above them the partition, below the place in it
 
-def with_rank(df: DataFrame, score: str, key: str, rank: str = "rank", parts: int | None = None) -> DataFrame:
-    """0-based rank by (score DESC, key); NaN and null scores last.
 
-    Scores are cut at approximate quantiles.  Rows between two cuts are one
-    bucket; rows equal to a cut are buckets of their own, cut further by the
-    key (of other kinds than numbers by its first bytes), so a score that a third
-    of all rows share is spread too.  Ranks are the place in the bucket plus the
-    rows of the buckets before, a table of at most some thousand rows that is
-    broadcast.
+def with_position(df: DataFrame, order: list[Column], name: str, parts: int | None = None) -> DataFrame:
+    """The rows, written, with their 0-based place in a total order.
+
+    One shuffle deals the rows to ranges of the whole order (Spark samples rows and
+    takes composite bounds of all order columns), tasks sort their range, and the
+    place is that in the range plus the rows of the ranges before: a table of as many
+    rows as there were ranges.  Keys that begin alike, and equal scores with unique
+    keys, spread as any others.  Rows that tie in every order column may swap.
     """
-    parts = parts or max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    parts = min(parts, 1000)
-    s = F.when(F.isnan(F.col(score).cast("double")), None).otherwise(F.col(score).cast("double"))
-    rows = df.withColumn("_score", s)
-    probs = [k / parts for k in range(1, parts)]
-    kind = dict(df.dtypes)[key]
-    numeric = kind in ("int", "bigint", "smallint", "tinyint", "double", "float")
-    # seven bytes as a number stand in the order of the keys
-    by = F.col(key) if numeric else F.conv(F.rpad(F.hex(F.substring(F.col(key).cast("string").cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("long")
-    rows = rows.withColumn("_by", by)
-    got = rows.agg(F.percentile_approx("_score", F.array(*map(F.lit, probs)), 10 * parts).alias("s"), F.percentile_approx("_by", F.array(*map(F.lit, probs)), 10 * parts).alias("k")).first()
-    cuts = sorted(set(got["s"] or []))
-    by_key = sorted(set(got["k"] or []))
-    bucket = _place(F.col("_score"), cuts, descending=True)
-    tie = F.when(F.col("_score").isNull() | F.col("_score").isin(cuts), _place(F.col("_by"), by_key)) if by_key else F.lit(0)
-    rows = rows.withColumn("_bucket", bucket).withColumn("_tie", F.coalesce(tie, F.lit(0)))
-    sizes = rows.groupBy("_bucket", "_tie").agg(F.count(F.lit(1)).alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy("_bucket", "_tie").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sizes = sizes.select("_bucket", "_tie", before.alias("_before"))
-    place = F.row_number().over(Window.partitionBy("_bucket", "_tie").orderBy(F.col("_score").desc_nulls_last(), F.col(key).asc_nulls_last()))
-    out = rows.withColumn("_place", place).join(F.broadcast(sizes), ["_bucket", "_tie"])
-    return out.withColumn(rank, F.col("_before") + F.col("_place") - 1).drop("_bucket", "_tie", "_by", "_score", "_place", "_before")
+    ranged = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
+    rows = storage.written(ranged.sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()), "position")
+    part = F.shiftright("_id", _BITS)
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    out = rows.withColumn("_part", part).join(F.broadcast(sizes.select("_part", before.alias("_before"))), "_part")
+    return out.withColumn(name, F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << _BITS) - 1))).drop("_part", "_before", "_id")
 
 
-def _place(c: Column, cuts: list, descending: bool = False) -> Column:
-    """2k + 1 for the k-th cut itself, even numbers between; one lookup in a sorted list by halves."""
+def by_score(score: str, key: str) -> list[Column]:
+    """Score descending, then key; NaN and null scores last."""
+    s = F.col(score).cast("double")
+    return [F.when(F.isnan(s), None).otherwise(s).desc_nulls_last(), F.col(key).asc_nulls_last()]
 
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(2 * lo)
-        mid = (lo + hi) // 2
-        cut = F.lit(cuts[mid])
-        return F.when(c == cut, F.lit(2 * mid + 1)).when(c < cut, tree(lo, mid)).otherwise(tree(mid + 1, hi))
 
-    if len(cuts) > 64:  # deep case trees compile badly: look up every 32nd cut, then the 32 after it
-        every = F.array(*map(F.lit, cuts[::32]))
-        group = F.greatest(F.size(F.filter(every, lambda x: x < c)) - 1, F.lit(0))
-        near = F.slice(F.array(*map(F.lit, cuts)), group * 32 + 1, F.lit(33))
-        below = group * 32 + F.size(F.filter(near, lambda x: x < c))
-        out = 2 * below + F.array_contains(near, c).cast("int")
-    else:
-        out = tree(0, len(cuts))
-    out = (F.lit(2 * len(cuts)) - out) if descending else out
-    return F.when(c.isNull(), F.lit(2 * len(cuts) + 1)).otherwise(out)
+def with_rank(df: DataFrame, score: str, key: str, rank: str = "rank", parts: int | None = None) -> DataFrame:
+    """0-based rank by (score DESC, key); NaN and null scores last."""
+    return with_position(df, by_score(score, key), rank, parts)
+
+
+def zip_rows(left: DataFrame, right: DataFrame, left_order: list[Column], right_order: list[Column], name: str = "position") -> DataFrame:
+    """Rows of both sides at the same place of their orders; raises if the sides differ in length."""
+    a, b = with_position(left, left_order, name), with_position(right, right_order, name)
+    n, m = a.count(), b.count()
+    if n != m:
+        raise ValueError(f"{n} rows on the left, {m} on the right")
+    return a.join(b, name)
 
 
 def top_k(df: DataFrame, score: str, key: str, k: int) -> DataFrame:
     """The k best rows; a partial top-k in each partition, then a merge."""
     return df.orderBy(F.col(score).desc_nulls_last(), F.col(key).asc_nulls_last()).limit(k)
-
-
-def cut_index(cuts: list, value) -> int:
-    """Reference of _place for tests."""
-    k = bisect.bisect_left(cuts, value)
-    return 2 * k + 1 if k < len(cuts) and cuts[k] == value else 2 * k

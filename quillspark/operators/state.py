@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import storage
+
 
 def require_unique(df: DataFrame, key: list[str]) -> None:
     bad = df.groupBy(*key).count().where("count > 1").limit(1).collect()
@@ -52,7 +53,9 @@ def record_ocr(local: DataFrame, stats: DataFrame, pages: DataFrame, documents:
     """The next tables of state and of page statistics after OCR: a document's page rows are replaced together with its state.
 
     pages: arxiv_id, page and statistics; documents: arxiv_id, ocr_path,
-    nb_pages_ocr and has_error.  Documents with an error on a page are not done.
+    nb_pages_ocr and has_error; both as run_ocr has written them, since each is read
+    for both tables.  Documents with an error on a page are not done.  commit takes
+    the two tables at once.
     """
     at = F.current_timestamp() if when is None else F.lit(when).cast("timestamp")
     known = documents.select("arxiv_id")
@@ -84,18 +87,41 @@ def journal(runs: DataFrame, papers: DataFrame, source: str, n_files: int, statu
     return runs.unionByName(row)
 
 
-def commit(df: DataFrame, path: str) -> None:
-    """Write beside the table, then swap: a table may be computed from itself."""
-    spark: SparkSession = df.sparkSession
-    side = f"{path}.{uuid.uuid4().hex}"
-    df.write.parquet(side)
-    jvm = spark.sparkContext._jvm
-    here, there = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(side)
-    fs = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    old = jvm.org.apache.hadoop.fs.Path(f"{side}.old")
-    if fs.exists(here):
-        fs.rename(here, old)
-    if not fs.rename(there, here):
-        fs.rename(old, here)
-        raise OSError(f"could not commit {path}")
-    fs.delete(old, True)
+def commit(tables: dict[str, DataFrame]) -> None:
+    """Write each path's next table beside it, then swap all of them; a table may be computed from itself.
+
+    Once all are written, a note beside the first path lists them.  A commit that
+    breaks off before the note leaves the old tables, one that breaks off after it
+    is finished by ``recover``, which each commit of the same first path calls.
+    """
+    paths = list(tables)
+    spark: SparkSession = next(iter(tables.values())).sparkSession
+    recover(spark, paths[0])
+    for path, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{path}.next")
+    note, fs = storage.file_system(spark, f"{paths[0]}.commit")
+    draft, _ = storage.file_system(spark, f"{paths[0]}.commit.draft")
+    out = fs.create(draft, True)
+    out.write(bytearray("\n".join(paths).encode()))
+    out.close()
+    fs.rename(draft, note)
+    recover(spark, paths[0])
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish the swap of a commit that had written all its tables, if one broke off; a repeated call does nothing."""
+    note, fs = storage.file_system(spark, f"{path}.commit")
+    if not fs.exists(note):
+        return
+    for one in spark.read.text(note.toString()).collect():  # as many lines as tables in the commit
+        here, _ = storage.file_system(spark, one["value"])
+        ready, _ = storage.file_system(spark, f"{one['value']}.next")
+        old, _ = storage.file_system(spark, f"{one['value']}.old")
+        if fs.exists(ready):
+            if fs.exists(here):
+                fs.delete(old, True)
+                fs.rename(here, old)
+            if not fs.rename(ready, here):
+                raise OSError(f"could not commit {one['value']}")
+        fs.delete(old, True)
+    fs.delete(note, False)

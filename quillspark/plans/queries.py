@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import io
 import tarfile
-import tempfile
 import uuid
 from hashlib import md5
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..functions import text, vectors
 from ..operators import audit, chunks, classify, curate, documents, encode, evaluate, ranking, retrieval, sampling, state
 from ..sources import fetch, readers
@@ -33,16 +33,7 @@ def t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder that driver and executors share; see spark.checkpoint.dir."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or ("file://" + tempfile.gettempdir() if spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local" else spark.conf.get("spark.sql.warehouse.dir"))
-    path = f"{root.rstrip('/')}/quillspark-queries/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(p)
-    fs.deleteOnExit(p)
-    return path
+folder = storage.folder
 
 
 # ---- sources and sinks
@@ -96,23 +87,23 @@ def s9_page_images(spark, sf):
 
 
 def _archives(spark, sf) -> str:
+    """An archive a page, with dotted ids that begin alike."""
     path = folder(spark, "archives")
     pages = t(spark, sf, "pages").select("page_id")
 
     def make(frames):
         import pandas as pd
-        import pyarrow.fs as pafs
 
-        fs, at = pafs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
+        fs, at = readers.store(path)
         for f in frames:
             for k in f["page_id"]:
                 raw = io.BytesIO()
                 with tarfile.open(fileobj=raw, mode="w:gz") as tar:
+                    body = f"paper {k}".encode()
                     info = tarfile.TarInfo("src/paper.tex" if k % 3 else "readme.txt")
-                    info.size = 2
-                    tar.addfile(info, io.BytesIO(b"ok"))
-                with fs.open_output_stream(f"{at}/{k}.tar.gz", compression=None) as out:
-                    out.write(raw.getvalue() if k % 10 else b"broken")
+                    info.size = len(body)
+                    tar.addfile(info, io.BytesIO(body))
+                readers.put(fs, f"{at}/2301.{k}.tar.gz", raw.getvalue() if k % 10 else b"broken")
             yield pd.DataFrame({"n": [len(f)]})
 
     pages.mapInPandas(make, "n long").agg(F.sum("n")).collect()
@@ -122,16 +113,17 @@ def _archives(spark, sf) -> str:
 @query("SELECT page_id, CASE WHEN page_id % 10 = 0 THEN 'FAIL' WHEN page_id % 3 <> 0 THEN 'OK' ELSE 'NOTEX' END AS outcome FROM pages")
 def s10_archives(spark, sf):
     out = fetch.extraction_status(readers.archives(spark, _archives(spark, sf)))
-    return out.select(F.regexp_extract("path", r"(\d+)\.tar\.gz$", 1).cast("long").alias("page_id"), "outcome")
+    return out.select(F.regexp_extract("path", r"2301\.(\d+)\.tar\.gz$", 1).cast("long").alias("page_id"), "outcome")
 
 
-@query("SELECT page_id, CASE WHEN page_id % 3 <> 0 THEN 'ok' END AS body FROM pages WHERE page_id % 10 <> 0")
+@query("SELECT page_id, CASE WHEN page_id % 3 <> 0 THEN 'paper ' || page_id END AS body FROM pages WHERE page_id % 10 <> 0")
 def s8_extracted_files(spark, sf):
     """Archives are unpacked to the shared folder; their files are read back."""
     target = folder(spark, "extracted")
-    done = readers.extract(spark, _archives(spark, sf), target).where("status = 'ok'").select(F.regexp_extract("folder", r"(\d+)$", 1).cast("long").alias("page_id"), "has_tex").toPandas()
-    found = spark.read.text(target, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.tex").select(F.regexp_extract(F.input_file_name(), r"/(\d+)/src/paper\.tex$", 1).cast("long").alias("page_id"), F.col("value").alias("body"))
-    return spark.createDataFrame(done, "page_id long, has_tex boolean").join(found, "page_id", "left").select("page_id", "body")
+    out = storage.written(readers.extract(spark, _archives(spark, sf), target), "extraction")  # so that files are written once
+    done = out.where("status = 'ok'").select(F.regexp_extract("folder", r"(\d+)$", 1).cast("long").alias("page_id"))
+    found = spark.read.text(target, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.tex").select(F.regexp_extract(F.input_file_name(), r"/2301\.(\d+)/src/paper\.tex$", 1).cast("long").alias("page_id"), F.col("value").alias("body"))
+    return done.join(found, "page_id", "left").select("page_id", "body")
 
 
 @query("SELECT conv_id, text FROM conversations WHERE turn = (SELECT min(turn) FROM conversations) AND conv_id < 20")
@@ -489,17 +481,17 @@ def _dense(spark, sf) -> DataFrame:
     return retrieval.dense_scores(_corpus(spark, sf), q, "vec_id", "embedding")
 
 
-def _sparse(spark, sf) -> DataFrame:
-    """Token counts against those of document 1: an equi-join on the query's tokens, then one sum a document."""
-    rows = _corpus(spark, sf).select("vec_id", "text")
+def _words(df: DataFrame, key: str) -> DataFrame:
+    """Each word of a text, one row an occurrence; a row without words has one of null."""
+    words = F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda w: w != "")
+    return df.select(key, F.explode_outer(words).alias("w"))
 
-    def tokens(df, key):
-        w = df.select(key, F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("w")).where("w <> ''")
-        return w.groupBy(key, "w").agg(F.count(F.lit(1)).cast("double").alias("n"))
 
-    q = tokens(t(spark, sf, "documents").where("doc_id = 1"), "doc_id").select("w", F.col("n").alias("qn"))
-    hit = tokens(rows, "vec_id").join(F.broadcast(q), "w").groupBy("vec_id").agg(F.sum(F.col("n") * F.col("qn")).alias("score"))
-    return rows.select("vec_id").join(hit, "vec_id", "left").select("vec_id", F.coalesce("score", F.lit(0.0)).alias("score"))
+def _sparse(spark, sf) -> DataFrame:
+    """Token counts against those of document 1: an occurrence adds the query's count of its token, so one pass and one sum a document."""
+    q = _words(t(spark, sf, "documents").where("doc_id = 1"), "doc_id").groupBy("w").agg(F.count(F.lit(1)).cast("double").alias("qn"))
+    hit = _words(_corpus(spark, sf).select("vec_id", "text"), "vec_id").join(q, "w", "left")
+    return hit.groupBy("vec_id").agg(F.sum(F.coalesce("qn", F.lit(0.0))).alias("score"))
 
 
 @query(f"SELECT e.vec_id, {_DENSE} AS score FROM embeddings e JOIN documents d ON d.doc_id = e.vec_id")
@@ -533,24 +525,31 @@ k AS (SELECT rk + 1 AS top_k FROM p WHERE n = least(ceil(0.97::DOUBLE * tot), to
 
 @query(f"WITH {_HYBRID}, {_SIZED[1:]} SELECT CAST(top_k AS INT) AS top_k FROM k")
 def r4_recommended_size(spark, sf):
-    fused = retrieval.rrf_fuse(_dense(spark, sf), _sparse(spark, sf), key="vec_id")
-    k = retrieval.recommend_top_k(fused, t(spark, sf, "labels").select(F.col("doc_id").alias("vec_id"), F.col("quality").alias("label")), key="vec_id")
+    k = retrieval.recommend_top_k(_ranked(spark, sf), _labelled(spark, sf), key="vec_id")
     return spark.createDataFrame([(k,)], "top_k int")
 
 
+def _ranked(spark, sf) -> DataFrame:
+    return retrieval.ranked_corpus(retrieval.rrf_fuse(_dense(spark, sf), _sparse(spark, sf), key="vec_id"), "vec_id")
+
+
+def _labelled(spark, sf) -> DataFrame:
+    return t(spark, sf, "labels").select(F.col("doc_id").alias("vec_id"), F.col("quality").alias("label"))
+
+
 @query(f"WITH {_HYBRID}, {_SIZED[1:].replace('least(ceil(0.97::DOUBLE * tot), tot)', 'least(ceil(0.97::DOUBLE * tot), tot, greatest(1, floor(tot * 0.8::DOUBLE)))')} SELECT CAST(top_k AS INT) AS top_k FROM k")
 def z7_robust_size(spark, sf):
     """The size of r4 with a cap at a quantile of the positives' ranks, so outliers do not blow it up."""
-    fused = retrieval.rrf_fuse(_dense(spark, sf), _sparse(spark, sf), key="vec_id")
-    k = retrieval.recommend_top_k(fused, t(spark, sf, "labels").select(F.col("doc_id").alias("vec_id"), F.col("quality").alias("label")), key="vec_id", cap=0.8)
+    k = retrieval.recommend_top_k(_ranked(spark, sf), _labelled(spark, sf), key="vec_id", cap=0.8)
     return spark.createDataFrame([(k,)], "top_k int")
 
 
 @query(f"WITH {_HYBRID}, {_SIZED[1:]} SELECT id AS vec_id, CAST(rk + 1 AS INT) AS rank FROM r, k WHERE rk < top_k")
 def r5_sized_candidates(spark, sf):
-    fused = retrieval.rrf_fuse(_dense(spark, sf), _sparse(spark, sf), key="vec_id")
-    k = r4_recommended_size(spark, sf).first()["top_k"]
-    return retrieval.candidates(fused, k, "vec_id").select("vec_id", "rank")
+    """Size and list from one ranking."""
+    ranked = _ranked(spark, sf)
+    k = retrieval.recommend_top_k(ranked, _labelled(spark, sf), key="vec_id")
+    return retrieval.candidates(ranked, k, "vec_id").select("vec_id", "rank")
 
 
 @query("SELECT doc_id, row_number() OVER (ORDER BY n_chars % 50 DESC, doc_id) - 1 AS rank FROM documents")
@@ -559,6 +558,15 @@ def w5_global_rank(spark, sf):
     return ranking.with_rank(rows, "score", "doc_id").select("doc_id", "rank")
 
 
+@query("SELECT d.doc_id, p.page_id FROM (SELECT doc_id, row_number() OVER (ORDER BY n_chars DESC, doc_id) AS k FROM documents) d JOIN (SELECT page_id, row_number() OVER (ORDER BY length(html), page_id) AS k FROM pages) p USING (k)")
+def j12_zip_rows(spark, sf):
+    """Documents by falling size beside pages by rising size, as many of the longer list as of the shorter: places first, then the strict zip."""
+    d = ranking.with_position(t(spark, sf, "documents").select("doc_id", "n_chars"), [F.col("n_chars").desc(), F.col("doc_id")], "a")
+    p = ranking.with_position(t(spark, sf, "pages").select("page_id", F.length("html").alias("size")), [F.col("size"), F.col("page_id")], "b")
+    n = min(d.count(), p.count())
+    return ranking.zip_rows(d.where(F.col("a") < n), p.where(F.col("b") < n), [F.col("a")], [F.col("b")]).select("doc_id", "page_id")
+
+
 @query("SELECT vec_id, score FROM (SELECT e.vec_id, " + _DENSE + " AS score FROM embeddings e JOIN documents d ON d.doc_id = e.vec_id) ORDER BY score DESC, vec_id LIMIT 10")
 def t7_top_k(spark, sf):
     return ranking.top_k(_dense(spark, sf), "score", "vec_id", 10)
@@ -684,20 +692,20 @@ def d3_markdown(spark, sf):
     return documents.markdown(t(spark, sf, "pages"), "html").select("page_id", "markdown")
 
 
-def _ocr(spark, sf) -> DataFrame:
+def _ocr_load():
     """Turns as pages: a page's text is the digest of its bytes, a figure stands on every fifth, every seventh fails."""
 
-    def load():
-        def one(image):
-            if len(image) % 7 == 0:
-                return {"raw": None, "token_count": 0, "error": "timeout"}
-            figure = '<img src="f.webp">' if len(image) % 5 == 0 else ""
-            return {"raw": f"<p>{md5(image).hexdigest()}</p>{figure}", "token_count": len(image), "error": None}
+    def one(image):
+        if len(image) % 7 == 0:
+            return {"raw": None, "token_count": 0, "error": "timeout"}
+        figure = '<img src="f.webp">' if len(image) % 5 == 0 else ""
+        return {"raw": f"<p>{md5(image).hexdigest()}</p>{figure}", "token_count": len(image), "error": None}
+
+    return lambda images: [one(bytes(i)) for i in images]
 
-        return lambda images: [one(bytes(i)) for i in images]
 
-    rows = t(spark, sf, "conversations").select(F.col("conv_id").alias("arxiv_id"), F.col("turn").alias("page"), F.col("text").cast("binary").alias("image"))
-    return documents.ocr_pages(rows, load, 100)
+def _images(spark, sf) -> DataFrame:
+    return t(spark, sf, "conversations").select(F.col("conv_id").alias("arxiv_id"), F.col("turn").alias("page"), F.col("text").cast("binary").alias("image"))
 
 
 _PAGES = """g AS (SELECT CAST(conv_id AS VARCHAR) AS arxiv_id, CAST(turn AS INT) AS page, CAST(strlen(text) AS INT) AS size, md5(text) AS digest FROM conversations),
@@ -708,30 +716,35 @@ s AS (SELECT arxiv_id, page, n_tokens, CAST(length(markdown) AS INT) AS n_chars,
 
 @query(f"WITH {_PAGES} SELECT * FROM s")
 def d6_page_stats(spark, sf):
-    return _ocr(spark, sf).drop("raw")
+    return documents.ocr_pages(_images(spark, sf), _ocr_load, 100).drop("raw")
 
 
 _DONE = "d AS (SELECT arxiv_id, CAST(count(*) AS INT) AS n, bool_or(error IS NOT NULL) AS bad FROM s GROUP BY arxiv_id)"
 
 
-def _recorded(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """State and statistics after OCR of all conversations but each third, which had older rows."""
+def _recorded(spark, sf) -> dict[str, DataFrame]:
+    """State and statistics after OCR of all conversations but each third, which had older rows; both are committed at once."""
     local = t(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("arxiv_id")).distinct()
     local = local.select("arxiv_id", F.lit("old").alias("ocr_path"), F.lit("old").alias("ocr_model"), F.lit(None).cast("timestamp").alias("ocr_date"), F.lit(0).alias("nb_pages_ocr"), F.lit(False).alias("ocr_done"))
     stats = local.select("arxiv_id", F.lit(99).alias("page"), F.lit(1).alias("n_tokens"), F.lit(0).alias("n_chars"), F.lit(0).alias("n_images"), F.lit("old").alias("error"))
-    pages = _ocr(spark, sf).where(F.col("arxiv_id").cast("long") % 3 != 0)
-    saved = documents.save_documents(documents.join_document(pages), folder(spark, "ocr"))
-    return state.record_ocr(local, stats, pages, saved, "stand-in", "2024-01-01")
+    root = folder(spark, "ocr")
+    paths = {name: f"{root}/{name}" for name in ("state", "stats")}
+    state.commit({paths["state"]: local, paths["stats"]: stats})
+    local, stats = (spark.read.parquet(paths[x]) for x in ("state", "stats"))
+    pages, saved = documents.run_ocr(_images(spark, sf).where(F.col("arxiv_id") % 3 != 0), _ocr_load, f"{root}/run", f"{root}/files", 100)
+    new = state.record_ocr(local, stats, pages, saved, "stand-in", "2024-01-01")
+    state.commit(dict(zip(paths.values(), new, strict=True)))
+    return {name: spark.read.parquet(path) for name, path in paths.items()}
 
 
 @query(f"WITH {_PAGES}, {_DONE} SELECT arxiv_id, CASE WHEN CAST(arxiv_id AS BIGINT) % 3 = 0 THEN 'old' ELSE arxiv_id END AS saved, CASE WHEN CAST(arxiv_id AS BIGINT) % 3 = 0 THEN 0 ELSE n END AS nb_pages_ocr, CAST(arxiv_id AS BIGINT) % 3 <> 0 AND NOT bad AS ocr_done, CASE WHEN CAST(arxiv_id AS BIGINT) % 3 = 0 THEN 'old' ELSE 'stand-in' END AS ocr_model FROM d")
 def d8_ocr_state(spark, sf):
-    return _recorded(spark, sf)[0].select("arxiv_id", F.regexp_extract("ocr_path", "([^/]+)$", 1).alias("saved"), "nb_pages_ocr", "ocr_done", "ocr_model")
+    return _recorded(spark, sf)["state"].select("arxiv_id", F.regexp_extract("ocr_path", "([^/]+)$", 1).alias("saved"), "nb_pages_ocr", "ocr_done", "ocr_model")
 
 
 @query(f"WITH {_PAGES} SELECT arxiv_id, page, n_tokens, n_chars, n_images, error FROM s WHERE CAST(arxiv_id AS BIGINT) % 3 <> 0 UNION ALL SELECT DISTINCT arxiv_id, 99, 1, 0, 0, 'old' FROM s WHERE CAST(arxiv_id AS BIGINT) % 3 = 0")
 def d8_ocr_stats(spark, sf):
-    return _recorded(spark, sf)[1]
+    return _recorded(spark, sf)["stats"]
 
 
 @query("SELECT DISTINCT CAST(conv_id AS VARCHAR) AS arxiv_id FROM conversations WHERE conv_id % 4 <> 1")
@@ -809,7 +822,7 @@ def x2_incremental_load(spark, sf):
     for half in (0, 1):
         e.where(F.col("event_id") % 2 == half).withColumn("at", newest).write.mode("append").json(f"{root}/in")
         incremental.load_new(spark, f"{root}/in", schema, f"{root}/table", f"{root}/checkpoint", ["user_id"], "at")
-    return spark.read.parquet(f"{root}/table").select("user_id", "event_id")
+    return incremental.merged_table(spark, f"{root}/table").select("user_id", "event_id")
 
 
 # ---- appends, digests, chunk embeddings

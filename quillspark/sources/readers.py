@@ -5,6 +5,8 @@ from __future__ import annotations
 import io
 import tarfile
 import uuid
+from collections.abc import Iterable
+from urllib.parse import urlsplit
 
 import pandas as pd
 import pyarrow.fs as pafs
@@ -12,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import storage
 from ..plans import schema as tables
 
 
@@ -54,24 +57,31 @@ def archives(spark: SparkSession, path: str, pattern: str = "*.tar.gz") -> DataF
 
 
 def extract(spark: SparkSession, path: str, target: str, pattern: str = "*.tar.gz") -> DataFrame:
-    """path, folder, n_files, has_tex and status of archives whose files are written to <target>/<archive's stem>/.
+    """path, folder, n_files, has_tex and status of archives whose files are written to <target>/<name>/.
 
-    Each archive is written by one task, under names of its own and then moved,
-    so a repeated task leaves the same files.  Unsafe member names are left out.
+    An archive's name is its path below the given one without the pattern's suffix;
+    slashes (and percent signs) of deeper paths are percent-escaped, so each archive
+    has a folder of its own.  Each is written by one task, file by file in pieces,
+    under names of its own and then moved, so a repeated task leaves the same files.
+    Unsafe member names are left out.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path).select("path", "content")
+    hpath, hfs = storage.file_system(spark, path)
+    above = hfs.makeQualified(hpath).toUri().getPath().rstrip("/") + "/"
+    suffix = pattern[1:] if pattern.startswith("*") and not set(pattern[1:]) & set("*?[{") else ""
 
     def run(frames):
         fs, at = store(target)
         for f in frames:
             rows = []
             for p, raw in zip(f["path"], f["content"], strict=True):
-                folder, n, tex = f"{at}/{p.rsplit('/', 1)[-1].split('.')[0]}", 0, False
+                folder, n, tex = f"{at}/{archive_name(p, above, suffix)}", 0, False
                 try:
                     with tarfile.open(fileobj=io.BytesIO(raw), mode="r:*") as tar:
-                        for m in tar.getmembers():
+                        for m in tar:
                             if m.isfile() and not m.name.startswith("/") and ".." not in m.name.split("/"):
-                                put(fs, f"{folder}/{m.name}", tar.extractfile(m).read())
+                                member = tar.extractfile(m)
+                                put(fs, f"{folder}/{m.name}", iter(lambda member=member: member.read(PIECE), b""))
                                 n, tex = n + 1, tex or m.name.endswith(".tex")
                     rows.append((p, folder, n, tex, "ok"))
                 except Exception as e:
@@ -81,17 +91,28 @@ def extract(spark: SparkSession, path: str, target: str, pattern: str = "*.tar.g
     return files.mapInPandas(run, "path string, folder string, n_files int, has_tex boolean, status string")
 
 
+PIECE = 1 << 20
+
+
+def archive_name(path: str, above: str, suffix: str) -> str:
+    """An archive's path below a folder, without its suffix, as one name; the bare file name where it is not below it."""
+    plain = urlsplit(path).path
+    name = plain.removeprefix(above) if plain.startswith(above) else plain.rsplit("/", 1)[-1]
+    return name.removesuffix(suffix).replace("%", "%25").replace("/", "%2F")
+
+
 def store(path: str) -> tuple[pafs.FileSystem, str]:
     """File system and path for code on executors; any scheme that pyarrow knows."""
     return pafs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
 
 
-def put(fs: pafs.FileSystem, at: str, body: bytes) -> None:
-    """Writes a file beside its place, then moves it there; each attempt has a name of its own."""
+def put(fs: pafs.FileSystem, at: str, body: bytes | Iterable[bytes]) -> None:
+    """Writes a file, whole or in pieces, beside its place, then moves it there; each attempt has a name of its own."""
     fs.create_dir(at.rsplit("/", 1)[0], recursive=True)
     tmp = f"{at}.{uuid.uuid4().hex}.tmp"
     with fs.open_output_stream(tmp, compression=None) as out:
-        out.write(body)
+        for piece in [body] if isinstance(body, bytes) else body:
+            out.write(piece)
     try:
         fs.move(tmp, at)
     except OSError:  # some stores do not move onto the file of an earlier attempt

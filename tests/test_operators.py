@@ -93,8 +93,8 @@ def test_unique_and_commit(spark, tmp_path):
     with pytest.raises(ValueError):
         state.require_unique(df, ["k"])
     path = f"file://{tmp_path}/t"
-    state.commit(df, path)
-    state.commit(spark.read.parquet(path).distinct(), path)  # from itself
+    state.commit({path: df})
+    state.commit({path: spark.read.parquet(path).distinct()})  # from itself
     assert spark.read.parquet(path).count() == 1
 
 
@@ -277,26 +277,6 @@ def test_topic_of_whole_documents(spark, tmp_path):
     assert sorted(r[0] for r in queries.p11_topic_documents(spark, str(tmp_path)).collect()) == [0, 1, 7]
 
 
-def test_string_keys_with_one_score(spark):
-    """Nearly all scores are equal and keys are strings: ranks are right and no bucket holds most rows."""
-    import random
-
-    ids = [f"{random.Random(k).randrange(1000, 2500)}.{k:05d}" for k in range(3000)]
-    rows = [(i, 1.0 if k % 100 else float(k)) for k, i in enumerate(ids)]
-    out = ranking.with_rank(spark.createDataFrame(rows, "arxiv_id string, score double"), "score", "arxiv_id", parts=100)
-    want = {i: n for n, (i, _) in enumerate(sorted(rows, key=lambda r: (-r[1], r[0])))}
-    assert {r["arxiv_id"]: r["rank"] for r in out.collect()} == want
-    plan = out._jdf.queryExecution().analyzed().toString()
-    assert "_tie" in plan and "conv(" in plan
-
-
-def test_places_of_many_cuts(spark):
-    cuts = [float(3 * k) for k in range(200)]
-    values = [-1.0, 0.0, 1.0, 3.0, 94.0, 96.0, 288.0, 289.0, 597.0, 600.0]
-    d = spark.createDataFrame([(v,) for v in values], "v double")
-    assert [r[0] for r in d.select(ranking._place(F.col("v"), cuts)).collect()] == [ranking.cut_index(cuts, v) for v in values]
-
-
 def test_fetch_tries_again(spark):
     def load():
         calls = {}
