@@ -3,11 +3,13 @@
 Words are lower-cased in A-Z; a benchmark item gives all its windows of
 ``width`` words, or one window if it has fewer.  The distinct windows form a hash
 set.  A document's words are hashed once, and windows' hashes are built from those
-of half their width.  A table of SLOTS bytes, which goes along with the plan, says
-which hashes the set can hold; the few windows that pass meet the set in a hash
-join and are then compared word by word, so collisions never count.  The set is
-broadcast while it is small in bytes; a larger one meets the windows in a shuffled
-join.
+of half their width.  A table of BITS bits a window of the set, two set for each
+hash, is a scalar subquery of the plan and says which windows the set may hold
+(others pass once in 60 times or less); a set of more than MOST windows is taken in
+shares, each with a table and a scan of its own.  What passes meets the set in a hash
+join and is then compared word by word, so collisions never count.  The set is
+broadcast while it is small in bytes; a larger one meets the windows that pass in a
+shuffled join.
 
 Nulls have no words.  Each row stands for itself, also if ids repeat or are
 null.  Windows of items without an id count as hits but not as items.  Items
@@ -18,19 +20,20 @@ own column comes back as <name>_in.  Long texts are scanned in parts that overla
 
 from __future__ import annotations
 
-import numpy as np
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .work import carried
+from .work import carried, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Separators of words, in texts without capitals A-Z.
 BETWEEN = "".join(map(chr, [*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]))
 #: Bytes of windows that may be broadcast.
 BROADCAST = 32 << 20
-#: Bytes of the table of hashes that goes along with the plan, at most.
-SLOTS = 1 << 18
+#: Bits of the table for each window of the set; windows of one scan, whose table has at most 32 MB.
+BITS, MOST = 16, 1 << 24
 #: Words of a text that are taken at once.
 PART = 20_000
 
@@ -83,43 +86,63 @@ def with_columns(rows: DataFrame, steps: list[tuple[str, Column]]) -> DataFrame:
     return rows
 
 
+def bit_table(hashes: DataFrame, words: int) -> DataFrame:
+    """One row with an array of so many longs (a power of two): of each hash two bits are set."""
+    slots = hashes.select(F.explode(F.array(*_slots(F.col("hash"), words))).alias("slot"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("slot", F.lit(64)).cast("int"))
+    set_ = slots.groupBy(F.shiftright("slot", 6).alias("id")).agg(F.bit_or(one).alias("bits"))
+    every = hashes.sparkSession.range(words).join(set_, "id", "left").select(F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")).alias("x"))
+    # a table of bounded size: at most MOST windows make it
+    return every.agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["bits"]).alias("table"))
+
+
+def _slots(h: Column, words: int) -> list[Column]:
+    """The two bits of a hash."""
+    return [F.pmod(h, F.lit(words * 64)), F.pmod(F.shiftrightunsigned(h, 29), F.lit(words * 64))]
+
+
+def may_hold(table: Column, h: Column, words: int) -> Column:
+    """Whether both bits of a hash are set."""
+    bit = lambda slot: F.call_function("shiftright", F.get(table, F.shiftright(slot, 6).cast("int")), F.pmod(slot, F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    first, second = _slots(h, words)
+    return bit(first) & bit(second)
+
+
 def hits(docs: DataFrame, benchmark: DataFrame, width: int, *keep: Column) -> DataFrame:
     """One row a document: row, doc_id, n_words, spans (start from 1, past), items, and the columns in keep."""
     found = windows(benchmark, width)
     sizes = sorted(r["n"] for r in found.select(F.size("window").alias("n")).distinct().collect())  # at most width
     steps, of_size = window_hashes("window", sizes)
     own = F.coalesce(*(F.when(F.size("window") == n, F.get(of_size[n], F.lit(0))) for n in sizes)) if sizes else F.lit(0).cast("long")
-    side = with_columns(found, steps).select(own.alias("hash"), F.col("window").alias("wanted"), "items")
+    side = written(with_columns(found, steps).select(own.alias("hash"), F.col("window").alias("wanted"), "items"), "windows")
     total = side.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.array_join("wanted", " ")) + F.octet_length(F.array_join("items", " ")) + 100).alias("bytes")).first()
-    # one byte a slot, a power of two of them: about 32 for each window while SLOTS allows it
-    slots = min(SLOTS, 1 << max(12, (32 * total["n"]).bit_length()))
-    table = np.zeros(slots, np.uint8)
-    table[[r["slot"] for r in side.select(F.pmod("hash", F.lit(slots)).cast("int").alias("slot")).distinct().collect()]] = 1
-    table, yes = F.lit(table.tobytes()), F.lit(b"\x01")
     carried_names = [f"_keep_{k}" for k in range(len(keep))]
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").alias("doc"), *(c.alias(n) for c, n in zip(keep, carried_names, strict=True)), cut_words(F.col("text")).alias("words"))
     # long texts go in parts that overlap, so no row holds more than PART windows of each size
     rows = rows.withColumn("n_words", F.size("words").cast("long")).withColumn("base", F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(PART))))
     rows = rows.withColumn("words", F.slice("words", F.col("base") + 1, F.lit(PART + width - 1)))
     steps, of_size = window_hashes("words", sizes)
-    rows = with_columns(rows, steps)
-
-    def passed(n: int) -> Column:
-        """Windows of n words whose hash the set can hold."""
-        h = of_size[n]
-        last = F.least(F.size(h), F.lit(PART))
-        starts = F.when(last > 0, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
-        held = F.filter(starts, lambda k: F.substring(table, F.pmod(F.get(h, k - 1), F.lit(slots)).cast("int") + 1, F.lit(1)) == yes)
-        return F.transform(held, lambda k: F.struct(F.get(h, k - 1).alias("hash"), k.alias("start"), F.slice("words", k, F.lit(n)).alias("window")))
-
-    none = F.array().cast("array<struct<hash:bigint,start:int,window:array<string>>>")
-    spread = rows.select("row", "doc", *carried_names, "n_words", "base", F.posexplode_outer(F.concat(none, *map(passed, sizes))).alias("nth", "at"))
-    # what is kept goes along once
-    once = (F.col("base") == 0) & (F.coalesce("nth", F.lit(0)) == 0)
-    spread = spread.select("row", "doc", "n_words", "base", "at", *(F.when(once, F.col(c)).alias(c) for c in carried_names))
-    # rows without a window keep apart by their own number
-    spread = spread.withColumn("hash", F.coalesce("at.hash", "row"))
-    met = spread.join(F.broadcast(side) if (total["bytes"] or 0) <= BROADCAST else side, "hash", "left")
+    rows = with_columns(rows, steps).withColumn("hashes", F.array(*(F.col(of_size[n]) for n in sizes)) if sizes else F.array().cast("array<array<bigint>>"))
+    each = rows.select("row", "doc", *carried_names, "n_words", "base", "words", F.posexplode_outer("hashes").alias("of", "hash_list"))
+    each = each.select("row", "doc", *carried_names, "n_words", "base", "words", "of", F.posexplode_outer("hash_list").alias("at", "hash"))
+    wide = F.get(F.array(*map(F.lit, sizes)), F.col("of")) if sizes else F.lit(0)
+    # what is kept goes along once, also if no window passes
+    once = (F.col("base") == 0) & (F.coalesce("of", F.lit(0)) == 0) & (F.coalesce("at", F.lit(0)) == 0)
+    passes = max(1, -(-total["n"] // MOST))
+
+    def spread(turn: int) -> DataFrame:
+        """The windows that the turn's share of the set may hold, and once each row."""
+        share = F.pmod(F.shiftright("hash", 8), F.lit(passes)) == turn
+        longs = 1 << max(6, (max(total["n"] // passes, 1) * BITS // 64).bit_length())
+        may = (F.col("at") < PART) & share & may_hold(bit_table(side.where(share), longs).scalar(), F.col("hash"), longs)
+        may, first = F.coalesce(may, F.lit(False)), once & F.lit(turn == 0)
+        kept = each.withColumn("may", may).where(F.col("may") | first)
+        at = F.when(F.col("may"), F.struct((F.col("at") + 1).alias("start"), F.slice("words", F.col("at") + 1, wide).alias("window")))
+        # rows without a window keep apart by their own number
+        return kept.select("row", "doc", "n_words", "base", at.alias("at"), F.when(F.col("may"), F.col("hash")).otherwise(F.col("row")).alias("hash"), *(F.when(first, F.col(c)).alias(c) for c in carried_names))
+
+    every = reduce(DataFrame.unionAll, map(spread, range(passes)))
+    met = every.join(F.broadcast(side) if (total["bytes"] or 0) <= BROADCAST else side, "hash", "left")
     start = F.col("at.start") + F.col("base")
     hit = F.col("at.window") == F.col("wanted")
     slim = met.select("row", "doc", "n_words", *carried_names, F.when(hit, F.struct(start.alias("start"), (start + F.size("wanted")).alias("past"))).alias("span"), F.when(hit, F.col("items")).alias("items"))
