@@ -858,6 +858,54 @@ means."""
     pd.testing.assert_frame_equal(out, sql[out.columns], check_dtype=False)
 
 
+def test_licenses_of_holders_expressions_titles_and_lines(spark):
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer in the documentation\n   and/or other materials provided with the distribution.\n\n"
+    endorse = "nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission."
+    zlib_text = "This software is provided 'as-is', without any express or implied\nwarranty. In no event will the authors be held liable for any damages.\n\nPermission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\nfreely, subject to the following restrictions:\n\n1. The origin of this software must not be misrepresented; you must not\n   claim that you wrote the original software."
+    want = [
+        (bsd + "3. Neither the name of Google Inc. " + endorse, "BSD-3-Clause"),
+        (bsd + "3. Neither the name of Dr. Who " + endorse, ""),  # this point ends a sentence: no licence, but not a wrong one
+        (bsd + "3. Neither the name of Google Inc " + endorse, "BSD-3-Clause"),
+        (bsd + "* Neither the name of the University of California, Berkeley " + endorse, "BSD-3-Clause"),
+        (bsd + "3. The name of the author may not be used to endorse or promote products\nderived from this software without specific prior written permission.", "BSD-3-Clause"),
+        (bsd + "3. Neither the name of anyone may be used at all.", ""),
+        (bsd, "BSD-2-Clause"),
+        ("// SPDX-License-Identifier: MIT OR Apache-2.0\nx", "Apache-2.0,MIT"),
+        ("/* SPDX-License-Identifier: (GPL-2.0+ WITH Classpath-exception-2.0 AND BSD-3-Clause) OR ISC */", "BSD-3-Clause,GPL-2.0-or-later,ISC"),
+        ("# SPDX-License-Identifier: GPL-2.0", "GPL-2.0-only"),
+        ("# SPDX-License-Identifier: MIT ORACLE", ""),
+        ("Apache License\n                   Version 2.0, January 2004\n                http://www.apache.org/licenses/\n", "Apache-2.0"),
+        ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright", "GPL-3.0"),
+        (zlib_text, "Zlib"),
+        ("It is\nreleased under the terms of the MIT license.", "MIT"),
+        ("Licensed under the BSD 3-Clause License.", "BSD-3-Clause"),
+        ("This project is distributed under the GNU General Public License, version 2.", "GPL-2.0"),
+        ("The name of the game is chess. Neither the name nor the game is new.", ""),
+        ("x " * 200_000 + ".\nReleased under the MIT License.\n" + "y. " * 100_000, "MIT"),
+    ]
+    rows = [(i if i % 3 else None if i % 2 else 3, s) for i, (s, _) in enumerate(want)]  # ids that repeat or are null
+    table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit("x")).withColumn("ids", F.lit(1))
+    out = licenses.scan_licenses(table).toPandas()
+    con = duckdb.connect()
+    con.register("documents", table.toPandas())
+    order = ["n_sentences", "sentence_ids", "licenses"]
+    assert sorted(out["licenses"]) == sorted(name for _, name in want)
+    sql = con.sql(licenses.oracle()).df()
+    assert sorted(map(tuple, out[order].to_numpy())) == sorted(map(tuple, sql[order].to_numpy()))
+    alone = licenses.scan_licenses(docs(spark, [s for s, _ in want])).orderBy("doc_id").toPandas()
+    assert alone["licenses"].tolist() == [name for _, name in want]
+
+
+def test_sentences_are_counted_as_in_the_folded_text(spark):
+    rng = np.random.default_rng(8)
+    parts = [".", ". ", "! ", ":", ": ", "\n", "\n\n", "\r\n", "\t", " ", "  ", "a", "word ", "1. ", "\n1) ", "-- ", "|", "“x”", "é", "\n * ", "; ", "…", "A.b", "b.", "12"]
+    ts = ["".join(parts[k] for k in rng.integers(0, len(parts), int(rng.integers(1, 40)))) for _ in range(4000)]
+    ready = licenses.prepared(F.col("text"))
+    folded = F.size(F.filter(F.split(licenses.lined(ready), r"\|\|"), lambda s: s.rlike("[^ |]"))).cast("long")
+    got = docs(spark, ts).select("text", licenses.count_sentences(ready).alias("cheap"), folded.alias("whole")).where("cheap <> whole").collect()
+    assert got == []
+
+
 def test_licenses_by_other_tables(spark):
     sentences = {"a": "one two", "ab": "one two three", "c": "four", "d": "five six"}
     rules = [("A", ("a", "c")), ("B", ("ab", "d")), ("C", ("c", "c")), ("D", ("d",))]
