@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import storage
 from ..functions import text, vectors
-from ..operators import audit, chunks, classify, curate, documents, encode, evaluate, ranking, retrieval, sampling, state
+from ..operators import audit, chunks, classify, curate, documents, encode, evaluate, ranking, retrieval, sampling, sparse_index, state
 from ..sources import fetch, readers
 
 QUERIES: dict = {}
@@ -504,6 +504,24 @@ def r2_sparse_scores(spark, sf):
     return _sparse(spark, sf)
 
 
+def _index(spark, sf) -> tuple[str, dict]:
+    """An index of the corpus's token counts, and document 1's tokens as a query."""
+    path = folder(spark, "index")
+    counts = lambda df, key: _words(df, key).where("w is not null").groupBy(key, "w").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    sparse_index.build(counts(_corpus(spark, sf).select("vec_id", "text"), "vec_id").select(F.col("vec_id").alias("key"), F.col("w").alias("token"), "weight"), path)
+    return path, {r["w"]: r["weight"] for r in counts(t(spark, sf, "documents").where("doc_id = 1"), "doc_id").collect()}  # one document's tokens
+
+
+@query(f"WITH {_SPARSE[1:]} SELECT id AS vec_id, s AS score FROM sp WHERE s > 0")
+def j10_index_scores(spark, sf):
+    return sparse_index.scores(spark, *_index(spark, sf)).select(F.col("key").alias("vec_id"), "score")
+
+
+@query(f"WITH {_SPARSE[1:]} SELECT id AS vec_id, s AS score FROM sp WHERE s > 0 ORDER BY s DESC, id LIMIT 25")
+def j10_index_search(spark, sf):
+    return sparse_index.search(spark, *_index(spark, sf), 25)[0].select(F.col("key").alias("vec_id"), "score")
+
+
 @query("SELECT item_id, CAST(CASE WHEN item_id % 3 = 0 THEN 0 ELSE 0.5 * (1 + item_id % 5) + CASE WHEN item_id % 2 = 0 THEN 0.25 * item_id ELSE 0 END END AS DOUBLE) AS score FROM benchmark")
 def r2_sparse_maps(spark, sf):
     k = F.col("item_id")

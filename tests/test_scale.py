@@ -152,3 +152,38 @@ def test_each_page_meets_the_ocr_once(spark, tmp_path):
     done = {r["arxiv_id"]: r["ocr_done"] for r in spark.read.parquet(f"{tmp_path}/state").collect()}
     assert done == {str(k): k != 7 for k in range(10)} | {"x": True}
     assert spark.read.parquet(f"{tmp_path}/stats").groupBy().agg(F.count("*"), F.sum((F.col("page") == 99).cast("int"))).first() == (51, 0)
+
+
+def test_index_scores_and_searches_are_those_of_brute_force(spark, tmp_path):
+    import random
+
+    from quillspark.operators import sparse_index
+
+    rng = random.Random(3)
+    docs = {k: {f"t{t}": float(rng.choice([1, 1, 1, 2, 3, 50])) for t in rng.sample(range(40), rng.randint(0, 12))} | ({"hot": 1.0} if k % 3 else {}) for k in range(2000)}
+    rows = [(k, t, w) for k, d in docs.items() for t, w in d.items()] + [(1, "zero", 0.0), (None, "t1", 1.0), (2, None, 1.0)]
+    path = f"file://{tmp_path}/index"
+    sparse_index.build(spark.createDataFrame(rows, "key long, token string, weight double").repartition(4), path)
+    for query in ({"t1": 1.0, "t2": 0.5, "hot": 0.25}, {"hot": 1.0}, {"t3": 2.0, "absent": 1.0, "t4": 0.0}, {"absent": 1.0}, {}):
+        want = sorted(((k, sum(query[t] * w for t, w in d.items() if t in query)) for k, d in docs.items()), key=lambda x: (-x[1], x[0]))
+        want = [(k, s) for k, s in want if s > 0]
+        assert sorted(map(tuple, sparse_index.scores(spark, path, query).collect())) == sorted(want)
+        for k in (1, 10, 100_000):
+            assert [tuple(r) for r in sparse_index.search(spark, path, query, k)[0].collect()] == want[:k]
+    with pytest.raises(ValueError):
+        sparse_index.search(spark, path, {"t1": -1.0}, 3)
+    with pytest.raises(Exception, match="negative"):
+        sparse_index.build(spark.createDataFrame([(1, "a", -1.0)], "key long, token string, weight double"), f"{path}2")
+
+
+def test_search_leaves_lists_unread(spark, tmp_path, monkeypatch):
+    from quillspark.operators import sparse_index
+
+    monkeypatch.setattr(sparse_index, "FIRST", 50)
+    rare = spark.range(40).select(F.col("id").alias("key"), F.lit("rare").alias("token"), (F.lit(100.0) + F.col("id")).alias("weight"))
+    hot = spark.range(20_000).select(F.col("id").alias("key"), F.lit("hot").alias("token"), F.when(F.col("id") % 5000 == 7, 8.0).otherwise(1.0).alias("weight"))
+    path = f"file://{tmp_path}/index"
+    sparse_index.build(rare.unionAll(hot), path)
+    best, took = sparse_index.search(spark, path, {"rare": 1.0, "hot": 1.0}, 5)
+    assert [tuple(r) for r in best.collect()] == [(39, 140.0), (38, 139.0), (37, 138.0), (36, 137.0), (35, 136.0)]
+    assert took["all"] == 20_040 and took["read"] < 100
