@@ -6,6 +6,7 @@ import re
 from collections.abc import Callable
 from html.parser import HTMLParser
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,12 +19,12 @@ IMAGE_LABELS = ("Image", "Figure")
 EDGE_LABELS = ("Page-Header", "Page-Footer")
 
 
-def blocks_html(blocks: Column, edges: bool = False, images: bool = True) -> Column:
-    """The html of an array of (label, content, bbox), by label; images are named by their place, from 1."""
+def blocks_html(blocks: Column, edges: bool = False, images: bool = True, prefix: Column | None = None) -> Column:
+    """The html of an array of (label, content, bbox), by label; images are named by their place, from 1, after a prefix (of the page)."""
     skip = ["Blank-Page", *([] if edges else EDGE_LABELS), *([] if images else IMAGE_LABELS)]
 
     def one(b, i):
-        name = F.concat(F.lit('src="block_'), (i + 1).cast("string"), F.lit('.webp"'))
+        name = F.concat(F.lit('src="'), *([] if prefix is None else [prefix]), F.lit("block_"), (i + 1).cast("string"), F.lit('.webp"'))
         has_src = b["content"].rlike(r"<img[^>]*\ssrc=")
         image = F.when(has_src, b["content"]).when(b["content"].rlike("<img"), F.regexp_replace(b["content"], "<img", F.concat(F.lit("<img "), name))).otherwise(F.concat(F.lit("<img "), name, F.lit(">"), b["content"]))
         plain = F.when(~text.has_tag(b["content"]) & (b["label"] == "Text"), F.concat(F.lit("<p>"), b["content"], F.lit("</p>"))).otherwise(b["content"])
@@ -32,10 +33,80 @@ def blocks_html(blocks: Column, edges: bool = False, images: bool = True) -> Col
     return F.array_join(F.filter(F.transform(blocks, one), lambda x: x.isNotNull()), "")
 
 
-def figures(blocks: Column) -> Column:
-    """(name, bbox) of each image block whose box is not empty."""
-    named = F.transform(blocks, lambda b, i: F.struct(F.concat(F.lit("block_"), (i + 1).cast("string"), F.lit(".webp")).alias("name"), b["bbox"].alias("bbox"), b["label"].alias("label")))
-    return F.filter(named, lambda f: f["label"].isin(*IMAGE_LABELS) & (f["bbox"][2] > f["bbox"][0]) & (f["bbox"][3] > f["bbox"][1]))
+def figures(blocks: Column, prefix: Column | None = None, tagged: bool = False) -> Column:
+    """(name, bbox) of each image block whose box is not empty; tagged: only of those whose content has an image tag."""
+    name = lambda i: F.concat(*([] if prefix is None else [prefix]), F.lit("block_"), (i + 1).cast("string"), F.lit(".webp"))
+    named = F.transform(blocks, lambda b, i: F.struct(name(i).alias("name"), b["bbox"].alias("bbox"), b["label"].alias("label"), b["content"].alias("content")))
+    valid = lambda f: f["label"].isin(*IMAGE_LABELS) & (F.size(f["bbox"]) == 4) & (F.get(f["bbox"], F.lit(2)) > F.get(f["bbox"], F.lit(0))) & (F.get(f["bbox"], F.lit(3)) > F.get(f["bbox"], F.lit(1)))
+    return F.filter(named, lambda f: valid(f) & F.lower(f["content"]).contains("<img") if tagged else valid(f))
+
+
+def netpbm():
+    """A codec of binary PGM and PPM images of one byte a sample; other formats are injected alike."""
+
+    def decode(raw: bytes) -> np.ndarray:
+        head = re.match(rb"P([56])((?:\s+(?:#[^\n]*\n\s*)*\d+){3})\s", raw)
+        if head is None:
+            raise ValueError("not a binary PGM or PPM image")
+        width, height, most = (int(x) for x in re.sub(rb"#[^\n]*\n", b" ", head[2]).split())
+        depth = 3 if head[1] == b"6" else 1
+        if most > 255 or len(raw) - head.end() < width * height * depth:
+            raise ValueError("an image of wide samples or cut short")
+        return np.frombuffer(raw, np.uint8, width * height * depth, head.end()).reshape(height, width, depth)
+
+    def encode(pixels: np.ndarray) -> bytes:
+        height, width, depth = pixels.shape
+        return f"P{6 if depth == 3 else 5}\n{width} {height}\n255\n".encode() + pixels.tobytes()
+
+    return decode, encode
+
+
+def crop(pixels: np.ndarray, box: list[int]) -> np.ndarray:
+    """The pixels of (left, upper, right, lower); black where the box reaches beyond the image."""
+    left, upper, right, lower = (int(x) for x in box)
+    height, width = pixels.shape[:2]
+    out = np.zeros((lower - upper, right - left, pixels.shape[2]), pixels.dtype)
+    x0, y0, x1, y1 = max(left, 0), max(upper, 0), min(right, width), min(lower, height)
+    if x0 < x1 and y0 < y1:
+        out[y0 - upper : y1 - upper, x0 - left : x1 - left] = pixels[y0:y1, x0:x1]
+    return out
+
+
+def crop_figures(pages: DataFrame, load: Callable[[], tuple[Callable, Callable]] = netpbm, key: str = "arxiv_id", prefix: Column | None = None) -> DataFrame:
+    """key, page, name and image of the figures of pages (key, page, image, blocks); an unreadable page has one row with an error.
+
+    load: called once a task; gives decode(bytes) -> pixels (height, width, samples) and encode(pixels) -> bytes.
+    Blocks without an image tag or with an empty box give no figure.
+    """
+    kind = dict(pages.dtypes)[key]
+    rows = pages.select(key, F.col("page").cast("int").alias("page"), "image", F.transform(figures(F.col("blocks"), prefix, tagged=True), lambda f: F.struct(f["name"].alias("name"), f["bbox"].cast("array<int>").alias("bbox"))).alias("figures"))
+
+    def run(frames):
+        decode, encode = load()
+        for f in frames:
+            out = []
+            for k, page, image, boxes in zip(f[key], f["page"], f["image"], f["figures"], strict=True):
+                try:
+                    pixels = decode(bytes(image))
+                    out += [(k, page, b["name"], encode(crop(pixels, b["bbox"])), None) for b in boxes]
+                except Exception as e:
+                    out.append((k, page, None, None, f"error: {e}"))
+            yield pd.DataFrame(out, columns=[key, "page", "name", "image", "error"])
+
+    return rows.where(F.size("figures") > 0).mapInPandas(run, f"{key} {kind}, page int, name string, image binary, error string")
+
+
+def save_figures(crops: DataFrame, folder: str, key: str = "arxiv_id") -> DataFrame:
+    """key, page, name and path of figures, whose files the tasks write beside the document's others."""
+
+    def run(frames):
+        for f in frames:
+            paths = [f"{folder.rstrip('/')}/{k}/{name}" for k, name in zip(f[key], f["name"], strict=True)]
+            for path, image in zip(paths, f["image"], strict=True):
+                atomic_write(path, bytes(image))
+            yield pd.DataFrame({key: f[key].astype(str), "page": f["page"], "name": f["name"], "path": paths})
+
+    return crops.where("name is not null").select(key, "page", "name", "image").mapInPandas(run, f"{key} string, page int, name string, path string")
 
 
 class _Markdown(HTMLParser):
@@ -140,23 +211,19 @@ def join_document(pages: DataFrame, key: str = "arxiv_id") -> DataFrame:
     return pages.groupBy(key).agg(text.join_pages(F.col("page"), F.col("raw")).alias("html"), text.join_pages(F.col("page"), F.col("markdown")).alias("md"), F.count(F.lit(1)).cast("int").alias("nb_pages_ocr"), F.max(F.col("error").isNotNull()).alias("has_error"))
 
 
-def run_ocr(images: DataFrame, load: Callable[[], Callable[[list], list[dict]]], run: str, target: str, max_output_tokens: int = 8192, convert: Callable[[str], str] = to_markdown) -> tuple[DataFrame, DataFrame]:
+def run_ocr(images: DataFrame, load: Callable[[], Callable[[list], list[dict]]], run: str, target: str, max_output_tokens: int = 8192, convert: Callable[[str], str] = to_markdown, crops: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """The page rows, and the documents whose files are written to target; the OCR sees each page once.
 
     Pages go to <run>/pages, documents to <run>/documents, and both are read from
     there, however often.  A run that broke off goes on: what was written whole is
-    taken as it is, so a new run needs a new folder.
+    taken as it is, so a new run needs a new folder.  crops (of crop_figures) are
+    written first, so a document's markdown still marks it as complete.
     """
     spark = images.sparkSession
-
-    def once(name: str, make) -> DataFrame:
-        at = f"{run}/{name}"
-        if not storage.exists(spark, f"{at}/_SUCCESS"):
-            make().write.mode("overwrite").parquet(at)
-        return spark.read.parquet(at)
-
-    pages = once("pages", lambda: ocr_pages(images, load, max_output_tokens, convert))
-    return pages, once("documents", lambda: save_documents(join_document(pages), target))
+    pages = storage.once(spark, f"{run}/pages", lambda: ocr_pages(images, load, max_output_tokens, convert))
+    if crops is not None:
+        storage.once(spark, f"{run}/figures", lambda: save_figures(crops, target))
+    return pages, storage.once(spark, f"{run}/documents", lambda: save_documents(join_document(pages), target))
 
 
 def atomic_write(path: str, body: bytes | str) -> None:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from zlib import crc32
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import storage
 from .state import insert_or_ignore
 
 SCHEMA = "arxiv_id string, dense_vec array<float>, sparse_weights map<int,float>, status string"
@@ -51,16 +53,31 @@ def save_embeddings(current: DataFrame, new: DataFrame, model: str) -> DataFrame
     return insert_or_ignore(current, good, ["arxiv_id"], [F.col("embed_date")])
 
 
-def embed_pending(papers: DataFrame, embedded: DataFrame, load: Callable, model: str, categories: list[str] | None = None, limit: int | None = None, batch_size: int = 64, dim: int | None = None) -> tuple[DataFrame, DataFrame]:
+def embed_in_chunks(texts: DataFrame, load: Callable, run: str, chunks: int = 16, batch_size: int = 64, dim: int | None = None) -> DataFrame:
+    """The rows of embed, chunk by chunk: each is a job whose result is written under run, so a run that broke off goes on with the next chunk.
+
+    The queue is written first; texts that come later belong to another run.
+    """
+    spark = texts.sparkSession
+    chunk = F.pmod(F.xxhash64(F.col("arxiv_id").cast("string")), F.lit(chunks)).cast("int")
+    if not storage.exists(spark, f"{run}/queue/_SUCCESS"):
+        texts.select(F.col("arxiv_id").cast("string").alias("arxiv_id"), "text", chunk.alias("_chunk")).write.mode("overwrite").partitionBy("_chunk").parquet(f"{run}/queue")
+    queue = spark.read.schema("arxiv_id string, text string, _chunk int").parquet(f"{run}/queue")
+    done = [storage.once(spark, f"{run}/chunk-{k}", lambda k=k: embed(queue.where(F.col("_chunk") == k), load, batch_size, dim)) for k in range(chunks)]
+    return reduce(DataFrame.unionByName, done)
+
+
+def embed_pending(papers: DataFrame, embedded: DataFrame, load: Callable, model: str, categories: list[str] | None = None, limit: int | None = None, batch_size: int = 64, dim: int | None = None, run: str | None = None, chunks: int = 16) -> tuple[DataFrame, DataFrame]:
     """The next table and the status of each row: papers without an embedding, at most so many by id, are embedded and added.
 
-    Rows that fail stay pending, so the next call takes them again.  The
-    encoder's rows are used twice: write them first where encoding is dear.
+    Rows that fail stay pending, so the next call takes them again.  The encoder sees
+    each row once, as its rows are written: chunk by chunk under run, if that is given,
+    so that a run that broke off goes on, or else in one job in the shared folder.
     """
     queue = pending(papers, embedded, categories)
     if limit is not None:
         queue = queue.orderBy("arxiv_id").limit(limit)
-    new = embed(queue, load, batch_size, dim)
+    new = embed_in_chunks(queue, load, run, chunks, batch_size, dim) if run else storage.written(embed(queue, load, batch_size, dim), "embeddings")
     return save_embeddings(embedded, new, model), new.select("arxiv_id", "status")
 
 

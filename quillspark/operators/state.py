@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import storage
 
@@ -87,9 +89,51 @@ def journal(runs: DataFrame, papers: DataFrame, source: str, n_files: int, statu
     return runs.unionByName(row)
 
 
-def commit(tables: dict[str, DataFrame]) -> None:
+class Breach(ValueError):
+    """Rows that break a table's contract: how many repeat a key, and how many lack a part of it."""
+
+    def __init__(self, path: str, repeated: int, missing: int):
+        super().__init__(f"{path}: {repeated} rows repeat a key, {missing} lack a part of one")
+        self.repeated, self.missing = repeated, missing
+
+
+def conform(df: DataFrame, schema: T.StructType, defaults: dict | None = None) -> DataFrame:
+    """The schema's columns in order, cast to its types; a null or missing one has its default."""
+    given = defaults or {}
+
+    def column(f: T.StructField) -> Column:
+        c = F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)
+        return F.coalesce(c, (given[f.name] if isinstance(given[f.name], Column) else F.lit(given[f.name])).cast(f.dataType)) if f.name in given else c
+
+    return df.select(*(column(f).alias(f.name) for f in schema.fields))
+
+
+def write_checked(df: DataFrame, path: str, schema: T.StructType, key: list[str], defaults: dict | None = None) -> None:
+    """Commit a table that holds its contract, or raise Breach and leave the table as it was.
+
+    The job that writes also counts: rows whose key an earlier row has (of a window
+    over the key), and rows with a null in it.
+    """
+    seen = Observation("contract")
+    w = Window.partitionBy(*key).orderBy(F.lit(0))
+    rows = conform(df, schema, defaults).withColumn("_n", F.row_number().over(w))
+    missing = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in key))
+    count = lambda c: F.coalesce(F.sum(F.when(c, 1).otherwise(0)), F.lit(0))
+    rows = rows.observe(seen, count((F.col("_n") > 1) & ~missing).alias("repeated"), count(missing).alias("missing")).drop("_n")
+
+    def hold() -> None:
+        got = seen.get
+        if got["repeated"] or got["missing"]:
+            raise Breach(path, got["repeated"], got["missing"])
+
+    commit({path: rows}, hold)
+
+
+def commit(tables: dict[str, DataFrame], check: Callable[[], None] = lambda: None) -> None:
     """Write each path's next table beside it, then swap all of them; a table may be computed from itself.
 
+    check is called when all are written; if it raises, the old tables stay.
+
     Once all are written, a note beside the first path lists them.  A commit that
     breaks off before the note leaves the old tables, one that breaks off after it
     is finished by ``recover``, which each commit of the same first path calls.
@@ -99,6 +143,12 @@ def commit(tables: dict[str, DataFrame]) -> None:
     recover(spark, paths[0])
     for path, df in tables.items():
         df.write.mode("overwrite").parquet(f"{path}.next")
+    try:
+        check()
+    except Exception:
+        for path in paths:
+            storage.delete(spark, f"{path}.next")
+        raise
     note, fs = storage.file_system(spark, f"{paths[0]}.commit")
     draft, _ = storage.file_system(spark, f"{paths[0]}.commit.draft")
     out = fs.create(draft, True)

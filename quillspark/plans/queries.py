@@ -14,6 +14,7 @@ from .. import storage
 from ..functions import text, vectors
 from ..operators import audit, chunks, classify, curate, documents, encode, evaluate, ranking, retrieval, sampling, sparse_index, state
 from ..sources import fetch, readers
+from . import schema
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -705,6 +706,28 @@ def d2_figures(spark, sf):
     return _blocks(spark, sf).select("conv_id", F.explode(documents.figures(F.col("blocks"))).alias("f")).select("conv_id", F.col("f.name").alias("name"))
 
 
+def _pictures(spark, sf) -> DataFrame:
+    """The pages of _blocks with an image each: a grey one of 10 x 12 pixels, whose samples are the page's number and the place."""
+    at = F.sequence(F.lit(0), F.lit(119))
+    pixels = F.array_join(F.transform(at, lambda k: F.lpad(F.hex(F.pmod(k + F.col("conv_id"), F.lit(256))), 2, "0")), "")
+    pages = _blocks(spark, sf).withColumn("image", F.concat(F.lit("P5\n10 12\n255\n").cast("binary"), F.unhex(pixels)))
+    return pages.select(F.col("conv_id").alias("arxiv_id"), F.lit(0).alias("page"), "image", "blocks")
+
+
+@query(f"""WITH {_BLOCKS}, f AS (SELECT conv_id, k, turn % 3 AS wide FROM b WHERE label = 'Image' AND turn % 3 > 0)
+SELECT conv_id, 'p_block_' || k || '.webp' AS name, 'P5' || chr(10) || wide || ' 10' || chr(10) || '255' || chr(10) AS head,
+  array_to_string(list_transform(range(10 * wide), lambda i: lpad(to_hex((conv_id + 10 * (i // wide) + i % wide) % 256), 2, '0')), '') AS pixels FROM f""")
+def d2_figure_crops(spark, sf):
+    """Figures are cut out of the pages' images, written, and read back."""
+    crops = documents.crop_figures(_pictures(spark, sf), prefix=F.lit("p_"))
+    saved = storage.written(documents.save_figures(crops, folder(spark, "figures")), "figures")  # so that files are written once
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(saved.select(F.regexp_extract("path", "^(.*)/[^/]+/[^/]+$", 1)).first()[0])
+    head = F.regexp_extract(F.decode(F.substring("content", 1, 20), "ISO-8859-1"), "^(P5\n[0-9]+ 10\n255\n)", 1)
+    found = files.select(F.regexp_extract("path", "/([0-9]+)/[^/]+$", 1).alias("arxiv_id"), F.regexp_extract("path", "([^/]+)$", 1).alias("name"), head.alias("head"), "content")
+    both = saved.select("arxiv_id", "name").join(found, ["arxiv_id", "name"], "left")
+    return both.select(F.col("arxiv_id").cast("long").alias("conv_id"), "name", "head", F.lower(F.hex(F.expr("substring(content, length(head) + 1)"))).alias("pixels"))
+
+
 @query()
 def d3_markdown(spark, sf):
     return documents.markdown(t(spark, sf, "pages"), "html").select("page_id", "markdown")
@@ -811,12 +834,13 @@ def o10_audit(spark, sf):
 @query()
 def z1_chunks(spark, sf):
     md = documents.markdown(t(spark, sf, "pages"), "html").select("page_id", "markdown")
-    return chunks.chunk_documents(md, "page_id", "markdown", 64, 128)
+    named = md.join(t(spark, sf, "pages").select("page_id", F.regexp_extract("url", "([^/]*)$", 1).alias("title")), "page_id")
+    return chunks.chunk_documents(named, "page_id", "markdown", 64, 128, title="title")
 
 
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)")
 def z2_pending_chunks(spark, sf):
-    cut = t(spark, sf, "labels").select("doc_id", F.when(F.col("quality") == 1, "v1").otherwise("v0").alias("chunker_version"))
+    cut = t(spark, sf, "labels").select("doc_id", F.when(F.col("quality") == 1, chunks.VERSION).otherwise("v0").alias("chunker_version"))
     return chunks.pending_documents(t(spark, sf, "documents").select("doc_id"), cut, "doc_id")
 
 
@@ -857,6 +881,29 @@ def k3_insert_select(spark, sf):
     return out
 
 
+@query("SELECT doc_id, lang, coalesce(source, 'unknown') AS source, FALSE AS has_code FROM documents")
+def k2_checked_write(spark, sf):
+    """A table under a contract: types, defaults, a key without repeats or nulls."""
+    path = f"{folder(spark, 'contract')}/documents"
+    kind = schema.of("doc_id bigint, lang string, source string, has_code boolean")
+    state.write_checked(t(spark, sf, "documents"), path, kind, ["doc_id"], {"source": "unknown", "has_code": False})
+    return spark.read.parquet(path)
+
+
+@query("SELECT 'orders' AS name, (SELECT CAST(count(*) - count(DISTINCT o_custkey) AS INT) FROM orders) AS repeated UNION ALL SELECT 'lineitem', (SELECT CAST(count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS INT) FROM lineitem) UNION ALL SELECT 'events', (SELECT CAST(count(*) - count(DISTINCT user_id) AS INT) FROM events)")
+def k2_breaches(spark, sf):
+    """Writes whose key is none are refused, with the number of rows that repeat one; the key of lineitem holds."""
+    root, found = folder(spark, "breach"), []
+    for name, key in (("orders", ["o_custkey"]), ("lineitem", ["l_orderkey", "l_linenumber"]), ("events", ["user_id"])):
+        rows = t(spark, sf, name)
+        try:
+            state.write_checked(rows, f"{root}/{name}", rows.schema, key)
+            found.append((name, 0))
+        except state.Breach as e:
+            found.append((name, e.repeated))
+    return spark.createDataFrame(found, "name string, repeated int")
+
+
 @query("SELECT doc_id, quality AS label FROM labels")
 def k13_labelled_set(spark, sf):
     path = folder(spark, "golden")
@@ -878,7 +925,7 @@ def z6_digest(spark, sf):
 
 @query()
 def z3_chunk_embeddings(spark, sf):
-    cut = z1_chunks(spark, sf).select(F.concat_ws("#", "page_id", "chunk_index").alias("arxiv_id"), "page_id", "section", "text")
+    cut = z1_chunks(spark, sf).select(F.concat_ws("#", "page_id", "chunk_index").alias("arxiv_id"), "page_id", "section", F.col("content").alias("text"))
     vectors_of = encode.embed(cut.select("arxiv_id", "text"), encode.hashing_encoder(8), dim=8).select("arxiv_id", "dense_vec", "status")
     payload = cut.join(t(spark, sf, "pages").select("page_id", "url"), "page_id").select("arxiv_id", "page_id", "section", "url")
     return vectors_of.join(payload, "arxiv_id").select("arxiv_id", "page_id", "section", "url", F.size("dense_vec").alias("dim"), "status")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,3 +50,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = folder(df.sparkSession, name) + "/table"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def once(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The table at a path, which is made and written only if no earlier run has written it whole."""
+    if not exists(spark, f"{path}/_SUCCESS"):
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
