@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import sys
 import unicodedata
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,19 +15,20 @@ REPOSITORY = r"https?://github\.com/[A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+"
 PAGE_MARK = r"<!-- ===== Page \d+ ===== -->"
 
 
-def _bare(s: str | None) -> str | None:
-    if s is None or s.isascii():
-        return s
-    return unicodedata.normalize("NFC", "".join(c for c in unicodedata.normalize("NFD", s) if unicodedata.category(c)[0] != "M"))
+@functools.cache
+def _bare_letters() -> tuple[str, str]:
+    """Letters that are a base letter with marks, and their base letters, by the decompositions of Unicode."""
+    pairs = []
+    for c in map(chr, (*range(0x80, 0xAC00), *range(0xF900, sys.maxunicode + 1))):  # between them: syllables that are made of letters, not marks
+        bare = unicodedata.normalize("NFC", "".join(x for x in unicodedata.normalize("NFD", c) if unicodedata.category(x)[0] != "M"))
+        if len(bare) == 1 and bare != c:
+            pairs.append((c, bare))
+    return "".join(c for c, _ in pairs), "".join(b for _, b in pairs)
 
 
 def strip_accents(c: Column) -> Column:
-    """Letters without their marks; letters that are no base letter with a mark stay."""
-
-    def bare(s: pd.Series) -> pd.Series:
-        return s.map(_bare)
-
-    return F.pandas_udf(bare, "string")(c)
+    """Letters without their marks; letters that are no base letter with a mark stay.  Marks that stand by themselves go too."""
+    return F.regexp_replace(F.translate(c, *_bare_letters()), r"\p{M}+", "")
 
 
 def strip(c: Column) -> Column:

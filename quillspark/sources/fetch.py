@@ -124,6 +124,11 @@ def keyword(topic: str | None, table: str) -> str:
     return topic or table
 
 
+def paths_for_keyword(local: DataFrame, topic: str, key: str = "arxiv_id") -> DataFrame:
+    """Key and path of the fetched documents of one topic, so that a shared folder's other topics stay out."""
+    return local.where((F.col("keyword_for_ocr") == topic) & F.col("pdf_path").isNotNull()).select(key, "pdf_path")
+
+
 def extraction_queue(local: DataFrame) -> DataFrame:
     return local.where("latex_source_path is not null and latex_extracted = false").select("arxiv_id", "latex_source_path")
 
