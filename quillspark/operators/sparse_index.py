@@ -98,4 +98,7 @@ def _of(levels: list[tuple]) -> Column:
     for _, token, level, _ in levels:
         lo, hi = runs.get(token, (level, level))
         runs[token] = (min(lo, level), max(hi, level))
-    return reduce(lambda a, b: a | b, ((F.col("token") == F.lit(t)) & F.col("level").between(lo, hi) for t, (lo, hi) in runs.items()))
+    tests = [(F.col("token") == F.lit(t)) & F.col("level").between(lo, hi) for t, (lo, hi) in runs.items()]
+    while len(tests) > 1:  # as a tree: a chain of some hundred tokens is too deep for the parser
+        tests = [reduce(lambda a, b: a | b, tests[k : k + 2]) for k in range(0, len(tests), 2)]
+    return tests[0]

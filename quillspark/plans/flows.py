@@ -15,7 +15,7 @@ from ..operators import classify, curate, retrieval, state
 def build_corpus(raw: DataFrame) -> dict[str, DataFrame]:
     """Metadata to papers, paper_categories, authors and paper_authors."""
     clean = curate.latest(raw, tie=["title"])
-    exploded = curate.exploded_authors(clean)
+    exploded = storage.written(curate.exploded_authors(clean), "authors")  # ids and links both read it
     names = curate.authors(exploded)
     return {"papers": curate.papers(clean), "paper_categories": curate.paper_categories(clean), "authors": names, "paper_authors": curate.paper_authors(exploded, names)}
 

@@ -328,7 +328,10 @@ def _names(spark, sf) -> DataFrame:
     """Documents as papers whose authors are the words of their whole texts, in pairs."""
     # each pair is one match: arrays that a lambda takes from outside would be computed for each of its elements where a filter is pushed below them
     pairs = F.regexp_extract_all("text", F.lit(r"[^ \t\r\n]+(?:[ \t\r\n]+[^ \t\r\n]+)?"), F.lit(0))
-    return t(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.transform(pairs, lambda p: F.split(p, r"[ \t\r\n]+")).alias("authors_parsed"))
+    docs, cores = t(spark, sf, "documents").select("doc_id", "text"), spark.sparkContext.defaultParallelism
+    if docs.rdd.getNumPartitions() < cores:  # a small table in few files: cutting words is worth a shuffle of it
+        docs = docs.repartition(cores)
+    return docs.select(F.col("doc_id").alias("id"), F.transform(pairs, lambda p: F.split(p, r"[ \t\r\n]+")).alias("authors_parsed"))
 
 
 _AUTHORS = r"""
@@ -350,13 +353,13 @@ def w3_author_ids(spark, sf):
 
 @query(f"WITH {_AUTHORS} SELECT arxiv_id, author_id, position FROM e JOIN a USING (name_normalized)")
 def j1_author_links(spark, sf):
-    e = curate.exploded_authors(_names(spark, sf))
+    e = storage.written(curate.exploded_authors(_names(spark, sf)), "authors")
     return curate.paper_authors(e, curate.authors(e))
 
 
 @query(f"WITH {_AUTHORS} SELECT a.name_raw, count(*) AS n_papers FROM e JOIN a USING (name_normalized) GROUP BY author_id, a.name_raw ORDER BY n_papers DESC, a.name_raw LIMIT 5")
 def j2_top_authors(spark, sf):
-    e = curate.exploded_authors(_names(spark, sf))
+    e = storage.written(curate.exploded_authors(_names(spark, sf)), "authors")
     names = curate.authors(e)
     return curate.top_authors(curate.paper_authors(e, names), names)
 
