@@ -257,7 +257,7 @@ class _Bucket(_Words):
         each = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(self.size), [None, pa.py_buffer(self.past), pa.py_buffer(self.data)]).dictionary_encode()
         self.code, self.words = np.asarray(each.indices), each.dictionary  # each with its space
         data, offs = scan.view(self.words)
-        self.word = scan.span_hash(data, offs[:-1], offs[1:])  # of each distinct word
+        self.word = scan.span_hash(data, offs[:-1], offs[1:] - 1)  # of each distinct word, as frequent_words has them
         self.hash = self.word[self.code]
         n = np.diff(self.edge)
         self.text_of = np.repeat(np.arange(len(n), dtype=np.int32), n)
@@ -367,7 +367,8 @@ class _Plan:
         self.more = math.ceil(math.log(max(self.groups / MOST_GROUPS, 1)) / math.log(MOST_GROUPS))
         row = F.xxhash64("doc_id", "text")
         texts = one_text(known, *more).withColumn("_row", row)
-        self.texts = texts.withColumn("_bucket", F.pmod(row, F.lit(self.buckets)).cast("int")).groupBy("_bucket")
+        # a long, as the bodies' to is: Spark deals equal ints and longs to different partitions, and cogroup would not bring them together
+        self.texts = texts.withColumn("_bucket", F.pmod(row, F.lit(self.buckets).cast("long"))).groupBy("_bucket")
 
     def entries(self) -> DataFrame:
         """Bodies of ENTRY for each group."""

@@ -546,6 +546,27 @@ def test_substring_dedup_passes(spark, sf, monkeypatch):
     assert got == brute_removed(ts)
 
 
+def test_substring_dedup_partitions(spark, sf, monkeypatch):
+    """Buckets meet their bodies also where they are dealt over many partitions."""
+    monkeypatch.setattr(substring, "BUCKET", 4_000)
+    rng = np.random.default_rng(6)
+    passage = " ".join(f"p{k}" for k in range(60))
+    ts = texts(sf, 60) + [f"{a} {passage} {b}" for a, b in zip(near_copies(rng, 20, 30), near_copies(rng, 20, 30), strict=True)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["text"]) for r in substring.dedup_substrings(docs(spark, ts)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == brute_removed(ts)
+
+
+def test_bucket_knows_frequent_words(spark):
+    d = docs(spark, [" ".join(["the", f"w{k}", "the", f"v{k}"] * 10) for k in range(50)])
+    frequent = substring.frequent_words(d.select("doc_id", "text"), 1)
+    b = substring._Bucket(pa.table({"_row": [1], "doc_id": [1], "text": ["the cat saw the dog"]}), 3)
+    assert frequent.tolist() == [b.hash[0]] and b.hash[0] == b.hash[3]
+
+
 def test_substring_dedup_ids(spark):
     t = " ".join(f"w{k}" for k in range(20))
     d = spark.createDataFrame([(5, t), (5, t), (9, t), (None, f" {t}\n"), (7, f"{t} x {t}")], "doc_id long, text string")
