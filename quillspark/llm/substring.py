@@ -60,6 +60,10 @@ MOST_GROUPS = 4096
 FAN = 512
 #: Bytes of bodies that are merged before a further split.
 MERGE = 4 << 20
+#: A gram that is the smallest of more windows than this is no prefix by itself.
+HOT = 1 << 14
+#: Windows of a stretch; longer ones are sent as several.
+LONGEST = 1 << 12
 
 _BODIES = "to long, body binary"
 _SCHEMA = pa.schema([("to", pa.int64()), ("body", pa.binary())])
@@ -280,6 +284,17 @@ class _Bucket(_Words):
             have += step
         return low[self.window] if len(self.window) else np.zeros(0, np.uint64)
 
+    def repeated(self, again: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The windows whose smallest gram is one of these, that gram, and whether it is hot."""
+        low = self.grams()
+        order = np.argsort(again["low"])
+        known, hot = again["low"][order], again["hot"][order] > 0
+        new = np.ones(len(low), bool)
+        new[1:] = low[1:] != low[:-1]
+        place = np.minimum(np.searchsorted(known, low[new]), max(len(known) - 1, 0))[np.cumsum(new) - 1]
+        on = np.flatnonzero(known[place] == low) if len(known) else np.zeros(0, np.int64)
+        return self.window[on], low[on], hot[place[on]]
+
     def suffixes(self, at: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         """Of the suffixes at these words: codes of the word before (-1: none) and of depth words, one after another (-1: past the text); and their lengths."""
         first, past = self.edge[self.text_of[at]], self.edge[self.text_of[at] + 1]
@@ -326,9 +341,21 @@ def suffix_tree(codes: np.ndarray, length: np.ndarray, width: int) -> tuple[np.n
 
 
 ENTRY = {"to": "<i8", "bucket": "<i4", "at": "<i4", "least": "<i8", "many": "u1", "n": "<i8"}
-GRAMS = {"to": "<i8", "bucket": "<i4", "low": "<u8", "many": "u1"}
-AGAIN = {"to": "<i8", "low": "<u8"}
-NODES = {"to": "<i8", "at": "<i4", "least": "<i8"}
+STRETCH = {"to": "<i8", "bucket": "<i4", "at": "<i4", "least": "<i8", "many": "u1"}
+GRAMS = {"to": "<i8", "bucket": "<i4", "low": "<u8", "many": "u1", "n": "<i4"}
+AGAIN = {"to": "<i8", "low": "<u8", "hot": "u1"}
+NODES = {"to": "<i8", "at": "<i4", "n": "<i4", "least": "<i8"}
+
+
+def stretches(at: np.ndarray, *alike: np.ndarray) -> np.ndarray:
+    """Where a stretch begins: of positions that follow one another, with equal values, at most LONGEST."""
+    new = np.ones(len(at), bool)
+    new[1:] = np.diff(at) != 1
+    for x in alike:
+        new[1:] |= x[1:] != x[:-1]
+    first = np.flatnonzero(new)
+    own = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
+    return np.flatnonzero(own % LONGEST == 0)
 
 
 def _table(run: Run, step: int) -> pa.Table:
@@ -363,16 +390,16 @@ class _Plan:
         self.width, self.depth = width, 2 * width
         known = docs.where("doc_id is not null")
         self.buckets = self.groups = parts_for(spark, text_bytes(known), BUCKET)
-        self.frequent = frequent_words(one_text(known), min(self.groups, MOST_GROUPS))
+        self.known = known
         self.more = math.ceil(math.log(max(self.groups / MOST_GROUPS, 1)) / math.log(MOST_GROUPS))
         row = F.xxhash64("doc_id", "text")
         texts = one_text(known, *more).withColumn("_row", row)
         # a long, as the bodies' to is: Spark deals equal ints and longs to different partitions, and cogroup would not bring them together
         self.texts = texts.withColumn("_bucket", F.pmod(row, F.lit(self.buckets).cast("long"))).groupBy("_bucket")
 
-    def entries(self) -> DataFrame:
-        """Bodies of ENTRY for each group."""
-        width, depth, groups, frequent, more = self.width, self.depth, self.groups, self.frequent, self.more
+    def again(self) -> DataFrame:
+        """Bodies of AGAIN for each bucket: the grams that stand in several documents, and whether they are hot."""
+        width, groups = self.width, self.groups
         first, back = steps_for(groups)[0], steps_for(self.buckets)[0]
 
         def grams_out(table):
@@ -381,14 +408,16 @@ class _Plan:
             doc = b.doc[b.text_of[b.window]]
             new = np.ones(len(low), bool)
             new[1:] = (low[1:] != low[:-1]) | (doc[1:] != doc[:-1])
+            n = np.diff(np.append(np.flatnonzero(new), len(low)))
             low, doc = low[new], doc[new]
             order = np.argsort(low)
-            low, doc = low[order], doc[order]
+            low, doc, n = low[order], doc[order], n[order]
             edge = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]])) if len(low) else np.zeros(0, np.int64)
             many = np.minimum.reduceat(doc, edge) != np.maximum.reduceat(doc, edge) if len(edge) else np.zeros(0, bool)
+            n = np.add.reduceat(n, edge) if len(edge) else n
             low = low[edge]
             to = (scan.mix(low) % scan.U(groups)).astype(np.int64)
-            return _table(Run({"to": to, "bucket": np.full(len(low), table.column("_bucket")[0].as_py(), np.int32), "low": low, "many": many.view(np.uint8)}), first)
+            return _table(Run({"to": to, "bucket": np.full(len(low), table.column("_bucket")[0].as_py(), np.int32), "low": low, "many": many.view(np.uint8), "n": n.astype(np.int32)}), first)
 
         def grams_back(table):
             run = _read(table, GRAMS)
@@ -397,17 +426,53 @@ class _Plan:
             edge = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]])[: len(low)])
             size = np.diff(np.append(edge, len(low)))
             again = np.flatnonzero(np.repeat((size > 1) | (np.maximum.reduceat(run.cols["many"], edge) > 0), size))
-            return _table(Run({"to": run.cols["bucket"][again].astype(np.int64), "low": low[again]}), back)
+            hot = np.repeat(np.add.reduceat(run.cols["n"].astype(np.int64), edge) > HOT, size)
+            return _table(Run({"to": run.cols["bucket"][again].astype(np.int64), "low": low[again], "hot": hot[again].view(np.uint8)}), back)
+
+        grams = further(self.texts.applyInArrow(_light(grams_out), _BODIES), GRAMS, groups)
+        return further(grams.groupBy("to").applyInArrow(_light(grams_back), _BODIES), AGAIN, self.buckets)
+
+    def stretches(self) -> DataFrame:
+        """Bodies of STRETCH for each group: the words of windows that follow one another, one window a node of a bucket's tree."""
+        width, groups = self.width, self.groups
+        first = steps_for(groups)[0]
+
+        def stretches_out(left, right):
+            if not left.num_rows or not right.num_rows:
+                return _table(Run({k: np.zeros(0, v) for k, v in STRETCH.items()}, np.zeros(0, np.int64), np.zeros(0, np.int32), pa.array([], pa.large_binary())), 1)
+            b = _Bucket(left, width)
+            again = _read(right, AGAIN).cols
+            at, low, hot = b.repeated(again)
+            codes, length = b.suffixes(at, width)
+            order, edge, _ = suffix_tree(codes[1:], length, width)
+            doc = b.doc[b.text_of[at[order]]]
+            least = np.minimum.reduceat(doc, edge) if len(edge) else doc
+            many = (np.maximum.reduceat(doc, edge) != least) if len(edge) else np.zeros(0, bool)
+            own = order[edge]  # a suffix of each node: the first of them, so that those of a passage follow one another
+            place = np.argsort(own)
+            own, least, many = own[place], least[place], many[place]
+            at, low, hot = at[own], low[own], hot[own]
+            if hot.any():
+                low = np.where(hot, scan.window_hash(b.hash, width, 7)[at], low)
+            to = (scan.mix(low ^ scan.U(1)) % scan.U(groups)).astype(np.int64)
+            new = stretches(at, to, least, many)
+            n = np.diff(np.append(new, len(at))) + width - 1
+            cols = {"to": to[new], "bucket": np.full(len(new), left.column("_bucket")[0].as_py(), np.int32), "at": at[new].astype(np.int32), "least": least[new], "many": many[new].view(np.uint8)}
+            return _table(Run(cols, n, b.code[scan.segment_positions(at[new], n)], b.words), first)
+
+        return further(self.texts.cogroup(self.again().groupBy("to")).applyInArrow(_light(stretches_out), _BODIES), STRETCH, groups)
+
+    def entries(self) -> DataFrame:
+        """Bodies of ENTRY for each group."""
+        width, depth, groups, more = self.width, self.depth, self.groups, self.more
+        frequent = frequent_words(one_text(self.known), min(groups, MOST_GROUPS))
+        first = steps_for(groups)[0]
 
         def entries_out(left, right):
             if not left.num_rows or not right.num_rows:
                 return _table(Run({k: np.zeros(0, v) for k, v in ENTRY.items()}, np.zeros(0, np.int64), np.zeros(0, np.int32), pa.array([], pa.large_binary())), 1)
             b = _Bucket(left, width)
-            again = _read(right, AGAIN).cols["low"]
-            low = b.grams()
-            new = np.ones(len(low), bool)
-            new[1:] = low[1:] != low[:-1]
-            at = b.window[np.isin(low[new], again)[np.cumsum(new) - 1]]
+            at, _, _ = b.repeated(_read(right, AGAIN).cols)
             codes, length = b.suffixes(at, depth)
             order, edge, deep = suffix_tree(codes[1:], length, width)
             own = order[edge]  # a suffix of each node
@@ -423,9 +488,7 @@ class _Plan:
             cols = {"to": to, "bucket": np.full(len(own), left.column("_bucket")[0].as_py(), np.int32), "at": at[own].astype(np.int32), "least": least, "many": (np.maximum.reduceat(doc, edge) != least).view(np.uint8) if len(edge) else np.zeros(0, np.uint8), "n": size}
             return _table(Run(cols, deep.astype(np.int64) + 1, words[inside], b.words), first)
 
-        grams = further(self.texts.applyInArrow(_light(grams_out), _BODIES), GRAMS, groups)
-        again = further(grams.groupBy("to").applyInArrow(_light(grams_back), _BODIES), AGAIN, self.buckets)
-        return further(self.texts.cogroup(again.groupBy("to")).applyInArrow(_light(entries_out), _BODIES), ENTRY, groups)
+        return further(self.texts.cogroup(self.again().groupBy("to")).applyInArrow(_light(entries_out), _BODIES), ENTRY, groups)
 
 
 def _nodes(run: Run, width: int, depth: int):
@@ -471,17 +534,25 @@ def dedup_substrings(docs: DataFrame, width: int = 13, keep: tuple[str, ...] = (
     """
     kept, names = carried(keep, ("doc_id", "text", "n_words", "n_removed", "removed"))
     plan = _Plan(docs, width, *kept)
-    depth = plan.depth
     back = steps_for(plan.buckets)[0]
 
     def nodes_back(table):
-        run = _read(table, ENTRY)
-        _, order, edge, _ = _nodes(run, width, depth)
-        least, many = run.cols["least"][order], run.cols["many"][order]
+        run = _read(table, STRETCH)
+        n = run.sizes - width + 1  # windows of each stretch
+        of = np.repeat(np.arange(len(run)), n)
+        begin = scan.segment_positions(np.cumsum(run.sizes) - run.sizes, n)
+        codes = np.array([run.codes[begin + k] for k in range(width)])
+        order, edge, _ = suffix_tree(codes, np.full(len(of), width), width)
+        least, many = run.cols["least"][of[order]], run.cols["many"][of[order]]
         lowest = np.repeat(np.minimum.reduceat(least, edge), np.diff(np.append(edge, len(order)))) if len(edge) else least
         want = (many > 0) | (least > lowest)
         own = order[want]
-        return _table(Run({"to": run.cols["bucket"][own].astype(np.int64), "at": run.cols["at"][own], "least": lowest[want]}), back)
+        at = run.cols["at"][of[own]] + scan.segment_positions(np.zeros(len(n), np.int64), n)[own]
+        to, lowest = run.cols["bucket"][of[own]].astype(np.int64), lowest[want]
+        place = np.lexsort((at, to))
+        at, to, lowest = at[place], to[place], lowest[place]
+        new = stretches(at, to, lowest)
+        return _table(Run({"to": to[new], "at": at[new].astype(np.int32), "n": np.diff(np.append(new, len(at))).astype(np.int32), "least": lowest[new]}), back)
 
     def out_table(table, words, stay):
         text, left = words.kept(stay)
@@ -507,9 +578,10 @@ def dedup_substrings(docs: DataFrame, width: int = 13, keep: tuple[str, ...] = (
         covered = np.zeros(len(b.code) + 1, np.int32)
         if len(nodes["at"]):
             h = scan.window_hash(b.hash, width, 5)
-            own = h[nodes["at"]]
+            rep = scan.segment_positions(nodes["at"].astype(np.int64), nodes["n"].astype(np.int64))
+            own, lowest = h[rep], np.repeat(nodes["least"], nodes["n"])
             order = np.argsort(own, kind="stable")
-            own, rep, lowest = own[order], nodes["at"][order], nodes["least"][order]
+            own, rep, lowest = own[order], rep[order], lowest[order]
             place = np.minimum(np.searchsorted(own, h[b.window]), len(own) - 1)
             on = np.flatnonzero(own[place] == h[b.window])
             place, at = place[on], b.window[on]
@@ -531,7 +603,7 @@ def dedup_substrings(docs: DataFrame, width: int = 13, keep: tuple[str, ...] = (
             words = _Words(scan.text_column(x))
             yield from out_table(x, words, np.ones(len(words.size), bool)).to_batches()
 
-    nodes = further(plan.entries().groupBy("to").applyInArrow(_light(nodes_back), _BODIES), NODES, plan.buckets)
+    nodes = further(plan.stretches().groupBy("to").applyInArrow(_light(nodes_back), _BODIES), NODES, plan.buckets)
     spans = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("past", T.LongType())]))
     rows = one_text(docs, *kept)
     schema = rows.schema

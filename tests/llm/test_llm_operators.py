@@ -546,9 +546,12 @@ def test_substring_dedup_passes(spark, sf, monkeypatch):
     assert got == brute_removed(ts)
 
 
-def test_substring_dedup_partitions(spark, sf, monkeypatch):
+@pytest.mark.parametrize(("hot", "longest"), [(1 << 14, 1 << 12), (20, 3)])
+def test_substring_dedup_partitions(spark, sf, monkeypatch, hot, longest):
     """Buckets meet their bodies also where they are dealt over many partitions."""
     monkeypatch.setattr(substring, "BUCKET", 4_000)
+    monkeypatch.setattr(substring, "HOT", hot)
+    monkeypatch.setattr(substring, "LONGEST", longest)
     rng = np.random.default_rng(6)
     passage = " ".join(f"p{k}" for k in range(60))
     ts = texts(sf, 60) + [f"{a} {passage} {b}" for a, b in zip(near_copies(rng, 20, 30), near_copies(rng, 20, 30), strict=True)]
@@ -567,6 +570,15 @@ def test_bucket_knows_frequent_words(spark):
     assert frequent.tolist() == [b.hash[0]] and b.hash[0] == b.hash[3]
 
 
+def test_windows_are_sent_as_stretches(spark):
+    """A passage of 1000 words that two documents share is sent in a few times its words, not in words times width."""
+    passage = " ".join(f"w{k}" for k in range(1000))
+    plan = substring._Plan(docs(spark, [f"a {passage}", f"b {passage}"]), 13)
+    runs = [substring.Run.unpack(r["body"], substring.STRETCH) for r in plan.stretches().collect()]
+    windows = sum(int((r.sizes - 12).sum()) for r in runs)
+    assert windows >= 988 and sum(int(r.sizes.sum()) for r in runs) < 1.1 * windows
+
+
 def test_substring_dedup_ids(spark):
     t = " ".join(f"w{k}" for k in range(20))
     d = spark.createDataFrame([(5, t), (5, t), (9, t), (None, f" {t}\n"), (7, f"{t} x {t}")], "doc_id long, text string")
