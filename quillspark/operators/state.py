@@ -25,9 +25,21 @@ def first_by(df: DataFrame, key: list[str], order: list) -> DataFrame:
 
 
 def insert_or_ignore(current: DataFrame, incoming: DataFrame, key: list[str], order: list | None = None) -> DataFrame:
-    """Rows with new keys are added; the first of equal incoming keys counts."""
+    """Rows with new keys are added; the first of equal incoming keys counts.
+
+    One full join, not a union: Spark takes a union of tables that are dealt by key for
+    one that is dealt so too, and a join with it breaks where a side of the union is
+    planned anew while it runs.
+    """
     new = first_by(incoming, key, order or [F.col(c) for c in incoming.columns if c not in key] or [F.lit(0)])
-    return current.unionByName(new.join(current.select(*key), key, "left_anti"), allowMissingColumns=True)
+    cur, inc = current.withColumn("_cur", F.lit(True)).alias("c"), new.alias("i")
+    both = cur.join(inc, reduce(lambda a, b: a & b, [F.col(f"c.{k}") == F.col(f"i.{k}") for k in key]), "full")
+
+    def column(c: str) -> Column:
+        old = F.col(f"c.{c}") if c in current.columns else F.lit(None)
+        return F.when(F.col("_cur"), old).otherwise(F.col(f"i.{c}") if c in incoming.columns else F.lit(None)).alias(c)
+
+    return both.select(*(column(c) for c in [*current.columns, *(c for c in incoming.columns if c not in current.columns)]))
 
 
 def upsert(current: DataFrame, incoming: DataFrame, key: list[str], columns: list[str]) -> DataFrame:

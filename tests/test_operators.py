@@ -68,6 +68,16 @@ def test_curve_and_recall(spark):
     assert evaluate.precision_at_recall(c.where("label = 9"), 1.0).first()[0] is None
 
 
+def test_insert_or_ignore_joins_no_union(spark):
+    """A chain of loads joins no union: on larger tables Spark could not zip its partitions."""
+    cur, inc = spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "k string, v long"), spark.createDataFrame([("a", 9, "x"), ("b", 4, "y"), (None, 5, "z")], "k string, v int, w string")
+    once = state.insert_or_ignore(cur, inc, ["k"])
+    assert once.dtypes == [("k", "string"), ("v", "bigint"), ("w", "string")]
+    assert sorted(map(tuple, once.collect()), key=str) == sorted([("a", 1, None), ("a", 2, None), (None, 3, None), ("b", 4, "y"), (None, 5, "z")], key=str)
+    twice = state.insert_or_ignore(once, inc.where("k is not null"), ["k"])
+    assert "Union" not in twice._jdf.queryExecution().optimizedPlan().toString() and twice.count() == 5
+
+
 def test_insert_or_ignore_keeps_the_first(spark):
     cur = spark.createDataFrame([("a", 1)], "k string, v int")
     inc = spark.createDataFrame([("a", 2), ("b", 3), ("b", 4)], "k string, v int")
