@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillspark import storage
-from quillspark.operators import curate, documents, ranking, state
+from quillspark.operators import chunks, curate, documents, ranking, state
 from quillspark.sources import readers
 from quillspark.streaming import incremental
 
@@ -53,6 +53,23 @@ def test_places_with_nulls_nan_and_no_rows(spark):
     assert ranking.with_rank(d.limit(0), "s", "k").count() == 0
 
 
+def test_chunks_are_given_on_in_pieces(spark, monkeypatch):
+    """A batch of documents is not held as one table of chunks, and chunks that two sides read are cut once."""
+    from types import SimpleNamespace
+
+    import pandas as pd
+
+    md = "\n\n".join(f"# h{k}\n\n" + "word " * 100 for k in range(50))
+    seen = []
+    fake = SimpleNamespace(dtypes=[("k", "bigint"), ("md", "string")], select=lambda *c: SimpleNamespace(mapInPandas=lambda run, schema: seen.append(run)))
+    monkeypatch.setattr(chunks, "PIECE", 10_000)
+    chunks.chunk_documents(fake, "k", "md", 64, 128)
+    got = list(seen[0]([pd.DataFrame({"k": [1, 2], "md": [md, md]})]))
+    assert max(sum(map(len, f["text"])) + sum(map(len, f["content"])) for f in got) < 12_000
+    want = [(k, i, c["text"]) for k in (1, 2) for i, c in enumerate(chunks.split_markdown(md, 64, 128))]
+    assert [tuple(r) for f in got for r in f[["k", "chunk_index", "text"]].itertuples(index=False)] == want
+
+
 def test_zip_is_strict(spark):
     a, b = spark.range(100).select(F.col("id").alias("x")), spark.range(100).select((F.col("id") * 3).alias("y"))
     got = ranking.zip_rows(a, b, [F.col("x").desc()], [F.col("y")])
