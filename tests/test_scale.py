@@ -70,6 +70,16 @@ def test_chunks_are_given_on_in_pieces(spark, monkeypatch):
     assert [tuple(r) for f in got for r in f[["k", "chunk_index", "text"]].itertuples(index=False)] == want
 
 
+def test_globbed_files_stand_in_a_bounded_number_of_folders(spark, tmp_path, monkeypatch):
+    from quillspark.plans import queries
+
+    spark.range(3000).select(F.col("id").alias("page_id")).write.parquet(f"file://{tmp_path}/pages.parquet")
+    monkeypatch.setattr(queries, "folder", lambda spark, name: f"file://{tmp_path}/{name}")
+    got = sorted(r["page_id"] for r in queries.s16_recursive_glob(spark, f"file://{tmp_path}").collect())
+    assert got == list(range(1, 3000, 2))
+    assert sum(len(d) for _, d, _ in os.walk(f"{tmp_path}/glob")) <= 2 * 509 + 2
+
+
 def test_zip_is_strict(spark):
     a, b = spark.range(100).select(F.col("id").alias("x")), spark.range(100).select((F.col("id") * 3).alias("y"))
     got = ranking.zip_rows(a, b, [F.col("x").desc()], [F.col("y")])
