@@ -28,7 +28,9 @@ def _bare_letters() -> tuple[str, str]:
 
 def strip_accents(c: Column) -> Column:
     """Letters without their marks; letters that are no base letter with a mark stay.  Marks that stand by themselves go too."""
-    return F.regexp_replace(F.translate(c, *_bare_letters()), r"\p{M}+", "")
+    bare = F.regexp_replace(F.translate(c, *_bare_letters()), r"\p{M}+", "")
+    # texts of one byte a character are ASCII and stay: looking up each letter takes most of the time
+    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(bare)
 
 
 def strip(c: Column) -> Column:

@@ -36,7 +36,8 @@ def paper_categories(clean: DataFrame) -> DataFrame:
 
 def exploded_authors(clean: DataFrame) -> DataFrame:
     """arxiv_id, position (from 1), name_raw and name_normalized of each author."""
-    rows = clean.select(F.col("id").alias("arxiv_id"), F.posexplode("authors_parsed").alias("_at", "_name"))
+    # outer: for an inner explode Spark adds a filter on the array's size, which computes the array once more
+    rows = clean.select(F.col("id").alias("arxiv_id"), F.posexplode_outer("authors_parsed").alias("_at", "_name")).where("_at is not null")
     raw = F.trim(F.array_join("_name", " "))
     return rows.select("arxiv_id", (F.col("_at") + 1).cast("int").alias("position"), raw.alias("name_raw")).withColumn("name_normalized", text.strip_accents(F.lower("name_raw")))
 

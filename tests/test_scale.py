@@ -80,6 +80,23 @@ def test_globbed_files_stand_in_a_bounded_number_of_folders(spark, tmp_path, mon
     assert sum(len(d) for _, d, _ in os.walk(f"{tmp_path}/glob")) <= 2 * 509 + 2
 
 
+def test_names_are_cut_in_bounded_tasks(spark, tmp_path, monkeypatch):
+    from quillspark.plans import queries
+
+    spark.range(500).select(F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 256).alias("text")).coalesce(1).write.parquet(f"file://{tmp_path}/documents.parquet")
+    monkeypatch.setattr(queries, "NAMES", storage.size(spark, f"file://{tmp_path}/documents.parquet") // 20)
+    assert queries._names(spark, f"file://{tmp_path}").rdd.getNumPartitions() >= 20
+
+
+def test_ascii_letters_are_not_looked_up(spark):
+    from quillspark.functions import text
+
+    rows = spark.createDataFrame([("Plain",), ("Édouard",), ("e\u0301",), (None,), ("",)], "s string")
+    out = rows.select(text.strip_accents(F.col("s")).alias("s"))
+    assert [r["s"] for r in out.collect()] == ["Plain", "Edouard", "e", None, ""]
+    assert "octet_length" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_zip_is_strict(spark):
     a, b = spark.range(100).select(F.col("id").alias("x")), spark.range(100).select((F.col("id") * 3).alias("y"))
     got = ranking.zip_rows(a, b, [F.col("x").desc()], [F.col("y")])
