@@ -10,11 +10,14 @@ twice that.
    rules out all its windows.
 3. Each bucket of texts sorts its other suffixes word by word and, by the common
    prefixes of neighbours, cuts its own tree at depth ``width``: one entry a
-   node, with the words of its path down to where its suffixes part.  So a
+   node.  For maximal repeats it has the words of its path down to where its
+   suffixes part; for the dedup nodes whose windows follow one another are sent
+   as one stretch of words.  So a
    passage that fills a third of all documents gives a group no more entries
    than there are buckets.
-4. Entries are split by variable-length prefixes: the words up to and with the
-   first that is not frequent.  So each prefix is rare, and a hash deals
+4. Entries are split by prefixes.  Stretches go by the smallest gram of the
+   first ``width`` words, or by all of these where that gram is hot; entries of
+   maximal repeats by the words up to and with the first that is not frequent.  So each prefix is rare, and a hash deals
    prefixes to groups that fit in memory.
 5. A group sorts the entries of all buckets word by word.  Common prefixes of
    neighbours give the subtree's internal nodes: runs with at least ``width``
